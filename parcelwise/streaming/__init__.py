@@ -1,0 +1 @@
+"""Intentionally empty: the input is a static export and every model is a batch job."""
