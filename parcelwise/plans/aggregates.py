@@ -22,10 +22,14 @@ ROUTE = ["delivery_route", "seller_state", "seller_region", "customer_state",
 MONTH = ["year_month", "month_label", "month_start_date", "is_in_analysis_window"]
 TOTAL = "decimal(28,2)"
 
-KEPT = ~F.col("is_excluded_from_kpis")
+KEPT = "not is_excluded_from_kpis"
 # The headline scope: delivered, kept, and with a known delay.
-IN_SCOPE = F.col("is_delivered") & KEPT & F.col("delay_vs_promise_days").isNotNull()
-ON_TIME = ~F.col("is_late")
+IN_SCOPE = f"is_delivered and {KEPT} and delay_vs_promise_days is not null"
+
+
+def on_time():
+    """NULL for orders without a known delay, so they count on neither side."""
+    return ~F.col("is_late")
 
 
 def money(name: str):
@@ -36,7 +40,7 @@ def _review_metrics():
     return [
         mean("review_score", 3).alias("avg_review_score"),
         mean_if("is_late", "review_score", 3).alias("avg_review_score_when_late"),
-        mean_if(ON_TIME, "review_score", 3).alias("avg_review_score_when_on_time"),
+        mean_if(on_time(), "review_score", 3).alias("avg_review_score_when_on_time"),
     ]
 
 
@@ -183,7 +187,7 @@ def product_performance(fct_order_items: DataFrame, dim_product: DataFrame,
     combined = sales.join(service, "product_category", "left").select("*", _penalty())
     everything = Window.partitionBy()
     by_revenue = F.dense_rank().over(Window.orderBy(F.desc("revenue")))
-    # The threshold averages the published rates of categories that can be joined back.
+    # The threshold is the plain average of the published category rates.
     typical = service.agg(mean("late_rate", unit="decimal(18,4)")).scalar()
     return combined.select(
         "*",
@@ -199,7 +203,7 @@ def product_performance(fct_order_items: DataFrame, dim_product: DataFrame,
 
 def person_activity(fct_orders: DataFrame, params: Params) -> DataFrame:
     """Recency, frequency, monetary value and delivery experience per person."""
-    return fct_orders.where(KEPT & F.col("customer_key").isNotNull()).groupBy(
+    return fct_orders.where(f"{KEPT} and customer_key is not null").groupBy(
         "customer_key").agg(
         F.datediff(F.lit(params.as_of), F.max("order_purchase_date")).cast("bigint")
         .alias("recency_days"),
