@@ -1,4 +1,4 @@
-"""Exact discrete quantiles per group.
+"""Exact discrete quantiles per group, next to ordinary aggregates.
 
 The measures take few distinct values (hours or days), so rows are counted per
 (group, measure, value) with a map-side combine and the quantile is read off the running
@@ -12,49 +12,77 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+Wanted = Mapping[str, tuple[Column | str, int]]
+_BASE = -1  # slot of the ordinary aggregates
 
-def group_quantiles(df: DataFrame, keys: Sequence[str],
-                    wanted: Mapping[str, tuple[Column | str, int]]) -> DataFrame:
-    """``wanted`` maps an output name to (measure, percent).  NULL measures are ignored;
-    the result is the smallest value whose cumulative share reaches the percentage."""
-    measures: dict[str, tuple[int, Column]] = {}
+
+def _slots(wanted: Wanted) -> tuple[list[Column], dict[str, tuple[int, int]]]:
+    """Distinct measures, and per output its (slot, percent)."""
+    seen: dict[str, int] = {}
+    columns: list[Column] = []
     plan: dict[str, tuple[int, int]] = {}
     for out, (measure, percent) in wanted.items():
         col = F.col(measure) if isinstance(measure, str) else measure
-        slot, _ = measures.setdefault(str(col), (len(measures), col))
-        plan[out] = (slot, percent)
+        if str(col) not in seen:
+            seen[str(col)] = len(columns)
+            columns.append(col)
+        plan[out] = (seen[str(col)], percent)
+    return columns, plan
+
+
+def _running(counted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows up to each value, and all rows, of a (group, measure)."""
+    whole = Window.partitionBy(*keys, "_m")
+    upto = whole.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    return counted.select("*", F.sum("_n").over(upto).alias("_upto"),
+                          F.sum("_n").over(whole).alias("_all"))
+
+
+def _read_off(plan: Mapping[str, tuple[int, int]]) -> list[Column]:
+    """Smallest value whose cumulative share reaches the percentage."""
+    return [F.min(F.when((F.col("_m") == slot)
+                         & (F.col("_upto") * 100 >= F.col("_all") * percent), F.col("_v")))
+            .alias(out) for out, (slot, percent) in plan.items()]
 
-    pairs = F.array(*[F.struct(F.lit(slot).alias("m"), col.cast("double").alias("v"))
-                      for slot, col in measures.values()])
+
+def _pairs(columns: Sequence[Column], base: bool) -> Column:
+    pairs = [F.struct(F.lit(i).alias("m"), c.cast("double").alias("v"))
+             for i, c in enumerate(columns)]
+    if base:
+        pairs.append(F.struct(F.lit(_BASE).alias("m"), F.lit(None).cast("double").alias("v")))
+    return F.explode(F.array(*pairs)).alias("_p")
+
+
+def group_quantiles(df: DataFrame, keys: Sequence[str], wanted: Wanted) -> DataFrame:
+    """``wanted`` maps an output name to (measure, percent).  NULL measures are ignored."""
+    columns, plan = _slots(wanted)
     counted = (
-        df.select(*keys, F.explode(pairs).alias("_p"))
+        df.select(*keys, _pairs(columns, base=False))
         .select(*keys, F.col("_p.m").alias("_m"), F.col("_p.v").alias("_v"))
         .where("_v is not null")
         .groupBy(*keys, "_m", "_v").agg(F.count("*").alias("_n"))
     )
-    whole = Window.partitionBy(*keys, "_m")
-    running = counted.select(
-        *keys, "_m", "_v",
-        F.sum("_n").over(whole.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
-        .alias("_upto"),
-        F.sum("_n").over(whole).alias("_all"),
-    )
-    reached = lambda slot, percent: F.when(
-        (F.col("_m") == slot) & (F.col("_upto") * 100 >= F.col("_all") * percent), F.col("_v"))
-    return running.groupBy(*keys).agg(
-        *[F.min(reached(slot, percent)).alias(out) for out, (slot, percent) in plan.items()])
+    return _running(counted, keys).groupBy(*keys).agg(*_read_off(plan))
 
 
 def group_summary(df: DataFrame, keys: Sequence[str], metrics: Sequence[Column],
-                  quantiles: Mapping[str, tuple[Column | str, int]]) -> DataFrame:
-    """Ordinary aggregates and quantiles of the same groups, NULL keys included.
+                  wanted: Wanted) -> DataFrame:
+    """Ordinary aggregates and quantiles of the same groups from one pass over ``df``.
 
-    ``df`` is read twice, so hand in a stored table rather than a long lazy plan.
+    Every row is emitted once for the aggregates and once per measure.  The copies made
+    for a measure carry NULL in all other columns, so they only cost a count.
     """
-    base = df.groupBy(*keys).agg(*metrics)
-    spread = group_quantiles(df, keys, quantiles)
-    if not keys:
-        return base.crossJoin(spread)  # one row each
-    renamed = spread.withColumnsRenamed({k: f"_q_{k}" for k in keys})
-    match = [base[k].eqNullSafe(renamed[f"_q_{k}"]) for k in keys]
-    return base.join(renamed, match, "left").drop(*[f"_q_{k}" for k in keys])
+    if not keys:  # one row each; an empty input still gives its zero counts
+        return df.agg(*metrics).crossJoin(group_quantiles(df, keys, wanted))
+    columns, plan = _slots(wanted)
+    inputs = [c for c in df.columns if c not in keys]
+    is_base = F.col("_p.m") == _BASE
+    emitted = df.select("*", _pairs(columns, base=True)).where(
+        is_base | F.col("_p.v").isNotNull())
+    counted = emitted.select(
+        *keys, *[F.when(is_base, F.col(c)).alias(c) for c in inputs],
+        F.col("_p.m").alias("_m"), F.col("_p.v").alias("_v"),
+    ).groupBy(*keys, "_m", "_v").agg(F.count("*").alias("_n"), *metrics)
+    names = [c for c in counted.columns if c not in (*keys, "_m", "_v", "_n")]
+    base = [F.max(F.when(F.col("_m") == _BASE, F.col(c))).alias(c) for c in names]
+    return _running(counted, keys).groupBy(*keys).agg(*base, *_read_off(plan))

@@ -184,21 +184,23 @@ def product_performance(fct_order_items: DataFrame, dim_product: DataFrame,
         *_review_metrics(),
     ], spread), spread, 2)
 
-    combined = sales.join(service, "product_category", "left").select("*", _penalty())
+    # One row per category from here on.  The threshold is the plain average of their rates.
     everything = Window.partitionBy()
+    rates = F.col("late_rate").cast("decimal(18,4)")
+    service = service.withColumn("_typical", safe_ratio(
+        F.sum(rates).over(everything), F.count(rates).over(everything)))
+    combined = sales.join(service, "product_category", "left").select("*", _penalty())
     by_revenue = F.dense_rank().over(Window.orderBy(F.desc("revenue")))
-    # The threshold is the plain average of the published category rates.
-    typical = service.agg(mean("late_rate", unit="decimal(18,4)")).scalar()
     return combined.select(
         "*",
         safe_ratio("revenue", F.sum("revenue").over(everything), 4).alias("revenue_share"),
         by_revenue.cast("bigint").alias("revenue_rank"),
         F.dense_rank().over(Window.orderBy(F.desc("units_sold"))).cast("bigint")
         .alias("volume_rank"),
-        ((by_revenue <= params.top_categories) & (F.col("late_rate") > typical))
+        ((by_revenue <= params.top_categories) & (F.col("late_rate") > F.col("_typical")))
         .alias("is_high_value_poor_delivery"),
         (F.col("order_count") >= params.min_orders).alias("is_reportable"),
-    )
+    ).drop("_typical")
 
 
 def person_activity(fct_orders: DataFrame, params: Params) -> DataFrame:
