@@ -11,8 +11,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.bands import rfm_segment
 from ..functions.dates import month_of
-from ..functions.numbers import fixed, mean, mean_if, safe_ratio, tally
-from ..operators.quantiles import group_summary
+from ..functions.numbers import fixed, mean, mean_if, quantile, safe_ratio, tally
 from ..operators.tiles import tile_boundaries, tile_of
 from ..params import Params
 from ..sources.scratch import Scratch
@@ -50,23 +49,10 @@ def _penalty(places: int = 3):
     return fixed(gap, places).alias("review_score_penalty_when_late")
 
 
-def _round_all(df: DataFrame, names, places: int) -> DataFrame:
-    return df.withColumns({n: fixed(n, places) for n in names})
-
-
 def delivery_by_route(fct_orders: DataFrame, params: Params) -> DataFrame:
     """WHERE deliveries are late."""
-    spread = {
-        "median_delivery_days": ("total_delivery_days", 50),
-        "p90_delivery_days": ("total_delivery_days", 90),
-        "median_approval_days": ("approval_days", 50),
-        "median_handover_days": ("seller_handover_days", 50),
-        "median_transit_days": ("carrier_transit_days", 50),
-        "median_promised_days": ("promised_delivery_days", 50),
-        "median_delay_vs_promise_days": ("delay_vs_promise_days", 50),
-    }
     late_money, all_money = F.sum("late_order_revenue"), F.sum("order_revenue")
-    metrics = [
+    by_route = fct_orders.where(IN_SCOPE).groupBy(*ROUTE).agg(
         F.count("*").alias("delivered_orders"),
         all_money.cast(TOTAL).alias("delivered_revenue"),
         tally("is_late").alias("late_orders"),
@@ -76,9 +62,14 @@ def delivery_by_route(fct_orders: DataFrame, params: Params) -> DataFrame:
         mean("total_delivery_days", 2).alias("avg_delivery_days"),
         *_review_metrics(),
         mean("freight_share_of_order", 4, "decimal(18,4)").alias("avg_freight_share"),
-    ]
-    by_route = _round_all(group_summary(fct_orders.where(IN_SCOPE), ROUTE, metrics, spread),
-                          spread, 2)
+        quantile("total_delivery_days", 50, 2).alias("median_delivery_days"),
+        quantile("total_delivery_days", 90, 2).alias("p90_delivery_days"),
+        quantile("approval_days", 50, 2).alias("median_approval_days"),
+        quantile("seller_handover_days", 50, 2).alias("median_handover_days"),
+        quantile("carrier_transit_days", 50, 2).alias("median_transit_days"),
+        quantile("promised_delivery_days", 50, 2).alias("median_promised_days"),
+        quantile("delay_vs_promise_days", 50, 2).alias("median_delay_vs_promise_days"),
+    )
     return by_route.select(
         "*", _penalty(),
         (F.col("delivered_orders") >= params.min_orders).alias("is_reportable"))
@@ -92,16 +83,8 @@ def delivery_monthly(fct_orders: DataFrame, dim_date: DataFrame) -> DataFrame:
     """
     calendar = dim_date.select(F.col("date_key").alias("order_purchase_date"), *MONTH)
     dated = fct_orders.where(KEPT).join(F.broadcast(calendar), "order_purchase_date", "left")
-    arrived = lambda c: F.when(F.col("is_delivered"), F.col(c))
-    spread = {
-        "median_delivery_days": (arrived("total_delivery_days"), 50),
-        "p90_delivery_days": (arrived("total_delivery_days"), 90),
-        "median_approval_days": (arrived("approval_days"), 50),
-        "median_handover_days": (arrived("seller_handover_days"), 50),
-        "median_transit_days": (arrived("carrier_transit_days"), 50),
-        "median_promised_days": ("promised_delivery_days", 50),
-    }
-    metrics = [
+    arrived = "case when is_delivered then {} end".format
+    monthly = dated.groupBy(*MONTH).agg(
         F.count("*").alias("orders_placed"),
         tally("is_delivered").alias("orders_delivered"),
         money("order_revenue").alias("revenue"),
@@ -111,8 +94,13 @@ def delivery_monthly(fct_orders: DataFrame, dim_date: DataFrame) -> DataFrame:
         money("late_order_revenue").alias("late_revenue"),
         mean("promise_slack_days", 2).alias("avg_promise_slack_days"),
         *_review_metrics(),
-    ]
-    monthly = _round_all(group_summary(dated, MONTH, metrics, spread), spread, 2)
+        quantile(arrived("total_delivery_days"), 50, 2).alias("median_delivery_days"),
+        quantile(arrived("total_delivery_days"), 90, 2).alias("p90_delivery_days"),
+        quantile(arrived("approval_days"), 50, 2).alias("median_approval_days"),
+        quantile(arrived("seller_handover_days"), 50, 2).alias("median_handover_days"),
+        quantile(arrived("carrier_transit_days"), 50, 2).alias("median_transit_days"),
+        quantile("promised_delivery_days", 50, 2).alias("median_promised_days"),
+    )
     before = F.lag("late_rate").over(Window.orderBy("month_start_date"))
     return monthly.select(
         "*", _penalty(), fixed(F.col("late_rate") - before, 4).alias("late_rate_mom_change"))
@@ -175,14 +163,14 @@ def product_performance(fct_order_items: DataFrame, dim_product: DataFrame,
     scored = fct_orders.where("is_delivered and delay_vs_promise_days is not null").select(
         "order_id", "is_late", "total_delivery_days", "review_score")
     shipped = items.select("order_id", "product_category").distinct().join(scored, "order_id")
-    spread = {"median_delivery_days": ("total_delivery_days", 50),
-              "p90_delivery_days": ("total_delivery_days", 90)}
-    service = _round_all(group_summary(shipped, ["product_category"], [
+    service = shipped.groupBy("product_category").agg(
         F.count("*").alias("delivered_orders"),
         tally("is_late").alias("late_orders"),
         safe_ratio(tally("is_late"), F.count("*"), 4).alias("late_rate"),
         *_review_metrics(),
-    ], spread), spread, 2)
+        quantile("total_delivery_days", 50, 2).alias("median_delivery_days"),
+        quantile("total_delivery_days", 90, 2).alias("p90_delivery_days"),
+    )
 
     # One row per category from here on.  The threshold is the plain average of their rates.
     everything = Window.partitionBy()

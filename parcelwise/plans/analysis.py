@@ -12,8 +12,9 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.dates import purchased_between
-from ..functions.numbers import fixed, floored_ratio, mean, mean_if, safe_ratio, tally
-from ..operators.quantiles import group_quantiles, group_summary
+from ..functions.numbers import (
+    fixed, floored_ratio, mean, mean_if, quantile, safe_ratio, tally,
+)
 from ..params import Params
 from .aggregates import IN_SCOPE, KEPT, TOTAL, money, on_time
 
@@ -52,7 +53,7 @@ def filter_options(agg_delivery_monthly: DataFrame, dim_customer: DataFrame) ->
 # --- headline ----------------------------------------------------------------
 def headline(fct_orders: DataFrame, where: Column | None = None) -> DataFrame:
     late, revenue = F.sum("late_order_revenue"), F.sum("order_revenue")
-    one = group_summary(fct_orders.where(_or(where)), [], [
+    one = fct_orders.where(_or(where)).agg(
         F.count("*").alias("delivered_orders"),
         tally("is_late").alias("late_orders"),
         safe_ratio(tally("is_late"), F.count("*"), 4).alias("late_rate"),
@@ -62,13 +63,11 @@ def headline(fct_orders: DataFrame, where: Column | None = None) -> DataFrame:
         mean_if("is_late", "review_score", 2).alias("avg_review_when_late"),
         mean_if(on_time(), "review_score", 2).alias("avg_review_when_on_time"),
         mean("promise_slack_days", 2).alias("avg_promise_slack_days"),
-    ], {"median_delivery_days": ("total_delivery_days", 50),
-        "p90_delivery_days": ("total_delivery_days", 90)})
+        quantile("total_delivery_days", 50, 1).alias("median_delivery_days"),
+        quantile("total_delivery_days", 90, 1).alias("p90_delivery_days"),
+    )
     gap = F.col("avg_review_when_on_time") - F.col("avg_review_when_late")
-    return one.withColumns({
-        "median_delivery_days": fixed("median_delivery_days", 1),
-        "p90_delivery_days": fixed("p90_delivery_days", 1),
-        "satisfaction_penalty": fixed(gap, 2)})
+    return one.withColumn("satisfaction_penalty", fixed(gap, 2))
 
 
 # --- where -------------------------------------------------------------------
@@ -85,13 +84,14 @@ def late_by_state(routes: DataFrame, floor: int) -> DataFrame:
 def late_board(fct_orders: DataFrame, keys: Sequence[str], where: Column,
                floor: int) -> DataFrame:
     """Late rate, median days and money of any grouping of the orders in scope."""
-    return group_summary(fct_orders.where(where), keys, [
+    return fct_orders.where(where).groupBy(*keys).agg(
         F.count("*").alias("delivered_orders"),
         tally("is_late").alias("late_orders"),
         safe_ratio(tally("is_late"), F.count("*"), 4).alias("late_rate"),
         money("order_revenue").alias("revenue"),
         money("late_order_revenue").alias("late_revenue"),
-    ], {"median_days": ("total_delivery_days", 50)}).where(F.col("delivered_orders") >= floor)
+        quantile("total_delivery_days", 50).alias("median_days"),
+    ).where(F.col("delivered_orders") >= floor)
 
 
 def busiest_late_routes(routes: DataFrame, k: int = 20) -> DataFrame:
@@ -175,13 +175,12 @@ STAGES = {
 
 def stage_decomposition(fct_orders: DataFrame, where: Column | None = None) -> DataFrame:
     """Median of each stage and its share of the median total."""
-    medians = group_quantiles(fct_orders.where(_or(where)), [], {
-        "median_approval_days": ("approval_days", 50),
-        "median_handover_days": ("seller_handover_days", 50),
-        "median_transit_days": ("carrier_transit_days", 50),
-        "total": ("total_delivery_days", 50)})
-    rounded = medians.select(*[fixed(c, 2).alias(c) for c in medians.columns])
-    return _stages_long(rounded, ["total"]).select(
+    medians = fct_orders.where(_or(where)).agg(
+        quantile("approval_days", 50, 2).alias("median_approval_days"),
+        quantile("seller_handover_days", 50, 2).alias("median_handover_days"),
+        quantile("carrier_transit_days", 50, 2).alias("median_transit_days"),
+        quantile("total_delivery_days", 50, 2).alias("total"))
+    return _stages_long(medians, ["total"]).select(
         "stage", "days", safe_ratio("days", "total", 3).alias("share_of_total"))
 
 
@@ -239,16 +238,14 @@ def revenue_exposure(fct_orders: DataFrame, where: Column | None = None) -> Data
 
 def promise_accuracy(fct_orders: DataFrame, where: Column | None = None) -> DataFrame:
     slack = F.col("promise_slack_days")
-    one = group_summary(fct_orders.where(_or(where, f"is_delivered and {KEPT}") & slack.isNotNull()), [], [
+    one = fct_orders.where(_or(where, f"is_delivered and {KEPT}") & slack.isNotNull()).agg(
         mean(slack, 2).alias("avg_slack_days"),
         tally(slack > 0).alias("delivered_early"),
         tally(slack < 0).alias("delivered_late"),
         F.count("*").alias("orders"),
-    ], {"median_promised_days": ("promised_delivery_days", 50),
-        "median_actual_days": ("total_delivery_days", 50)})
+        quantile("promised_delivery_days", 50, 1).alias("median_promised_days"),
+        quantile("total_delivery_days", 50, 1).alias("median_actual_days"))
     return one.withColumns({
-        "median_promised_days": fixed("median_promised_days", 1),
-        "median_actual_days": fixed("median_actual_days", 1),
         "promise_is": F.when(F.col("avg_slack_days") > 0, "padded").otherwise("optimistic"),
         "early_share": safe_ratio("delivered_early", "orders", 4)})
 
