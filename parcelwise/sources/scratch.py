@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+_local_roots: dict[str, str] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -22,9 +23,10 @@ def scratch_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"{CHECKPOINT_KEY} must name a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="parcelwise-")
-    spark.conf.set(CHECKPOINT_KEY, root)
-    return root
+    app = spark.sparkContext.applicationId
+    if app not in _local_roots:
+        _local_roots[app] = tempfile.mkdtemp(prefix="parcelwise-")
+    return _local_roots[app]
 
 
 class Scratch:
