@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession
 
 from ..params import Params
 from ..plans.warehouse import MARTS, write_table
@@ -52,26 +52,19 @@ def report(results: DataFrame) -> Report:
 def file_results(spark: SparkSession, paths: Mapping[str, str],
                  expected: Mapping[str, int]) -> DataFrame:
     """Column list against the declared schema, row count against the manifest, and the
-    file rules.  Files with a wrong header get no further rule."""
-    frames, out = {}, None
-    for table, path in paths.items():
-        good = files.header_matches(spark, path, table)
-        rows = [(table, "columns(declared, in order)", ERROR, 0 if good else 1, 1, good)]
-        header = spark.createDataFrame(
-            rows, "table_name string, rule string, severity string, failing bigint, "
-                  "checked bigint, passed boolean")
-        out = header if out is None else out.unionByName(header)
-        if not good:
-            continue
-        frames[table] = files.scan_table(spark, path, table)
-        n = F.lit(expected[table])
-        counted = frames[table].agg(F.count("*").alias("checked")).select(
-            F.lit(table).alias("table_name"), F.lit("row_count(manifest)").alias("rule"),
-            F.lit(ERROR).alias("severity"), F.abs(F.col("checked") - n).alias("failing"),
-            "checked", (F.col("checked") == n).alias("passed"))
-        out = out.unionByName(counted)
-    rules = [r for r in FILE_RULES if r.table in frames]
-    return out.unionByName(evaluate(rules, frames)) if rules else out
+    file rules; one pass per file.  A file with a wrong header gets no further rule."""
+    fine = {t: files.header_matches(spark, p, t) for t, p in paths.items()}
+    headers = spark.createDataFrame(
+        [(t, "columns(declared, in order)", ERROR, int(not ok), 1, ok)
+         for t, ok in fine.items()],
+        "table_name string, rule string, severity string, failing bigint, checked bigint, "
+        "passed boolean")
+    frames = {t: files.scan_table(spark, paths[t], t) for t, ok in fine.items() if ok}
+    if not frames:
+        return headers
+    counts = [Rule(t, "row_count", "*", values=(expected[t],)) for t in frames]
+    return headers.unionByName(
+        evaluate(counts + [r for r in FILE_RULES if r.table in frames], frames))
 
 
 def check_models(frames: Mapping[str, DataFrame], params: Params,

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 ERROR, WARN = "error", "warn"
-ROW_KINDS = ("not_null", "accepted_values", "accepted_range", "length")
+ROW_KINDS = ("not_null", "accepted_values", "accepted_range", "length", "row_count")
 
 
 @dataclass(frozen=True)
@@ -83,6 +83,8 @@ def violation(rule: Rule) -> Column:
 def failing_rows(rule: Rule, frames: Mapping[str, DataFrame]) -> DataFrame:
     """The evidence: failing rows, duplicated keys with their count, or orphaned keys."""
     df = frames[rule.table]
+    if rule.kind == "row_count":
+        raise ValueError("a row count has no failing rows")
     if rule.kind in ROW_KINDS:
         return df.where(violation(rule))
     if rule.kind == "unique":
@@ -102,8 +104,10 @@ RESULT = ["table_name", "rule", "severity", "failing", "checked", "passed"]
 
 def _row_rules(table: str, rules: list[Rule], df: DataFrame) -> DataFrame:
     """All row rules of one table from one pass, then one result row per rule."""
-    fails = [F.count_if(violation(r)).alias(f"f{i}") for i, r in enumerate(rules)]
-    seen = [(F.count("*") if r.kind == "not_null" else F.count(r.column)).alias(f"c{i}")
+    every = F.count("*")
+    fails = [(F.abs(every - r.values[0]) if r.kind == "row_count"
+              else F.count_if(violation(r))).alias(f"f{i}") for i, r in enumerate(rules)]
+    seen = [(every if r.kind in ("not_null", "row_count") else F.count(r.column)).alias(f"c{i}")
             for i, r in enumerate(rules)]
     one = df.agg(*fails, *seen)
     rows = F.array(*[

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from datetime import datetime
 
@@ -45,25 +46,38 @@ def fingerprint(df: DataFrame) -> DataFrame:
                   F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")).alias("content_sum"))
 
 
+def _labelled(listing: DataFrame, files: Mapping[str, str]) -> DataFrame:
+    """Table name of each listed file, from the last part of the table's path."""
+    label = F.lit(None).cast("string")
+    for table, path in files.items():
+        name = path.rstrip("/").rsplit("/", 1)[-1]
+        label = F.when(F.col("path").rlike(f"/{re.escape(name)}(/|$)"), table).otherwise(label)
+    return listing.withColumn("table", label)
+
+
 def manifest(spark: SparkSession, files: Mapping[str, str],
              expected: Mapping[str, int]) -> DataFrame:
-    """One row per file: size, checksum, true record count, expected count, match flag."""
-    rows = None
+    """One row per table: size, checksum, true record count, expected count, match flag.
+
+    All files are listed by one scan that does not open them and hashed by one that
+    leaves out files beyond the limit; a table of several files has no single checksum.
+    """
+    listing = _labelled(spark.read.format("binaryFile").load(list(files.values())), files)
+    sizes = listing.groupBy("table").agg(F.sum("length").alias("bytes"),
+                                         F.count("*").alias("_files"))
+    digests = listing.where(F.col("length") <= CHECKSUM_LIMIT).groupBy("table").agg(
+        F.max(F.sha2("content", 256)).alias("sha256"))
+    counts = None
     for table, path in files.items():
-        listing = spark.read.format("binaryFile").load(path)
-        size = listing.agg(F.sum("length").alias("bytes"))
-        digest = (
-            listing.where(F.col("length") <= CHECKSUM_LIMIT)
-            .agg(F.when(F.count("*") == 1, F.first(F.sha2("content", 256))).alias("sha256"))
-        )
-        counted = fingerprint(scan_table(spark, path, table))
-        one = size.crossJoin(digest).crossJoin(counted).select(  # one row each
+        one = fingerprint(scan_table(spark, path, table)).select(
             F.lit(path.rsplit("/", 1)[-1]).alias("file"), F.lit(table).alias("table"),
-            "bytes", "sha256", "rows", F.lit(expected.get(table)).alias("expected_rows"),
-            (F.col("rows") == F.lit(expected.get(table))).alias("rows_match_expected"),
+            "rows", F.lit(expected.get(table)).cast("bigint").alias("expected_rows"),
             "content_sum")
-        rows = one if rows is None else rows.unionByName(one)
-    return rows
+        counts = one if counts is None else counts.unionByName(one)
+    return counts.join(sizes, "table").join(digests, "table", "left").select(
+        "file", "table", "bytes", F.when(F.col("_files") == 1, F.col("sha256")).alias("sha256"),
+        "rows", "expected_rows",
+        (F.col("rows") == F.col("expected_rows")).alias("rows_match_expected"), "content_sum")
 
 
 def stamp(df: DataFrame, batch_id: str, loaded_at: datetime,

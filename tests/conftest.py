@@ -19,8 +19,8 @@ from parcelwise.sources.scratch import Scratch  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = configured(
-        SparkSession.builder.master("local[4]").appName("tests")
-        .config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
+        SparkSession.builder.master("local[8]").appName("tests")
+        .config("spark.sql.shuffle.partitions", "2").config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "4g")).getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
