@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.dates import days_between
+from ..functions.frames import union_all
 from ..functions.numbers import mean, safe_ratio, tally
 
 
@@ -115,11 +116,7 @@ def orphan_report(orders: DataFrame, items: DataFrame, products: DataFrame,
         (orders, "customer_id", customers, "customer_id", "orders -> customers"),
         (orders, "order_id", items, "order_id", "orders without any item line"),
     ]
-    report = None
-    for pair in pairs:
-        one = orphans(*pair)
-        report = one if report is None else report.unionByName(one)
-    return report
+    return union_all(orphans(*pair) for pair in pairs)
 
 
 def raw_delivery_sanity(raw_orders: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.dates import months_shift
+from ..functions.frames import union_all
 from ..params import Params
 from ..plans.aggregates import TOTAL, money
 from .rules import ERROR, WARN
@@ -150,12 +151,10 @@ INVARIANTS: dict[str, tuple[str, Callable[[Frames, Params], DataFrame]]] = {
 
 def evaluate_invariants(frames: Frames, params: Params) -> DataFrame:
     """One row per invariant, in the shape of the rule results."""
-    out = None
-    for name, (severity, check) in INVARIANTS.items():
-        one = check(frames, params).agg(F.count("*").alias("failing")).select(
+    return union_all(
+        check(frames, params).agg(F.count("*").alias("failing")).select(
             F.lit("-").alias("table_name"), F.lit(name).alias("rule"),
             F.lit(severity).alias("severity"), "failing",
             F.lit(None).cast("bigint").alias("checked"),
             (F.col("failing") == 0).alias("passed"))
-        out = one if out is None else out.unionByName(one)
-    return out
+        for name, (severity, check) in INVARIANTS.items())

@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
+
+from ..functions.frames import union_all
 
 ERROR, WARN = "error", "warn"
 ROW_KINDS = ("not_null", "accepted_values", "accepted_range", "length", "row_count")
@@ -61,32 +62,35 @@ def refers(table: str, column: str, parent: str, parent_key: str) -> list[Rule]:
     return [Rule(table, "relationships", column, parent=parent, parent_key=parent_key)]
 
 
-def violation(rule: Rule) -> Column:
-    """True for a failing row; NULL values pass everything except not_null."""
-    c = F.col(rule.column)
+def _literal(value) -> str:
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return repr(value)
+
+
+def violation(rule: Rule) -> str:
+    """SQL predicate of a failing row; NULL values pass everything except not_null."""
+    c = f"`{rule.column}`"
     if rule.kind == "not_null":
-        return c.isNull()
+        return f"{c} is null"
     if rule.kind == "accepted_values":
-        return ~c.isin(*rule.values)
+        return f"{c} not in ({', '.join(map(_literal, rule.values))})"
     if rule.kind == "length":
-        return F.length(c) != rule.values[0]
+        return f"length({c}) <> {rule.values[0]}"
     if rule.kind == "accepted_range":
+        edge = "" if rule.inclusive else "="
         sides = []
         if rule.low is not None:
-            sides.append(c < rule.low if rule.inclusive else c <= rule.low)
+            sides.append(f"{c} <{edge} {rule.low}")
         if rule.high is not None:
-            sides.append(c > rule.high if rule.inclusive else c >= rule.high)
-        return reduce(lambda a, b: a | b, sides, F.lit(False))
+            sides.append(f"{c} >{edge} {rule.high}")
+        return " or ".join(sides) or "false"
     raise ValueError(f"{rule.kind} is not a row rule")
 
 
 def failing_rows(rule: Rule, frames: Mapping[str, DataFrame]) -> DataFrame:
     """The evidence: failing rows, duplicated keys with their count, or orphaned keys."""
     df = frames[rule.table]
-    if rule.kind == "row_count":
-        raise ValueError("a row count has no failing rows")
-    if rule.kind in ROW_KINDS:
-        return df.where(violation(rule))
     if rule.kind == "unique":
         keys = [rule.column, *rule.also]
         return (df.dropna(subset=keys).groupBy(*keys).agg(F.count("*").alias("n_records"))
@@ -96,50 +100,48 @@ def failing_rows(rule: Rule, frames: Mapping[str, DataFrame]) -> DataFrame:
             F.count("*").alias("n_records"))
         parents = frames[rule.parent].select(F.col(rule.parent_key).alias("_parent"))
         return children.join(parents, F.col(rule.column) == F.col("_parent"), "left_anti")
-    raise ValueError(f"unknown rule kind {rule.kind}")
+    return df.where(violation(rule))
 
 
-RESULT = ["table_name", "rule", "severity", "failing", "checked", "passed"]
+def _result(rule: Rule, failing: str, checked: str, passed: str) -> str:
+    """A result row as SQL.  Text keeps plans of hundreds of rules quick to put together."""
+    return (f"named_struct('table_name', {_literal(rule.table)}, 'rule', {_literal(rule.name)}, "
+            f"'severity', {_literal(rule.severity)}, 'failing', {failing}, "
+            f"'checked', {checked}, 'passed', {passed})")
 
 
-def _row_rules(table: str, rules: list[Rule], df: DataFrame) -> DataFrame:
+def _row_rules(rules: list[Rule], df: DataFrame) -> DataFrame:
     """All row rules of one table from one pass, then one result row per rule."""
-    every = F.count("*")
-    fails = [(F.abs(every - r.values[0]) if r.kind == "row_count"
-              else F.count_if(violation(r))).alias(f"f{i}") for i, r in enumerate(rules)]
-    seen = [(every if r.kind in ("not_null", "row_count") else F.count(r.column)).alias(f"c{i}")
-            for i, r in enumerate(rules)]
-    one = df.agg(*fails, *seen)
-    rows = F.array(*[
-        F.struct(F.lit(table).alias("table_name"), F.lit(r.name).alias("rule"),
-                 F.lit(r.severity).alias("severity"), F.col(f"f{i}").alias("failing"),
-                 F.col(f"c{i}").alias("checked"),
-                 (F.col(f"f{i}") <= F.col(f"c{i}") - F.col(f"c{i}") * F.lit(r.mostly)
-                  + F.lit(1e-9)).alias("passed"))
-        for i, r in enumerate(rules)])
-    return one.select(F.explode(rows).alias("r")).select("r.*")
+    counts, rows = [], []
+    for i, r in enumerate(rules):
+        if r.kind == "row_count":
+            counts.append(f"abs(count(*) - {r.values[0]}) as f{i}")
+        else:
+            counts.append(f"count_if({violation(r)}) as f{i}")
+        every = r.kind in ("not_null", "row_count")
+        counts.append(f"count({'*' if every else f'`{r.column}`'}) as c{i}")
+        allowed = f"c{i} - c{i} * {r.mostly}D + 1e-9D" if r.mostly < 1 else "0"
+        rows.append(_result(r, f"f{i}", f"c{i}", f"f{i} <= {allowed}"))
+    return df.selectExpr(*counts).selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def _set_rule(rule: Rule, frames: Mapping[str, DataFrame]) -> DataFrame:
     """Failing and checked counts from the same keys, so the table is read once."""
     keys = [rule.column, *rule.also]
     counted = frames[rule.table].dropna(subset=keys).groupBy(*keys).agg(
-        F.count("*").alias("_n"))
+        F.expr("count(*) as _n"))
     if rule.kind == "unique":
-        failing = F.count_if(F.col("_n") > 1)
+        failing = "count_if(_n > 1)"
     elif rule.kind == "relationships":
-        known = (frames[rule.parent].select(F.col(rule.parent_key).alias(rule.column))
-                 .distinct().withColumn("_known", F.lit(True)))
+        known = frames[rule.parent].selectExpr(
+            f"`{rule.parent_key}` as `{rule.column}`", "true as _known").distinct()
         counted = counted.join(known, rule.column, "left")
-        failing = F.sum(F.when(F.col("_known").isNull(), F.col("_n")).otherwise(0))
+        failing = "coalesce(sum(if(_known is null, _n, 0)), 0)"
     else:
         raise ValueError(f"unknown rule kind {rule.kind}")
-    zero = F.lit(0).cast("bigint")
-    return counted.agg(F.coalesce(failing, zero).alias("failing"),
-                       F.coalesce(F.sum("_n"), zero).alias("checked")).select(
-        F.lit(rule.table).alias("table_name"), F.lit(rule.name).alias("rule"),
-        F.lit(rule.severity).alias("severity"), "failing", "checked",
-        (F.col("failing") == 0).alias("passed"))
+    row = _result(rule, "failing", "checked", "failing = 0")
+    return counted.selectExpr(f"{failing} as failing", "coalesce(sum(_n), 0) as checked"
+                              ).selectExpr(f"inline(array({row}))")
 
 
 def evaluate(rules: Iterable[Rule], frames: Mapping[str, DataFrame]) -> DataFrame:
@@ -151,5 +153,5 @@ def evaluate(rules: Iterable[Rule], frames: Mapping[str, DataFrame]) -> DataFram
             by_table.setdefault(rule.table, []).append(rule)
         else:
             results.append(_set_rule(rule, frames))
-    results += [_row_rules(t, rs, frames[t]) for t, rs in by_table.items()]
-    return reduce(DataFrame.unionByName, results)
+    results += [_row_rules(rs, frames[t]) for t, rs in by_table.items()]
+    return union_all(results)

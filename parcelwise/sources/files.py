@@ -9,6 +9,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from ..functions.frames import union_all
 from .layout import MULTILINE, columns_of, schema_of
 
 # binaryFile keeps a file in one row, so only files up to this size get a byte checksum.
@@ -67,13 +68,12 @@ def manifest(spark: SparkSession, files: Mapping[str, str],
                                          F.count("*").alias("_files"))
     digests = listing.where(F.col("length") <= CHECKSUM_LIMIT).groupBy("table").agg(
         F.max(F.sha2("content", 256)).alias("sha256"))
-    counts = None
-    for table, path in files.items():
-        one = fingerprint(scan_table(spark, path, table)).select(
+    counts = union_all(
+        fingerprint(scan_table(spark, path, table)).select(
             F.lit(path.rsplit("/", 1)[-1]).alias("file"), F.lit(table).alias("table"),
             "rows", F.lit(expected.get(table)).cast("bigint").alias("expected_rows"),
             "content_sum")
-        counts = one if counts is None else counts.unionByName(one)
+        for table, path in files.items())
     return counts.join(sizes, "table").join(digests, "table", "left").select(
         "file", "table", "bytes", F.when(F.col("_files") == 1, F.col("sha256")).alias("sha256"),
         "rows", "expected_rows",
@@ -93,11 +93,9 @@ def stamp(df: DataFrame, batch_id: str, loaded_at: datetime,
 
 
 def row_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
-    counts = None
-    for name, df in frames.items():
-        one = df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("table"), "rows")
-        counts = one if counts is None else counts.unionByName(one)
-    return counts
+    return union_all(
+        df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("table"), "rows")
+        for name, df in frames.items())
 
 
 def reconcile(manifest_rows: DataFrame, frames: Mapping[str, DataFrame]) -> DataFrame:
