@@ -63,14 +63,7 @@ def _rules(kind: str) -> Callable[[Warehouse], DataFrame]:
 
 
 def _mostly(w: Warehouse) -> DataFrame:
-    return evaluate(suites_mostly(), {"geolocation": w["raw.geolocation"]})
-
-
-def suites_mostly() -> list[Rule]:
-    lat = dict(table="geolocation", kind="accepted_range", column="geolocation_lat")
-    strict = [r for r in suites.FILE_RULES if r.table == "geolocation" and r.mostly < 1]
-    return strict + [Rule(**lat, low=0, high=400, mostly=0.9),
-                     Rule(**lat, low=0, high=1, inclusive=False, mostly=0.5)]
+    return evaluate(suites.THRESHOLD_RULES, {"geolocation": w["raw.geolocation"]})
 
 
 def _raw(w: Warehouse) -> dict[str, DataFrame]:

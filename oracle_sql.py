@@ -12,7 +12,7 @@ import re
 from parcelwise.params import (
     LATENESS_BUCKETS, NOT_DELIVERED, SEGMENTS, UNKNOWN_REGION, UNKNOWN_WEIGHT, WEIGHT_BANDS,
 )
-from parcelwise.quality.suites import FILE_RULES, MODEL_RULES
+from parcelwise.quality.suites import MODEL_RULES, THRESHOLD_RULES
 from parcelwise.sources.layout import TABLES
 from parcelwise.sources.star_schema import STAR_PARAMS as P
 
@@ -541,8 +541,7 @@ def _rules(kind: str) -> str:
 
 
 def _mostly() -> str:
-    from __spark_entry__ import suites_mostly
-    return "\nunion all\n".join(_rule(r, BASE[r.table]) for r in suites_mostly())
+    return "\nunion all\n".join(_rule(r, BASE[r.table]) for r in THRESHOLD_RULES)
 
 
 def _orphan(child: str, key: str, parent: str, parent_key: str, label: str) -> str:

@@ -56,6 +56,13 @@ FILE_RULES: list[Rule] = [
     *unique("products", "product_id"),
 ]
 
+# The coordinate thresholds, and two looser ones that the star-schema points can meet.
+THRESHOLD_RULES: list[Rule] = [
+    *[r for r in FILE_RULES if r.mostly < 1],
+    *in_range("geolocation", "geolocation_lat", 0, 400, mostly=0.9),
+    *in_range("geolocation", "geolocation_lat", 0, 1, inclusive=False, mostly=0.5),
+]
+
 RAW_RULES: list[Rule] = [
     *key("raw.orders", "order_id"),
     *not_null("raw.orders", "customer_id", "order_purchase_timestamp"),
