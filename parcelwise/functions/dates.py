@@ -15,9 +15,13 @@ def days_between(start: Column | str, end: Column | str) -> Column:
 
 
 def stage_days(start: Column | str, end: Column | str) -> Column:
-    """Complete hours between two instants, as days with three decimals."""
-    hours = F.timestamp_diff("HOUR", F.col(start) if isinstance(start, str) else start,
-                             F.col(end) if isinstance(end, str) else end)
+    """Complete hours between two instants, as days with three decimals.
+
+    ``timestampdiff`` would read local times in the session time zone and lose or gain an
+    hour at a clock change; the difference of two local times does not.
+    """
+    a, b = (F.col(x) if isinstance(x, str) else x for x in (start, end))
+    hours = F.extract(F.lit("DAY"), b - a) * 24 + F.extract(F.lit("HOUR"), b - a)
     return fixed(hours.cast("double") / F.lit(24.0), 3)
 
 

@@ -5,7 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+
+def _local(instant: datetime) -> Column:
+    return F.lit(instant.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def snapshot(current: DataFrame, history: DataFrame | None, key: str,
@@ -15,7 +19,7 @@ def snapshot(current: DataFrame, history: DataFrame | None, key: str,
     One full outer join of the open rows with the current table decides every key, and
     each key emits its closed row, its new row, or both.  Rows closed earlier pass by.
     """
-    now = F.lit(run_at).cast("timestamp_ntz")
+    now = _local(run_at)
     payload = current.columns
     open_ended = F.lit(None).cast("timestamp_ntz")
     if history is None:
@@ -46,6 +50,6 @@ def snapshot(current: DataFrame, history: DataFrame | None, key: str,
 
 def as_of(history: DataFrame, instant: datetime) -> DataFrame:
     """Rows valid at ``instant``; the end is exclusive."""
-    at = F.lit(instant).cast("timestamp_ntz")
+    at = _local(instant)
     return history.where((F.col("valid_from") <= at)
                          & (F.col("valid_to").isNull() | (F.col("valid_to") > at)))

@@ -27,7 +27,7 @@ def descending(df: DataFrame, name: str) -> list[Column]:
         flipped = -F.unix_date(c)
     elif isinstance(dtype, T.TimestampNTZType):
         epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-        flipped = -F.timestamp_diff("MICROSECOND", epoch, c)
+        flipped = -(c - epoch)  # an interval, so no time zone takes part
     elif isinstance(dtype, T.TimestampType):
         flipped = -F.unix_micros(c)
     else:
