@@ -11,7 +11,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T  # noqa: E402
 
-from oracle_sql import oracle_sql  # noqa: E402,F401
+import oracle_sql as _statements  # noqa: E402
 from parcelwise.operators import history, staging  # noqa: E402
 from parcelwise.plans import analysis as an, profiling as pr  # noqa: E402
 from parcelwise.plans.warehouse import Warehouse  # noqa: E402
@@ -20,6 +20,14 @@ from parcelwise.quality.rules import Rule, evaluate, failing_rows  # noqa: E402
 from parcelwise.session import star_warehouse  # noqa: E402
 from parcelwise.sources import files, layout  # noqa: E402
 
+try:  # the text operators can be taken out as a whole
+    import corpus_pipeline as _corpus
+    from parcelwise.llm import queries as _text
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "parcelwise.llm"):
+        raise
+    _corpus = _text = None
+
 _warehouses: dict[tuple[str, str], Warehouse] = {}
 
 
@@ -229,4 +237,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(build: Callable[[Warehouse], DataFrame]):
         return lambda spark, sf_dir: plain(build(warehouse(spark, sf_dir)))
 
-    return {name: bind(build) for name, build in _QUERIES.items()}
+    found = {name: bind(build) for name, build in _QUERIES.items()}
+    if _text:
+        found |= _text.QUERIES | {"pipeline": _corpus.run}
+    return found
+
+
+def oracle_sql() -> dict[str, str]:
+    found = _statements.oracle_sql()
+    if _text:
+        found |= _text.ORACLE_SQL
+        if _corpus.ORACLE_SQL:
+            found["pipeline"] = _corpus.ORACLE_SQL
+    return found
