@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers as vocab
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, packing
+from . import bpe, fingerprints, html_text, packing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,5 +27,13 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                           vocab.path("byte_bpe_multi_50k.tiktoken"), vocab.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op7_bpe)}
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_neighbours(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_packing, op7_bpe, op8_html_text, op9_fingerprints)}
 ORACLE_SQL: dict[str, str] = {}
