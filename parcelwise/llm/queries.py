@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import public_tokenizers as vocab
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, fingerprints, html_text, packing
+from . import bpe, fingerprints, html_text, importance, packing, pseudonyms
+from ..sources.scratch import Scratch
+
+#: Callers pass a secret of their own; this one makes the registered query repeatable.
+PII_KEY = "registered-query"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +26,19 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), gpt_tokenizer())
 
 
+def op4_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pseudonyms.pseudonymise(table(spark, sf_dir, "documents"), PII_KEY)
+    return found.select("doc_id", "text", *[
+        F.col(f"pii_counts.{k}").alias(f"n_{k}") for k in pseudonyms.KINDS])
+
+
+def op5_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark, "importance")
+    return importance.resample(table(spark, sf_dir, "documents"),
+                               table(spark, sf_dir, "labels"),
+                               lambda df: scratch.save(df, "scores"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"),
                           vocab.path("byte_bpe_multi_50k.tiktoken"), vocab.PATTERN)
@@ -35,5 +52,6 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_neighbours(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op7_bpe, op8_html_text, op9_fingerprints)}
+QUERIES = {f.__name__: f for f in (op2_packing, op4_pseudonyms, op5_importance, op7_bpe,
+                                  op8_html_text, op9_fingerprints)}
 ORACLE_SQL: dict[str, str] = {}
