@@ -117,9 +117,9 @@ def compare_neighbours(docs: DataFrame, id_col: str = "doc_id",
     document is its own next; an empty table gives no rows; other columns are ignored.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("t")) \
-        .withColumn("fingerprint", fingerprint(F.col("t")))
-    both = with_next(rows, F.col("doc_id"), F.xxhash64("t"), ["t", "fingerprint"])
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("t"))
+    both = with_next(rows, F.col("doc_id"), F.xxhash64("t"), ["t", "fingerprint"],
+                     derive=lambda df: df.withColumn("fingerprint", fingerprint(F.col("t"))))
     changed = both.withColumn("e", edited(F.col("t"), F.col("next_t"))) \
         .withColumn("edited_fingerprint", fingerprint(F.col("e")))
     return changed.select(

@@ -29,9 +29,10 @@ def _next_group(groups: DataFrame, shift: int, span: int) -> DataFrame:
 
 
 def with_next(rows: DataFrame, key: Column, tie: Column, carried: list[str],
-              prefix: str = "next_") -> DataFrame:
+              prefix: str = "next_", derive=lambda df: df) -> DataFrame:
     """Add the `carried` columns of the row with the next larger (key, tie); the last row
-    gets those of the first.  Null keys come first.
+    gets those of the first.  Null keys come first.  `derive` adds columns that are costly to
+    compute: once for every row, and again only for the first rows of groups.
 
     Rows are grouped by the leading bits of the key, so a group holds a few hundred rows if
     ids are spread evenly, and a sparse id range costs nothing.  Only the first row of a
@@ -39,21 +40,23 @@ def with_next(rows: DataFrame, key: Column, tie: Column, carried: list[str],
     """
     lowest, highest, n = rows.agg(F.min(key), F.max(key), F.count(F.lit(1))).first()
     if not n:
+        rows = derive(rows)
         return rows.select("*", *[F.col(c).alias(prefix + c) for c in carried])
     lowest, highest = lowest or 0, highest or 0
     groups = -(-n // GROUP)
     shift = shift_for(lowest, highest, groups)
     g = F.shiftright(F.coalesce(key, F.lit(lowest)).cast("long"), shift)
     order = Window.partitionBy("_g").orderBy("_key", "_tie")
-    inner = rows.select("*", g.alias("_g"), key.alias("_key"), tie.alias("_tie")) \
-        .select("*", F.row_number().over(order).alias("_n"),
-                F.lead(F.struct(*carried)).over(order).alias("_next"))
-    heads = inner.where("_n = 1").select("_g", F.struct(*carried).alias("_head"))
+    placed = rows.select("*", g.alias("_g"), key.alias("_key"), tie.alias("_tie"))
+    inner = derive(placed).withColumn("_next", F.lead(F.struct(*carried)).over(order))
+    heads = derive(placed.withColumn("_n", F.row_number().over(order)).where("_n = 1")) \
+        .select("_g", F.struct(*carried).alias("_head"))
     span = (highest >> shift) - (lowest >> shift) + 1
     follow = _next_group(heads.select(F.col("_g").alias("g")), shift, span)
     first = F.lit(lowest >> shift)
     onto = follow.select(F.col("g").alias("_g"), F.coalesce("next_g", first).alias("_to")) \
         .join(heads.withColumnRenamed("_g", "_to"), "_to").select("_g", "_head")
     got = F.coalesce("_next", "_head")
+    mine = [c for c in inner.columns if c not in ("_g", "_key", "_tie", "_next")]
     return inner.join(onto, "_g", "left").select(
-        *rows.columns, *[got.getField(c).alias(prefix + c) for c in carried])
+        *mine, *[got.getField(c).alias(prefix + c) for c in carried])

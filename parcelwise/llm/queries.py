@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers as vocab
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, fingerprints, html_text, importance, packing, pseudonyms
+from . import bpe, fingerprints, html_text, importance, minhash, packing, pseudonyms
+from . import vectors
 from ..sources.scratch import Scratch
 
 #: Callers pass a secret of their own; this one makes the registered query repeatable.
@@ -22,10 +23,20 @@ def gpt_tokenizer():
                             {"<|endoftext|>": 50256})
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"),
+                                   Scratch(spark, "minhash").save, size=4)
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), gpt_tokenizer())
 
 
+def op3_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"),
+                                Scratch(spark, "vectors").save)
+
+
 def op4_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pseudonyms.pseudonymise(table(spark, sf_dir, "documents"), PII_KEY)
     return found.select("doc_id", "text", *[
@@ -52,6 +63,7 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_neighbours(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op4_pseudonyms, op5_importance, op7_bpe,
-                                  op8_html_text, op9_fingerprints)}
+QUERIES = {f.__name__: f for f in (
+    op1_minhash, op2_packing, op3_vectors, op4_pseudonyms, op5_importance, op7_bpe,
+    op8_html_text, op9_fingerprints)}
 ORACLE_SQL: dict[str, str] = {}
