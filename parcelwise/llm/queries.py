@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers as vocab
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, fingerprints, html_text, importance, minhash, packing, pseudonyms
+from . import bpe, fingerprints, html_text, importance, maxent, minhash, packing, pseudonyms
 from . import vectors
 from ..sources.scratch import Scratch
 
@@ -63,7 +63,11 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_neighbours(table(spark, sf_dir, "documents"))
 
 
+def op10_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.score(table(spark, sf_dir, "documents"), Scratch(spark, "maxent").save)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_minhash, op2_packing, op3_vectors, op4_pseudonyms, op5_importance, op7_bpe,
-    op8_html_text, op9_fingerprints)}
+    op8_html_text, op9_fingerprints, op10_maxent)}
 ORACLE_SQL: dict[str, str] = {}

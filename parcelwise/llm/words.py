@@ -94,3 +94,41 @@ def shingle_set(words: np.ndarray, size: int) -> np.ndarray:
         out = out * U(0xD6E8FEB86659FD93) + words[i:i + n]
         out = out ^ (out >> U(32))
     return np.unique(mix(out))
+
+
+def word_batches(texts):
+    """(first, bounds, hashes, endings) for runs of consecutive texts of about CHUNK bytes.
+
+    bounds has one entry more than texts in the run; endings are the last two bytes of each
+    word as one number.  A text beyond CHUNK bytes is a run of its own, hashed in pieces.
+    """
+    raws, first, size = [], 0, 0
+    for i, text in enumerate(texts):
+        raw = (text or "").encode("utf-8", "surrogatepass")
+        if raws and size + len(raw) > CHUNK:
+            yield _run(first, raws)
+            raws, first, size = [], i, 0
+        raws.append(raw)
+        size += len(raw) + 1
+    if raws:
+        yield _run(first, raws)
+
+
+def _run(first: int, raws: list[bytes]):
+    hashes, endings, starts, at = [], [], [], 0
+    joined = b"\n".join(raws)
+    for part in pieces(joined):
+        data = LOWER[part]
+        start, end = spans(data)
+        if len(start):
+            hashes.append(between(prefix_sums(data), start, end))
+            before = np.where(end - start > 1, data[np.maximum(end - 2, 0)], 0).astype(np.int64)
+            endings.append(before << 8 | data[end - 1])
+            starts.append(start + at)
+        at += len(part)
+    none = np.zeros(0, np.int64)
+    start = np.concatenate(starts) if starts else none
+    ends = np.cumsum([len(r) + 1 for r in raws])
+    bounds = np.concatenate([[0], np.searchsorted(start, ends)])
+    return (first, bounds, np.concatenate(hashes) if hashes else np.zeros(0, U),
+            np.concatenate(endings) if endings else none)
