@@ -166,7 +166,8 @@ def near_duplicates(docs: DataFrame, save: Save, size: int = 5, percent: int = 8
     low = percent / 100 - MARGIN
     texts = with_ids(docs, id_col, text_col)
     marks = save(signatures(texts, size), "signatures")
-    classes = marks.where("n > 0").groupBy("n", "f1", "f2").agg(F.min("i").alias("rep"))
+    classes = save(marks.where("n > 0").groupBy("n", "f1", "f2").agg(F.min("i").alias("rep")),
+                   "smallest")  # stored, so that joins with large classes can be split
     own = save(marks.select("i", "n", "f1", "f2").join(classes, ["n", "f1", "f2"], "left")
                .select("i", "n", F.coalesce("rep", "i").alias("rep")), "classes")
     nodes = save(marks.where("n > 0").join(

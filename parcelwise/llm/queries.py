@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers as vocab
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, fingerprints, html_text, importance, maxent, minhash, packing, pseudonyms
+from . import bpe, fingerprints, html_text, importance, maxent, minhash, packing, passages, pseudonyms
 from . import vectors
 from ..sources.scratch import Scratch
 
@@ -50,6 +50,11 @@ def op5_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
                                lambda df: scratch.save(df, "scores"))
 
 
+def op6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.remove_repeats(table(spark, sf_dir, "documents"),
+                                   Scratch(spark, "passages").save)
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"),
                           vocab.path("byte_bpe_multi_50k.tiktoken"), vocab.PATTERN)
@@ -68,6 +73,6 @@ def op10_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_minhash, op2_packing, op3_vectors, op4_pseudonyms, op5_importance, op7_bpe,
-    op8_html_text, op9_fingerprints, op10_maxent)}
+    op1_minhash, op2_packing, op3_vectors, op4_pseudonyms, op5_importance, op6_passages,
+    op7_bpe, op8_html_text, op9_fingerprints, op10_maxent)}
 ORACLE_SQL: dict[str, str] = {}
