@@ -418,11 +418,10 @@ def without_repeats(docs: DataFrame, save: Save, id_col: str = "doc_id",
     """The documents with their repeated passages cut out and n_chars brought up to date;
     a cut never splits a character (its bytes stay).  Columns as given."""
 
-    def shorten(batches: Iterator[tuple]) -> Iterator[pd.Series]:
-        for texts, spans in batches:
-            yield pd.Series([cut_text(t, s) for t, s in zip(texts, spans)])
+    @F.pandas_udf("string")
+    def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
+        return pd.Series([cut_text(t, s) for t, s in zip(texts, spans)])
 
-    cut = F.pandas_udf(shorten, "string")
     spans = save(covered(docs, save, id_col, text_col), "spans")
     text = F.col(f"`{text_col}`")
     rows = docs.select("*", F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)).alias("_i"),
