@@ -290,10 +290,13 @@ def repeated_strings(rows: pd.DataFrame) -> pd.DataFrame:
                          "to": place + b - 1 - REACH + LENGTH})
 
 
-def compare_fragments(fragments: DataFrame) -> DataFrame:
+def compare_fragments(fragments: DataFrame, save: Save) -> DataFrame:
     """(i, from, to), by anchor; an anchor with more than TILE fragments in pairs of tiles."""
-    tiles = fragments.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / TILE).alias("k"))
-    dealt = fragments.join(tiles, "key").withColumn("tile", F.pmod(F.xxhash64("i", "place"), "k"))
+    tiles = save(fragments.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / TILE).alias("k"))
+                 .where("k > 1"), "tiles")  # stored, so that the join with a large key can be split
+    dealt = fragments.join(tiles, "key", "left") \
+        .withColumn("k", F.coalesce("k", F.lit(1).cast("long"))) \
+        .withColumn("tile", F.pmod(F.xxhash64("i", "place"), "k"))
     pairs = dealt.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1))
                          .alias("other")).select(
         "key", F.least("tile", "other").alias("ta"), F.greatest("tile", "other").alias("tb"),
@@ -356,7 +359,8 @@ def covered(docs: DataFrame, save: Save, id_col: str = "doc_id",
         .orderBy(F.desc("n"), "a").limit(MOST_HEAVY).toPandas()["a"].to_numpy(np.int64)
     reduced = save(reduce_fragments(second_pass(texts, heavy)), "reduced")
     strings = compare_fragments(save(
-        cut_fragments(texts, reduced.where("kind = 1").select("key", "i", "place")), "fragments"))
+        cut_fragments(texts, reduced.where("kind = 1").select("key", "i", "place")), "fragments"),
+        save)
     whole = early.where("kind = 0").select(F.col("a").alias("i"), F.col("b").alias("place")) \
         .unionByName(reduced.where("kind = 0").select("i", "place"))
     at = F.col("place").bitwiseAND((1 << TIE) - 1)
