@@ -27,6 +27,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .names import free
 from .words import LOWER, U, mix, word_hashes
 
 BITS = 18
@@ -210,20 +211,23 @@ def kth_largest(rows: DataFrame, column: str, k: int, exact_below: int = 10_000)
     return sorted((r[0] for r in within.select(column).collect()), reverse=True)[left - 1]
 
 
-def classify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The documents plus struct column `_score` and boolean `_accepted`.
+def classify(docs: DataFrame, model: Model, score_col: str, accepted_col: str,
+             text_col: str = "text") -> DataFrame:
+    """The documents plus a struct column with the scores and a boolean one.
 
     Null, empty and blank texts have no feature: weight 0, evidence 0, accepted.
     """
-    return docs.withColumn("_score", scores(F.col(text_col), model)) \
-        .withColumn("_accepted", F.col("_score.evidence") <= model.limit)
+    return docs.withColumn(score_col, scores(F.col(text_col), model)) \
+        .withColumn(accepted_col, F.col(score_col).getField("evidence") <= model.limit)
 
 
 def accepted(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The documents that the classifier does not reject, with their own columns only."""
     model = fit(docs, labels, **options)
+    names = free(docs, "_score", "_accepted")
     mine = [F.col(f"`{c}`") for c in docs.columns]
-    return classify(docs, model, options.get("text_col", "text")).where("_accepted").select(*mine)
+    return classify(docs, model, *names, options.get("text_col", "text")) \
+        .where(F.col(names[1])).select(*mine)
 
 
 def resample(docs: DataFrame, labels: DataFrame, save, share: float = 0.5, seed: int = 7,
@@ -235,10 +239,10 @@ def resample(docs: DataFrame, labels: DataFrame, save, share: float = 0.5, seed:
     as well.  Null ids draw as one id.  An empty table gives no rows.
     """
     model = fit(docs, labels, **options)
-    scored = save(classify(docs, model).select(
-        F.col("doc_id").cast("long").alias("doc_id"), "_score.*",
-        F.col("_accepted").alias("accepted"))
-        .withColumn("gumbel_key", F.col("log_weight") + gumbel(F.col("doc_id"), seed)))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    scored = save(classify(rows, model, "scores", "accepted")
+                  .select("doc_id", "scores.*", "accepted")
+        .withColumn("gumbel_key", F.col("log_weight") + gumbel(F.col("doc_id"), seed)), "scores")
     good = scored.where("accepted")
     edge = kth_largest(good, "gumbel_key", round(share * good.count()))
     return scored.withColumn("sampled", F.col("accepted") & (F.col("gumbel_key") >= edge))

@@ -33,6 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .minhash import NO_ID
+from .names import free
 from .words import INVERSE, U, mix, powers, prefix_sums
 
 LENGTH, GRAM = 100, 32
@@ -426,18 +427,19 @@ def without_repeats(docs: DataFrame, save: Save, id_col: str = "doc_id",
     def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
         return pd.Series([cut_text(t, s) for t, s in zip(texts, spans)])
 
-    spans = save(covered(docs, save, id_col, text_col), "spans")
+    found = save(covered(docs, save, id_col, text_col), "spans")
     text = F.col(f"`{text_col}`")
-    rows = docs.select("*", F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)).alias("_i"),
-                       text_tie(text).alias("_h"))
-    joined = rows.join(spans.select(F.col("i").alias("_i"), F.col("h").alias("_h"), "spans"),
-                       ["_i", "_h"], "left")
-    new = joined.withColumn(text_col, F.when(F.col("spans").isNull(), text)
-                            .otherwise(cut(text, F.col("spans"))))
+    i, h, spans = free(docs, "_i", "_h", "_spans")
+    rows = docs.select("*", F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)).alias(i),
+                       text_tie(text).alias(h))
+    new = rows.join(found.select(F.col("i").alias(i), F.col("h").alias(h),
+                                 F.col("spans").alias(spans)), [i, h], "left")
+    touched = F.col(spans).isNotNull()
+    new = new.withColumn(text_col, F.when(touched, cut(text, F.col(spans))).otherwise(text))
     if "n_chars" in docs.columns:
         kind = dict(docs.dtypes)["n_chars"]
-        new = new.withColumn("n_chars", F.when(F.col("spans").isNull(), F.col("n_chars"))
-                             .otherwise(F.char_length(text)).cast(kind))
+        new = new.withColumn("n_chars", F.when(touched, F.char_length(text).cast(kind))
+                             .otherwise(F.col("n_chars")))
     return new.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

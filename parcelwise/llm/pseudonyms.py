@@ -25,6 +25,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .names import free
+
 ROUNDS = 10
 
 # Formats.
@@ -257,16 +259,17 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text",
         F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)),
         lambda m: _let(_kind(m), lambda k: F.struct(
             m.alias("m"), k.alias("k"), pseudonym(m, k, key).alias("p"))))
-    rows = docs.withColumn("_found", F.when(text.rlike(CANDIDATE), found))
+    (hits,) = free(docs, "_found")
+    rows = docs.withColumn(hits, F.when(text.rlike(CANDIDATE), found))
     parts = F.split(text, CANDIDATE)
     new = F.array_join(F.transform(parts, lambda s, i: F.concat(s, F.coalesce(
-        F.get(F.col("_found"), i)["p"], F.get(F.col("_found"), i)["m"], F.lit("")))), "")
-    kinds = F.transform(F.filter("_found", lambda x: x["p"].isNotNull()), lambda x: x["k"])
+        F.get(F.col(hits), i)["p"], F.get(F.col(hits), i)["m"], F.lit("")))), "")
+    kinds = F.transform(F.filter(F.col(hits), lambda x: x["p"].isNotNull()), lambda x: x["k"])
     many = [F.coalesce(F.size(F.array_remove(kinds, n)), F.lit(0)) for n in KINDS]
     many = [(F.coalesce(F.size(kinds), F.lit(0)) - rest).cast("long").alias(n)
             for n, rest in zip(KINDS, many)]
     names = {c: F.col(f"`{c}`") for c in docs.columns}
-    names[text_col] = F.when(F.col("_found").isNull(), text).otherwise(new).alias(text_col)
-    names[counts] = F.when(F.col("_found").isNull(), F.struct(
+    names[text_col] = F.when(F.col(hits).isNull(), text).otherwise(new).alias(text_col)
+    names[counts] = F.when(F.col(hits).isNull(), F.struct(
         *[F.lit(0).cast("long").alias(n) for n in KINDS])).otherwise(F.struct(*many)).alias(counts)
     return rows.select(*names.values())

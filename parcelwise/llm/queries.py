@@ -44,10 +44,9 @@ def op4_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scratch = Scratch(spark, "importance")
     return importance.resample(table(spark, sf_dir, "documents"),
                                table(spark, sf_dir, "labels"),
-                               lambda df: scratch.save(df, "scores"))
+                               Scratch(spark, "importance").save)
 
 
 def op6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
