@@ -204,7 +204,7 @@ _QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
         w["stg_order_items"], w["stg_orders"], w["fct_order_items"], w["fct_orders"],
         w["dim_customer"], w["agg_customer_rfm"]),
     "metric_agreement": lambda w: an.metric_agreement(
-        w["agg_delivery_monthly"], w["fct_orders"], w.params, tolerance=0.05),
+        w["agg_delivery_monthly"], w["fct_orders"], w.params, tolerance=1e-4),
     # rules
     "rule_not_null": _rules("not_null"),
     "rule_unique": _rules("unique"),

@@ -56,7 +56,10 @@ def case(x: str, bands, op: str, null_label: str) -> str:
 
 
 def title(x: str) -> str:
-    return f"upper(left({x}, 1)) || lower(substr({x}, 2))"
+    breaks = r"\s\[\](){}/|\\<>!?@\"^#$&~_,.:;*%+\-"
+    parts = f"regexp_extract_all(trim({x}), '[^{breaks}]+|[{breaks}]+')"
+    return (f"array_to_string(list_transform({parts}, "
+            "lambda p: upper(p[1]) || lower(p[2:])), '')")
 
 
 MONTH = "year_month, month_label, month_start_date, is_in_analysis_window"
@@ -136,10 +139,9 @@ FRAGMENTS = {
     "r_product_category_translation": """
     select distinct ' ' || lower(p_type) as product_category_name,
       p_type || ' goods ' as product_category_name_english
-    from part where p_type <> 'PROMO'""",
+    from part""",
     "regions": """
-    select n_name as state, r_name as region from nation join region on n_regionkey = r_regionkey
-    where n_name <> 'NATION_24'""",
+    select n_name as state, r_name as region from nation join region on n_regionkey = r_regionkey""",
     # ---- staging -----------------------------------------------------------
     "s_orders": f"""
     select order_id, customer_id, order_status,
@@ -591,7 +593,7 @@ RED = {
       select order_id, order_approved_at, order_handed_to_carrier_at, order_delivered_at,
         case when order_handed_to_carrier_at < order_approved_at
           then 'carrier handover recorded before payment approval'
-          else 'delivery recorded before carrier handover' end as violation
+          else 'delivered before carrier handover' end as anomaly
       from i_delivery where order_handed_to_carrier_at < order_approved_at
         or order_delivered_at < order_handed_to_carrier_at"""),
     "status_matches_timestamp": ("warn", """
@@ -615,8 +617,8 @@ RED = {
         case when customer_rows <> people_with_kept_orders
             then 'row count does not match the number of people with a kept order'
           when customer_rows >= distinct_customer_ids
-            then 'as many rows as per-order customer ids'
-          else 'no repeat customers' end as violation
+            then 'as many rows as customer_ids: RFM is probably keyed on the per-order id'
+          else 'no repeat customers: RFM is probably keyed on the per-order id' end as violation
       from (select count(*) as customer_rows, max(frequency) as max_frequency from a_rfm),
         (select count(distinct customer_key) as people_with_kept_orders,
            count(distinct source_customer_id) as distinct_customer_ids
@@ -940,7 +942,7 @@ def _statements() -> dict[str, str]:
               as people_with_kept_orders,
             (select count(*) from a_rfm) as rfm_rows)""",
         "metric_agreement": f"""
-          select *, abs(model_rate - recomputed_rate) < 0.05 as agrees from (select
+          select *, abs(model_rate - recomputed_rate) < 1e-4 as agrees from (select
             (select {ra('sum(late_orders)', 'sum(orders_delivered)', 6)} from a_month
               where is_in_analysis_window) as model_rate,
             (select {ra(n('is_late'), 'count(*)', 6)} from f_orders

@@ -9,13 +9,19 @@ def lower_code(x: Column | str) -> Column:
     return F.lower(F.trim(x))
 
 
+# Fixed value: characters that end a word in a title.
+WORD_BREAKS = r"\s\[\](){}/|\\<>!?@\"^#$&~_,.:;*%+\-"
+
+
 def upper_code(x: Column | str) -> Column:
     return F.upper(F.trim(x))
 
 
 def title_name(x: Column | str) -> Column:
-    """Title case; Spark starts a new word at whitespace only."""
-    return F.initcap(F.trim(x))
+    """Title case; a word starts after white space or any of the fixed punctuation marks."""
+    parts = F.regexp_extract_all(F.trim(x), F.lit(f"[^{WORD_BREAKS}]+|[{WORD_BREAKS}]+"), F.lit(0))
+    return F.array_join(F.transform(parts, lambda p: F.concat(
+        F.upper(F.substring(p, 1, 1)), F.lower(F.substring(p, F.lit(2), F.length(p))))), "")
 
 
 def composite_key(*parts: Column | str) -> Column:

@@ -69,6 +69,3 @@ class Params:
     def __post_init__(self) -> None:
         if not self.calendar_start < self.calendar_end:
             raise ValueError("calendar_start must lie before calendar_end")
-        # The calendar is broadcast, so its length has to stay small.
-        if (self.calendar_end - self.calendar_start).days > 200_000:
-            raise ValueError("calendar spans more than 200,000 days")

@@ -78,11 +78,10 @@ def delivery_by_route(fct_orders: DataFrame, params: Params) -> DataFrame:
 def delivery_monthly(fct_orders: DataFrame, dim_date: DataFrame) -> DataFrame:
     """WHEN deliveries are late, by purchase month.
 
-    The calendar is broadcast: its length is limited by the parameters.  Orders outside
-    it stay, in a group without a month.
+    Orders outside the calendar stay, in a group without a month.
     """
     calendar = dim_date.select(F.col("date_key").alias("order_purchase_date"), *MONTH)
-    dated = fct_orders.where(KEPT).join(F.broadcast(calendar), "order_purchase_date", "left")
+    dated = fct_orders.where(KEPT).join(calendar, "order_purchase_date", "left")
     arrived = "case when is_delivered then {} end".format
     monthly = dated.groupBy(*MONTH).agg(
         F.count("*").alias("orders_placed"),

@@ -59,7 +59,7 @@ def load_raw(spark: SparkSession, paths: Mapping[str, str], expected: Mapping[st
     for table, path in paths.items():
         target = f"{root}/{release}/{table}"
         scanned = files.scan_table(spark, path, table)
-        files.stamp(scanned, batch, now, listed[table]["sha256"]).write.parquet(target)
+        files.stamp(scanned, batch, now, listed[table]["content_digest"]).write.parquet(target)
         loaded[table] = spark.read.parquet(target)
     counts = spark.createDataFrame([(t, r["rows"]) for t, r in listed.items()],
                                    "table string, rows bigint")

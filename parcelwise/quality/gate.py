@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Row, SparkSession
 
@@ -78,7 +78,7 @@ def release(spark: SparkSession, models: Mapping[str, DataFrame], root: str, par
 
     A red gate leaves the folder unmarked, so readers keep the release before it.
     """
-    name = (run_at or datetime.now()).strftime("%Y%m%dT%H%M%S%f")
+    name = (run_at or datetime.now(timezone.utc)).strftime("%Y%m%dT%H%M%S%f")
     written = {}
     for table in MARTS:
         path = f"{root}/{name}/{table}"

@@ -83,10 +83,10 @@ def recording_order(f: Frames, _: Params) -> DataFrame:
         (handed < F.col("order_approved_at"),
          "carrier handover recorded before payment approval"),
         (F.col("order_delivered_at") < handed,
-         "delivery recorded before carrier handover"))
+         "delivered before carrier handover"))
     return f["int_order_delivery"].select(
         "order_id", "order_approved_at", "order_handed_to_carrier_at", "order_delivered_at",
-        label.alias("violation")).where("violation is not null")
+        label.alias("anomaly")).where("anomaly is not null")
 
 
 def status_matches_timestamp(f: Frames, _: Params) -> DataFrame:
@@ -126,8 +126,9 @@ def rfm_at_person_grain(f: Frames, _: Params) -> DataFrame:
         (rows != F.col("people_with_kept_orders"),
          "row count does not match the number of people with a kept order"),
         (rows >= F.col("distinct_customer_ids"),
-         "as many rows as per-order customer ids"),
-        (F.col("max_frequency") <= 1, "no repeat customers"))
+         "as many rows as customer_ids: RFM is probably keyed on the per-order id"),
+        (F.col("max_frequency") <= 1,
+         "no repeat customers: RFM is probably keyed on the per-order id"))
     return kept.select(
         scored.agg(F.count("*")).scalar().alias("customer_rows"),
         "people_with_kept_orders", "distinct_customer_ids",

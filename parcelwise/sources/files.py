@@ -12,10 +12,6 @@ from pyspark.sql.types import StructType
 from ..functions.frames import union_all
 from .layout import MULTILINE, columns_of, schema_of
 
-# binaryFile keeps a file in one row, so only files up to this size get a byte checksum.
-CHECKSUM_LIMIT = 256 << 20
-
-
 def scan_csv(spark: SparkSession, path: str, schema: StructType, multiline: bool = False,
              encoding: str = "UTF-8") -> DataFrame:
     """Declared schema, header required to match it, any bad record fails the read."""
@@ -48,47 +44,57 @@ def fingerprint(df: DataFrame) -> DataFrame:
 
 
 def _labelled(listing: DataFrame, files: Mapping[str, str]) -> DataFrame:
-    """Table name of each listed file, from the last part of the table's path."""
+    """Table name of each listed file: its path is the table's path or lies below it."""
     label = F.lit(None).cast("string")
-    for table, path in files.items():
-        name = path.rstrip("/").rsplit("/", 1)[-1]
-        label = F.when(F.col("path").rlike(f"/{re.escape(name)}(/|$)"), table).otherwise(label)
+    for table, path in sorted(files.items(), key=lambda x: len(x[1])):  # the longest match wins
+        place = re.sub(r"^[a-zA-Z]\w*:/*", "/", path.rstrip("/"))
+        label = F.when(F.col("path").rlike(f"^[^:]*:/*{re.escape(place.lstrip('/'))}(/|$)")
+                       | F.col("path").rlike(f"^[^:]*://[^/]*{re.escape(place)}(/|$)"),
+                       table).otherwise(label)
     return listing.withColumn("table", label)
 
 
 def manifest(spark: SparkSession, files: Mapping[str, str],
-             expected: Mapping[str, int]) -> DataFrame:
-    """One row per table: size, checksum, true record count, expected count, match flag.
+             expected: Mapping[str, int], byte_checksum: bool = False) -> DataFrame:
+    """One row per table: size, content digest, true record count, expected count, match flag.
 
-    All files are listed by one scan that does not open them and hashed by one that
-    leaves out files beyond the limit; a table of several files has no single checksum.
+    The digest comes from the records, so it exists for tables of any size and any number of
+    files.  ``byte_checksum`` also hashes the bytes of every file, each in one task, and fails
+    for a file that a task cannot hold; several files are hashed by their sorted checksums.
     """
     listing = _labelled(spark.read.format("binaryFile").load(list(files.values())), files)
     sizes = listing.groupBy("table").agg(F.sum("length").alias("bytes"),
                                          F.count("*").alias("_files"))
-    digests = listing.where(F.col("length") <= CHECKSUM_LIMIT).groupBy("table").agg(
-        F.max(F.sha2("content", 256)).alias("sha256"))
+    if byte_checksum:
+        each = F.sort_array(F.collect_list(F.sha2("content", 256)))
+        digests = listing.groupBy("table").agg(each.alias("_each")).select("table", F.when(
+            F.size("_each") == 1, F.get("_each", 0)).otherwise(
+            F.sha2(F.concat_ws("", "_each"), 256)).alias("sha256"))
+    else:
+        digests = listing.select("table", F.lit(None).cast("string").alias("sha256")).distinct()
     counts = union_all(
         fingerprint(scan_table(spark, path, table)).select(
             F.lit(path.rsplit("/", 1)[-1]).alias("file"), F.lit(table).alias("table"),
             "rows", F.lit(expected.get(table)).cast("bigint").alias("expected_rows"),
             "content_sum")
         for table, path in files.items())
-    return counts.join(sizes, "table").join(digests, "table", "left").select(
-        "file", "table", "bytes", F.when(F.col("_files") == 1, F.col("sha256")).alias("sha256"),
-        "rows", "expected_rows",
-        (F.col("rows") == F.col("expected_rows")).alias("rows_match_expected"), "content_sum")
+    digest = F.sha2(F.concat_ws(":", F.col("rows").cast("string"),
+                                F.col("content_sum").cast("string")), 256)
+    return counts.join(sizes, "table", "left").join(digests, "table", "left").select(
+        "file", "table", "bytes", "sha256", digest.alias("content_digest"), "rows",
+        "expected_rows", (F.col("rows") == F.col("expected_rows")).alias("rows_match_expected"),
+        "content_sum")
 
 
 def stamp(df: DataFrame, batch_id: str, loaded_at: datetime,
-          sha256: str | None = None) -> DataFrame:
+          digest: str | None = None) -> DataFrame:
     """Lineage columns on every row; ``df`` must read files."""
     return df.select(
         "*",
         F.lit(batch_id).alias("_batch_id"),
         F.lit(loaded_at).alias("_loaded_at"),
         F.col("_metadata.file_path").alias("_source_uri"),
-        F.lit(sha256).cast("string").alias("_source_sha256"),
+        F.lit(digest).cast("string").alias("_source_digest"),
     )
 
 

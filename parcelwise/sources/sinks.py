@@ -51,18 +51,21 @@ def mark_released(spark: SparkSession, root: str, release: str) -> None:
     fs.create(path(f"{root}/{release}/{MARKER}"), True).close()
 
 
-def released(spark: SparkSession, root: str) -> str | None:
-    """Name of the newest marked release; names sort by time."""
+def released(spark: SparkSession, root: str, table: str | None = None) -> str | None:
+    """Name of the newest marked release (that holds the table, if one is named); names sort
+    by time."""
     fs, path = _fs(spark, root)
     if not fs.exists(path(root)):
         return None
     names = [s.getPath().getName() for s in fs.listStatus(path(root)) if s.isDirectory()]
-    marked = [n for n in names if fs.exists(path(f"{root}/{n}/{MARKER}"))]
+    marked = [n for n in names if fs.exists(path(f"{root}/{n}/{MARKER}"))
+              and (table is None or fs.exists(path(f"{root}/{n}/{table}")))]
     return max(marked, default=None)
 
 
 def read_released(spark: SparkSession, root: str, table: str) -> DataFrame:
-    release = released(spark, root)
+    """From the newest release that holds it: a release of some tables leaves the others."""
+    release = released(spark, root, table)
     if release is None:
-        raise LookupError(f"nothing released under {root}")
+        raise LookupError(f"{table} is not released under {root}")
     return spark.read.parquet(f"{root}/{release}/{table}")

@@ -16,14 +16,14 @@ from ..params import Params
 SOURCE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                  "events")
 
-# Cut-offs that suit the dates and volumes of these tables.  The calendar ends a day
-# before the last order and the window trims the first and last month.
+# Cut-offs that suit the dates and volumes of these tables.  The calendar covers every order
+# and the window trims the first and last month.
 STAR_PARAMS = Params(
     as_of=date(2001, 12, 31),
     window_start=date(1995, 2, 1),
     window_end=date(2001, 6, 30),
     calendar_start=date(1995, 1, 1),
-    calendar_end=date(2001, 8, 1),
+    calendar_end=date(2001, 8, 2),
     min_orders=8,
     min_month_orders=125,
     top_categories=3,
@@ -141,16 +141,16 @@ def raw_geolocation(t: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def raw_translation(t: Mapping[str, DataFrame]) -> DataFrame:
-    """Spelled with other case and spaces than the products use; PROMO has no entry."""
-    return t["part"].select("p_type").distinct().where("p_type <> 'PROMO'").selectExpr(
+    """Spelled with other case and spaces than the products use."""
+    return t["part"].select("p_type").distinct().selectExpr(
         "concat(' ', lower(p_type)) as product_category_name",
         "concat(p_type, ' goods ') as product_category_name_english")
 
 
 def state_regions(t: Mapping[str, DataFrame]) -> DataFrame:
-    """Nation to region, except one nation left unmapped."""
-    return t["nation"].join(t["region"], F.col("n_regionkey") == F.col("r_regionkey")).where(
-        "n_name <> 'NATION_24'").selectExpr("n_name as state", "r_name as region")
+    """Nation to region."""
+    return t["nation"].join(t["region"], F.col("n_regionkey") == F.col("r_regionkey")) \
+        .selectExpr("n_name as state", "r_name as region")
 
 
 RAW_BUILDERS = {

@@ -74,6 +74,9 @@ def test_keys_and_routes(spark):
 
 
 def test_text_normalisation(spark):
+    names = spark.createDataFrame([("ji-parana d'oeste (SP)",), (None,)], "s string")
+    assert [r[0] for r in names.select(text.title_name("s")).collect()] == [
+        "Ji-Parana D'oeste (Sp)", None]
     df = spark.createDataFrame([("  AbC dE ",)], "s string")
     r = df.select(text.lower_code("s"), text.upper_code("s"), text.title_name("s"),
                   text.has_text("s"), text.has_text(F.lit("  "))).first()

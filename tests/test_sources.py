@@ -85,7 +85,7 @@ def batch(tmp_path):
 
 
 def test_manifest_stamp_and_reconciliation(spark, batch):
-    m = files.manifest(spark, batch, {"sellers": 2, "order_reviews": 9})
+    m = files.manifest(spark, batch, {"sellers": 2, "order_reviews": 9}, byte_checksum=True)
     rows = rows_by(m, "table")
     with open(batch["sellers"], "rb") as fh:
         body = fh.read()
@@ -95,8 +95,9 @@ def test_manifest_stamp_and_reconciliation(spark, batch):
     assert rows["order_reviews"].rows == 1
 
     loaded = {t: files.stamp(files.scan_table(spark, p, t), "b1", datetime(2020, 1, 1),
-                             rows[t].sha256) for t, p in batch.items()}
+                             rows[t].content_digest) for t, p in batch.items()}
     one = loaded["sellers"].first()
+    assert one._source_digest == rows["sellers"].content_digest is not None
     assert one._batch_id == "b1" and one._source_uri.endswith("sellers.csv")
     assert {r.status for r in files.reconcile(m, loaded).collect()} == {"OK"}
     loaded["sellers"] = loaded["sellers"].limit(1)
@@ -114,8 +115,9 @@ def test_fingerprint_ignores_order_and_sees_duplicates(spark):
 def test_checksum_covers_the_whole_file(spark, tmp_path):
     head = ",".join(layout.columns_of("sellers")) + "\n" + "s1,100,x,SP\n" * (1 << 17)
     paths = [write(tmp_path / f"{x}.csv", head + f"s2,1,{x},RJ\n") for x in "ab"]
-    digests = {files.manifest(spark, {"sellers": p}, {}).first().sha256 for p in paths}
-    assert len(digests) == 2
+    digests = {files.manifest(spark, {"sellers": p}, {}, True).first()[c] for p in paths
+               for c in ("sha256", "content_digest")}
+    assert len(digests) == 4
 
 
 def test_file_gate(spark, batch, tmp_path):
@@ -172,3 +174,30 @@ def test_nothing_released_yet(spark, tmp_path):
     assert sinks.released(spark, str(tmp_path / "none")) is None
     with pytest.raises(LookupError):
         sinks.read_released(spark, str(tmp_path / "none"), "fct_orders")
+
+
+def test_manifest_of_colliding_and_multi_file_folders(spark, tmp_path):
+    head = ",".join(layout.columns_of("sellers")) + "\n"
+    for k in (1, 2):
+        (tmp_path / "sellers" / "orders").mkdir(parents=True, exist_ok=True)
+        (tmp_path / "sellers" / "sellers").mkdir(parents=True, exist_ok=True)
+        write(tmp_path / "sellers" / "sellers" / f"{k}.csv", head + f"s{k},100,x,SP\n")
+    orders = ",".join(layout.columns_of("orders")) + "\n"
+    write(tmp_path / "sellers" / "orders" / "o.csv", orders)
+    got = rows_by(files.manifest(spark, {
+        "sellers": str(tmp_path / "sellers" / "sellers"),
+        "orders": str(tmp_path / "sellers" / "orders")}, {}, True), "table")
+    assert got["sellers"].rows == 2 and got["orders"].rows == 0
+    assert got["orders"].bytes == len(orders.encode())
+    assert got["sellers"].sha256 and got["sellers"].content_digest
+
+
+def test_a_later_release_of_one_table_leaves_the_others(spark, tmp_path):
+    from parcelwise.sources import sinks
+    root = str(tmp_path / "raw")
+    for release, tables in (("1", "ab"), ("2", "b")):
+        for t in tables:
+            spark.createDataFrame([(release,)], "x string").write.parquet(f"{root}/{release}/{t}")
+        sinks.mark_released(spark, root, release)
+    assert sinks.read_released(spark, root, "a").first().x == "1"
+    assert sinks.read_released(spark, root, "b").first().x == "2"
