@@ -244,7 +244,7 @@ def test_pseudonyms(spark):
         assert gone not in new
     for stays in ("4111111111111112", "2021-02-30", "666-45-6789", "DE88370400440532013000"):
         assert stays in new
-    assert re.sub("[0-9A-Za-z]", "x", new[30:]) == re.sub("[0-9A-Za-z]", "x", text[30:])
+    assert re.sub("[0-9A-Za-z]+", "x", new[30:]) == re.sub("[0-9A-Za-z]+", "x", text[30:])
     phones = re.findall(r"(\d{3})\)? ?-?(\d{3})-(\d{4})", new)
     assert phones[0] == phones[1]
     card = re.search(r"\d{4}-\d{4}-\d{4}-\d{4}", new)[0].replace("-", "")
