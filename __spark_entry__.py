@@ -116,7 +116,7 @@ _QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "person_dimension": lambda w: w["dim_customer"],
     "seller_dimension": lambda w: w["dim_seller"],
     "product_dimension": lambda w: w["dim_product"],
-    "calendar_dimension": lambda w: w["dim_date"],
+    "calendar_dimension": lambda w: an.orders_by_day(w["fct_orders"], w["dim_date"]),
     "fct_orders": lambda w: w["fct_orders"],
     "fct_order_items": lambda w: w["fct_order_items"],
     "fct_payments": lambda w: w["fct_payments"],
@@ -155,6 +155,9 @@ _QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "state_board": lambda w: an.late_board(
         w["fct_orders"], ["customer_state", "customer_region"], _window(w),
         w.params.min_orders),
+    "ordered_state_board": lambda w: an.ordered_board(
+        an.late_board(w["fct_orders"], ["customer_state", "customer_region"], _window(w),
+                      w.params.min_orders), "customer_state"),
     "region_board": lambda w: an.late_board(
         w["fct_orders"], ["seller_region", "customer_region"],
         _window(w) & F.col("seller_region").isNotNull(), w.params.min_orders),
@@ -195,6 +198,7 @@ _QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "top_categories_by_units": lambda w: an.top_categories(
         w["agg_product_performance"], "units_sold"),
     "rank_gap": lambda w: an.rank_gaps(w["agg_product_performance"]),
+    "category_median_late_rate": lambda w: an.median_late_rate(w["agg_product_performance"]),
     "poor_delivery_categories": lambda w: an.poor_delivery(w["agg_product_performance"]),
     "rfm_segment_summary": lambda w: an.segment_summary(w["agg_customer_rfm"]),
     "frequency_distribution": lambda w: an.frequency_distribution(w["agg_customer_rfm"]),

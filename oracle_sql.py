@@ -660,7 +660,10 @@ def _statements() -> dict[str, str]:
         "person_dimension": "select * from d_customer",
         "seller_dimension": "select * from d_seller",
         "product_dimension": "select * from d_product",
-        "calendar_dimension": "select * from d_date",
+        "calendar_dimension": f"""
+          select d_date.*, count(order_id) as orders_placed,
+            count(order_id) filter ({KEPT}) as orders_kept, sum(order_revenue)::double as revenue
+          from d_date left join f_orders on order_purchase_date = date_key group by all""",
         "fct_orders": f"select * {_doubles(*FACT_MONEY)} from f_orders",
         "fct_order_items": f"select * {_doubles(*ITEM_MONEY)} from f_order_items",
         "fct_payments": f"select * {_doubles('payment_value')} from f_payments",
@@ -784,6 +787,10 @@ def _statements() -> dict[str, str]:
           from a_route group by 1, 2 having sum(delivered_orders) >= {P.min_orders}""",
         "state_board": _board("customer_state, customer_region", f"{SCOPE} and {WINDOW}",
                               str(P.min_orders), ", sum(order_revenue)::double as revenue"),
+        "ordered_state_board": "select *, row_number() over (order by late_rate desc nulls last,"
+            " delivered_orders desc, customer_state) as place from (" + _board(
+                "customer_state, customer_region", f"{SCOPE} and {WINDOW}", str(P.min_orders),
+                ", sum(order_revenue)::double as revenue") + ")",
         "region_board": _board(
             "seller_region, customer_region",
             f"{SCOPE} and {WINDOW} and seller_region is not null",
@@ -901,6 +908,11 @@ def _statements() -> dict[str, str]:
             abs(revenue_rank - volume_rank) as rank_gap, revenue::double as revenue,
             units_sold, avg_item_price
           from a_product where is_reportable order by rank_gap desc, product_category limit 8""",
+        "category_median_late_rate": f"""
+          select product_category, revenue::double as revenue, late_rate, median_late_rate,
+            late_rate > median_late_rate as above_median
+          from a_product cross join (select {fx('quantile_cont(late_rate, 0.5)', 6)}
+            as median_late_rate from a_product)""",
         "poor_delivery_categories": """
           select product_category, revenue::double as revenue, revenue_rank, units_sold,
             late_rate, median_delivery_days, avg_review_score

@@ -14,6 +14,8 @@ def union_all(frames: Iterable[DataFrame]) -> DataFrame:
     where a chain would analyse the first one again for every later one.
     """
     level = list(frames)
+    if not level:
+        raise ValueError("nothing to combine")
     while len(level) > 1:
         level = [level[i].unionByName(level[i + 1]) if i + 1 < len(level) else level[i]
                  for i in range(0, len(level), 2)]

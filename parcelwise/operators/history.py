@@ -12,6 +12,17 @@ def _local(instant: datetime) -> Column:
     return F.lit(instant.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
+def single_rows(current: DataFrame, key: str) -> DataFrame:
+    """The frame, failing while it runs if a key stands in two rows: each would open a
+    version of its own."""
+    n = F.count(F.lit(1))
+    once = current.groupBy(key).agg(*[F.first(c).alias(c) for c in current.columns if c != key],
+                                    n.alias("_rows"))
+    said = F.concat(F.lit(f"{key} is not unique: "), F.col(key).cast("string"))
+    return once.withColumn(key, F.when(F.col("_rows") > 1, F.raise_error(said))
+                           .otherwise(F.col(key))).select(*current.columns)
+
+
 def snapshot(current: DataFrame, history: DataFrame | None, key: str,
              check: Sequence[str], run_at: datetime, close_deleted: bool = True) -> DataFrame:
     """Next version of the history; the caller stores it as a new version.

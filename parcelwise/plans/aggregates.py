@@ -107,7 +107,9 @@ def delivery_monthly(fct_orders: DataFrame, dim_date: DataFrame) -> DataFrame:
 
 def monthly_sales(fct_order_items: DataFrame, fct_orders: DataFrame,
                   agg_delivery_monthly: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """Items and orders are each reduced to months at their own grain, then joined."""
+    """Items and orders are each reduced to months at their own grain, then joined.
+
+    Each pass counts one kind of distinct key, so no line is expanded."""
     month = month_of("order_purchase_date").alias("month_start_date")
     sold = fct_order_items.where(KEPT).groupBy(month).agg(
         money("item_price").alias("revenue"),
@@ -115,8 +117,9 @@ def monthly_sales(fct_order_items: DataFrame, fct_orders: DataFrame,
         money("item_gross_value").alias("gross_value"),
         F.count("*").alias("items_sold"),
         F.count_distinct("product_key").alias("distinct_products_sold"),
-        F.count_distinct("seller_key").alias("active_sellers"),
     )
+    sellers = fct_order_items.where(KEPT).groupBy(month).agg(
+        F.count_distinct("seller_key").alias("active_sellers"))
     placed = fct_orders.where(KEPT).groupBy(month).agg(
         F.count("*").alias("order_count"),
         F.count_distinct("customer_key").alias("active_customers"),
@@ -126,6 +129,7 @@ def monthly_sales(fct_order_items: DataFrame, fct_orders: DataFrame,
     months = dim_date.select(*MONTH).distinct()
     combined = (
         months.join(sold, "month_start_date")
+        .join(sellers, "month_start_date", "left")
         .join(placed, "month_start_date", "left")
         .join(service, "month_start_date", "left")
     )
@@ -144,24 +148,42 @@ def monthly_sales(fct_order_items: DataFrame, fct_orders: DataFrame,
 def product_performance(fct_order_items: DataFrame, dim_product: DataFrame,
                         fct_orders: DataFrame, params: Params) -> DataFrame:
     """Sales per category from item lines; delivery from distinct (order, category) pairs,
-    so an order with two categories counts once in each."""
-    items = fct_order_items.where(KEPT).join(
-        dim_product.select("product_key", "product_category"), "product_key", "left")
-    price, freight = F.sum("item_price"), F.sum("freight_value")
-    sales = items.groupBy("product_category").agg(
+    so an order with two categories counts once in each.
+
+    Lines are reduced before they meet the products, and each distinct count has its own
+    pass, so no line is expanded: sums per product, pairs of product and seller, and
+    triples of order, category and customer (an order has one customer).
+    """
+    items = fct_order_items.where(KEPT)
+    category_of = dim_product.select("product_key", "product_category")
+    per_product = items.groupBy("product_key").agg(
+        F.sum("item_price").alias("_price"), F.sum("freight_value").alias("_freight"),
+        F.count("*").alias("_units"), F.count("item_price").alias("_priced"))
+    price, freight = F.sum("_price"), F.sum("_freight")
+    sales = per_product.join(category_of, "product_key", "left").groupBy(
+        "product_category").agg(
         price.cast(TOTAL).alias("revenue"),
         freight.cast(TOTAL).alias("freight"),
-        F.count("*").alias("units_sold"),
-        F.count_distinct("order_id").alias("order_count"),
-        F.count_distinct("product_key").alias("distinct_products"),
-        F.count_distinct("seller_key").alias("distinct_sellers"),
-        F.count_distinct("customer_key").alias("distinct_customers"),
-        mean("item_price", 2).alias("avg_item_price"),
+        F.sum("_units").alias("units_sold"),
+        F.count("product_key").alias("distinct_products"),
+        safe_ratio(price, F.sum("_priced"), 2).alias("avg_item_price"),
         safe_ratio(freight, price + freight, 4).alias("freight_share_of_gross"),
     )
+    sellers = items.select("product_key", "seller_key").distinct().join(
+        category_of, "product_key", "left").groupBy("product_category").agg(
+        F.count_distinct("seller_key").alias("distinct_sellers"))
+    bought = items.join(category_of, "product_key", "left").select(
+        "order_id", "product_category", "customer_key").distinct()
+    buyers = bought.groupBy("product_category").agg(
+        F.count("order_id").alias("order_count"),
+        F.count_distinct("customer_key").alias("distinct_customers"))
+    for counts in (sellers, buyers):  # one row per category; items without a product included
+        other = counts.withColumnRenamed("product_category", "_category")
+        sales = sales.join(other, F.col("product_category").eqNullSafe(F.col("_category")),
+                           "left").drop("_category")
     scored = fct_orders.where("is_delivered and delay_vs_promise_days is not null").select(
         "order_id", "is_late", "total_delivery_days", "review_score")
-    shipped = items.select("order_id", "product_category").distinct().join(scored, "order_id")
+    shipped = bought.join(scored, "order_id")
     service = shipped.groupBy("product_category").agg(
         F.count("*").alias("delivered_orders"),
         tally("is_late").alias("late_orders"),

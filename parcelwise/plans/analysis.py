@@ -94,6 +94,12 @@ def late_board(fct_orders: DataFrame, keys: Sequence[str], where: Column,
     ).where(F.col("delivered_orders") >= floor)
 
 
+def ordered_board(board: DataFrame, key: str) -> DataFrame:
+    """A board from worst to best, with the place of each row; ties end in the key."""
+    worst = Window.orderBy(F.desc("late_rate"), F.desc("delivered_orders"), key)
+    return board.withColumn("place", F.row_number().over(worst).cast("bigint")).orderBy("place")
+
+
 def busiest_late_routes(routes: DataFrame, k: int = 20) -> DataFrame:
     return routes.where("is_reportable").orderBy(
         F.desc("late_orders"), "delivery_route").limit(k).select(
@@ -324,6 +330,15 @@ def poor_delivery(products: DataFrame) -> DataFrame:
         "median_delivery_days", "avg_review_score")
 
 
+def median_late_rate(products: DataFrame) -> DataFrame:
+    """Each category against the median late rate of all: the middle value, or the mean of
+    the two middle ones.  One row per category comes in."""
+    middle = products.agg(F.median("late_rate")).scalar()
+    gap = F.col("late_rate") - F.col("median_late_rate")
+    return products.select("product_category", "revenue", "late_rate").withColumn(
+        "median_late_rate", fixed(middle, 6)).withColumn("above_median", gap > 0)
+
+
 # --- people ------------------------------------------------------------------
 def segment_summary(rfm: DataFrame) -> DataFrame:
     totals = rfm.groupBy("rfm_segment").agg(
@@ -361,6 +376,17 @@ def at_risk(rfm: DataFrame) -> DataFrame:
         safe_ratio(F.sum(exposed), F.sum("monetary"), 4).alias("at_risk_share"))
 
 
+# --- calendar ----------------------------------------------------------------
+def orders_by_day(fct_orders: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """Orders of every calendar day with the fields of the day; days without orders stay."""
+    placed = fct_orders.groupBy(F.col("order_purchase_date").alias("date_key")).agg(
+        F.count("*").alias("orders_placed"),
+        F.count_if(F.expr(KEPT)).alias("orders_kept"),
+        money("order_revenue").alias("revenue"))
+    return dim_date.join(placed, "date_key", "left").fillna(
+        0, ["orders_placed", "orders_kept"])
+
+
 # --- reconciliation ----------------------------------------------------------
 def reconciliation(stg_order_items: DataFrame, stg_orders: DataFrame,
                    fct_order_items: DataFrame, fct_orders: DataFrame,

@@ -29,8 +29,9 @@ class Warehouse:
     """
 
     def __init__(self, spark: SparkSession, raw: Mapping[str, Callable[[], DataFrame]],
-                 params: Params, scratch: Scratch, stored: frozenset[str] = frozenset()):
-        self.spark, self.params, self.scratch = spark, params, scratch
+                 params: Params, scratch: Scratch, stored: frozenset[str] = frozenset(),
+                 target: str | None = None):
+        self.spark, self.params, self.scratch, self.target = spark, params, scratch, target
         self._raw, self._stored = raw, stored
         self._frames: dict[str, DataFrame] = {}
 
@@ -40,11 +41,17 @@ class Warehouse:
             self._frames[name] = self._keep(name, df) if self._is_written(name) else df
         return self._frames[name]
 
+    def into(self, folder: str) -> Warehouse:
+        """The same tables, with the marts written below ``folder``."""
+        return Warehouse(self.spark, self._raw, self.params, self.scratch, self._stored, folder)
+
     def _is_written(self, name: str) -> bool:
-        return name in MARTS and name != "dim_date" or name in self._stored
+        return name in MARTS and (name != "dim_date" or self.target is not None) \
+            or name in self._stored
 
     def _keep(self, name: str, df: DataFrame) -> DataFrame:
-        path = f"{self.scratch.root}/{name}"
+        root = self.target if self.target and name in MARTS else self.scratch.root
+        path = f"{root}/{name}"
         write_table(name, df, path)
         return self.spark.read.parquet(path)
 

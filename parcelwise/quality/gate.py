@@ -8,8 +8,9 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Row, SparkSession
 
+from ..operators import history
 from ..params import Params
-from ..plans.warehouse import MARTS, write_table
+from ..plans.warehouse import MARTS, Warehouse
 from ..sources import files, sinks
 from .invariants import evaluate_invariants
 from .rules import ERROR, Rule, evaluate
@@ -72,31 +73,31 @@ def check_models(frames: Mapping[str, DataFrame], params: Params,
     return report(evaluate(rules, frames).unionByName(evaluate_invariants(frames, params)))
 
 
-def release(spark: SparkSession, models: Mapping[str, DataFrame], root: str, params: Params,
+def release(spark: SparkSession, models: Warehouse, root: str, params: Params,
             rules: Iterable[Rule] = tuple(MODEL_RULES), run_at: datetime | None = None) -> Report:
-    """Write every mart to a new folder, check what was written, then mark the folder.
+    """Write every mart once, into a new folder, check what was written, then mark the folder.
 
-    A red gate leaves the folder unmarked, so readers keep the release before it.
+    A red gate leaves the folder unmarked, so readers keep the release before it.  The
+    history of product categories goes on from the last release that has one.
     """
-    name = (run_at or datetime.now(timezone.utc)).strftime("%Y%m%dT%H%M%S%f")
-    written = {}
+    instant = run_at or datetime.now(timezone.utc)
+    name = instant.strftime("%Y%m%dT%H%M%S%f")
+    written = models.into(f"{root}/{name}")
     for table in MARTS:
-        path = f"{root}/{name}/{table}"
-        write_table(table, models[table], path)
-        written[table] = spark.read.parquet(path)
-    outcome = check_models(_Layered(written, models), params, rules)
+        written[table]
+    outcome = check_models(written, params, rules)
     if outcome.blocked:
         raise GateRed(outcome)
+    before = sinks.read_released(spark, root, HISTORY) \
+        if sinks.released(spark, root, HISTORY) else None
+    versions = history.snapshot(
+        history.single_rows(written["stg_products"].select(*HISTORY_COLUMNS), "product_key"),
+        before, "product_key", HISTORY_CHECK, instant.replace(tzinfo=None))
+    versions.write.parquet(f"{root}/{name}/{HISTORY}")
     sinks.mark_released(spark, root, name)
     return outcome
 
 
-class _Layered(dict):
-    """Written marts first, lazy models for everything below them."""
-
-    def __init__(self, written: Mapping[str, DataFrame], models: Mapping[str, DataFrame]):
-        super().__init__(written)
-        self._models = models
-
-    def __missing__(self, name: str) -> DataFrame:
-        return self._models[name]
+HISTORY = "snap_product_category"
+HISTORY_CHECK = ["product_category", "product_category_pt"]
+HISTORY_COLUMNS = ["product_key", *HISTORY_CHECK, "product_weight_g", "product_volume_cm3"]

@@ -1,8 +1,9 @@
 from datetime import datetime
 
+import pytest
 from conftest import rows_by
 
-from parcelwise.operators.history import as_of, snapshot
+from parcelwise.operators.history import as_of, single_rows, snapshot
 
 T1, T2, T3, T4, T5 = (datetime(2020, m, 1) for m in range(1, 6))
 
@@ -45,3 +46,10 @@ def test_deletions_can_stay_open(spark):
     second = snapshot(products(spark, [("b", "x", 1)]), first, "k", ["category"], T2,
                       close_deleted=False)
     assert second.where("valid_to is null").count() == 2
+
+
+def test_a_key_in_two_rows_stops_the_snapshot(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (1, "c")], "k int, v string")
+    with pytest.raises(Exception, match="k is not unique: 1"):
+        single_rows(rows, "k").collect()
+    assert single_rows(rows.where("v <> 'c'"), "k").count() == 2

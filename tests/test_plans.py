@@ -60,6 +60,15 @@ def test_no_row_level_work_in_one_task(shop):
         assert "BroadcastNestedLoopJoin" not in text
 
 
+def test_distinct_counts_do_not_expand_lines(shop):
+    sales = agg.monthly_sales(shop["fct_order_items"], shop["fct_orders"],
+                              shop["agg_delivery_monthly"], shop["dim_date"])
+    products = agg.product_performance(shop["fct_order_items"], shop["dim_product"],
+                                       shop["fct_orders"], shop.params)
+    for df in (sales, products):
+        assert "Expand" not in plan(df)
+
+
 def test_item_collapse_joins_without_further_shuffle(spark, shop):
     with settings(spark, **NO_BROADCAST):
         text = plan(grain.items_per_order(shop["stg_order_items"]))

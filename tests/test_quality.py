@@ -7,6 +7,7 @@ from conftest import RAW
 from pyspark.sql import functions as F
 
 from parcelwise.params import Params
+from parcelwise.plans import warehouse
 from parcelwise.plans.warehouse import MARTS, Warehouse
 from parcelwise.quality import gate, invariants
 from parcelwise.quality.rules import WARN, Rule, evaluate, failing_rows, unique
@@ -144,6 +145,36 @@ def test_release_and_fault_injection(spark, tmp_path):
     assert sinks.released(spark, root) > first
 
 
+def test_release_writes_a_mart_once_and_keeps_the_history(spark, tmp_path, monkeypatch):
+    root, written = str(tmp_path / "marts"), []
+    write = warehouse.write_table
+    monkeypatch.setattr(warehouse, "write_table",
+                        lambda name, df, path: (written.append(name), write(name, df, path)))
+    rules = [r for r in MODEL_RULES if r.table == "fct_orders"]
+
+    def change(tables):
+        first, *rest = tables["products"]
+        tables["products"] = [(first[0], "perfumaria", *first[2:]), *rest]
+
+    gate.release(spark, clean_warehouse(spark), root, Params(), rules, datetime(2020, 1, 1))
+    marts = [t for t in written if t in MARTS]
+    assert sorted(marts) == sorted(MARTS)
+    before = sinks.read_released(spark, root, gate.HISTORY)
+    assert before.where("valid_to is not null").count() == 0
+    gate.release(spark, clean_warehouse(spark, change), root, Params(), rules,
+                 datetime(2020, 1, 2))
+    after = sinks.read_released(spark, root, gate.HISTORY)
+    closed = after.where("valid_to is not null").collect()
+    assert [r.product_key for r in closed] == [RAW["products"][0][0]]
+    assert closed[0].valid_to == datetime(2020, 1, 2)
+    assert after.count() == before.count() + 1
+
+
+def test_no_rules_are_refused():
+    with pytest.raises(ValueError):
+        evaluate([], {})
+
+
 def test_report_counts_tables(spark):
     frames = {"a": spark.createDataFrame([(1,), (1,)], "k int"),
               "b": spark.createDataFrame([(1,), (2,)], "k int")}
