@@ -386,6 +386,22 @@ def test_maxent_sums_to_one_and_learns():
     assert np.allclose(table.sum(1), 1)
 
 
+def test_maxent_beats_the_base_on_held_out_text(spark, save):
+    local = random.Random(3)
+    follows = {w: local.sample(WORDS, 2) for w in WORDS}  # each word has two successors
+    rows = []
+    for i in range(400):
+        word, text = local.choice(WORDS), []
+        for _ in range(60):
+            text.append(word)
+            word = local.choice(follows[word])
+        rows.append((i, " ".join(text)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    one = maxent.score(df, save).where("held_out").agg(
+        F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).first()
+    assert one[0] / one[2] > one[1] / one[2] + 0.3  # log10 a token; the text has 1 bit a word
+
+
 def test_importance(spark, save):
     rows, labels = [], []
     for i in range(400):
