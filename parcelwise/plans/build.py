@@ -1,4 +1,4 @@
-"""The whole run: manifest, file gate, raw load, reconciliation, marts, release.
+"""The whole run: one parse of the files, gate, manifest, raw load, reconciliation, marts, release.
 
 Every step writes a new folder and marks it only when its checks pass, so a rerun gives
 the same tables and a failed run changes nothing a reader can see.
@@ -7,14 +7,16 @@ the same tables and a failed run changes nothing a reader can see.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..params import Params
 from ..quality import gate
+from ..quality.rules import WARN, Rule
+from ..quality.suites import FILE_RULES
 from ..sources import files, layout, sinks
 from ..sources.scratch import Scratch
 from .warehouse import Warehouse
@@ -29,6 +31,11 @@ class Load:
     release: str
     manifest: tuple
     reconciliation: tuple
+    verdicts: gate.Report
+    staged: Mapping[str, DataFrame]
+
+
+MANIFEST = "load_manifest"
 
 
 def csv_paths(folder: str, tables: Sequence[str] | None = None,
@@ -40,34 +47,43 @@ def csv_paths(folder: str, tables: Sequence[str] | None = None,
 
 
 def load_raw(spark: SparkSession, paths: Mapping[str, str], expected: Mapping[str, int],
-             root: str, now: datetime | None = None) -> Load:
-    """CSV files to a released folder of raw Parquet tables.
-
-    The manifest is one row per file.  Row counts that differ from ``expected`` are
-    reported in it; the gate compares each file with what the manifest counted.
+             root: str, now: datetime | None = None, stored: DataFrame | None = None,
+             rules: Iterable[Rule] = tuple(FILE_RULES), encoding: str = "UTF-8") -> Load:
+    """CSV files to a released folder of raw Parquet tables and their manifest.
+
+    Each file is parsed once, whole; counts, digests, rules and the release read what was
+    written then.  A header or record that does not fit turns the gate red.  Row counts that
+    differ from ``expected`` warn.  With ``stored``, a manifest of an earlier run, files whose
+    content has changed since are refused.
     """
     now = now or datetime.now(timezone.utc).replace(tzinfo=None)
     batch, release = uuid.uuid4().hex[:12], now.strftime("%Y%m%dT%H%M%S%f")
-    listed = {r["table"]: r for r in files.manifest(spark, paths, expected).collect()}
-
-    verdict = gate.report(gate.file_results(
-        spark, paths, {t: r["rows"] for t, r in listed.items()}))
+    staged = files.stage(spark, paths, encoding)
+    verdict = gate.report(gate.file_results(spark, paths, expected, WARN, staged, rules))
     if verdict.blocked:
         raise gate.GateRed(verdict)
 
+    files.manifest(spark, paths, expected, staged=staged).withColumns({
+        "batch_id": F.lit(batch), "loaded_at": F.lit(now)}) \
+        .write.parquet(f"{root}/{release}/{MANIFEST}")
+    manifest = spark.read.parquet(f"{root}/{release}/{MANIFEST}")
+    if stored is not None:
+        verdict = gate.Report(verdict.rows + gate.report(gate.unchanged(manifest, stored)).rows)
+        if verdict.blocked:
+            raise gate.GateRed(verdict)
+    listed = {r["table"]: r for r in manifest.collect()}
+
     loaded: dict[str, DataFrame] = {}
-    for table, path in paths.items():
+    for table in paths:
         target = f"{root}/{release}/{table}"
-        scanned = files.scan_table(spark, path, table)
-        files.stamp(scanned, batch, now, listed[table]["content_digest"]).write.parquet(target)
+        files.stamp(staged[table], batch, now, listed[table]["content_digest"]) \
+            .write.parquet(target)
         loaded[table] = spark.read.parquet(target)
-    counts = spark.createDataFrame([(t, r["rows"]) for t, r in listed.items()],
-                                   "table string, rows bigint")
-    checked = tuple(files.reconcile(counts, loaded).collect())
+    checked = tuple(files.reconcile(manifest, loaded).collect())
     if any(r["status"] != "OK" for r in checked):
         raise LoadMismatch(", ".join(r["table"] for r in checked if r["status"] != "OK"))
     sinks.mark_released(spark, root, release)
-    return Load(release, tuple(listed.values()), checked)
+    return Load(release, tuple(listed.values()), checked, verdict, staged)
 
 
 def raw_warehouse(spark: SparkSession, root: str, params: Params) -> Warehouse:

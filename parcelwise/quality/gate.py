@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from ..operators import history
 from ..params import Params
@@ -51,21 +51,38 @@ def report(results: DataFrame) -> Report:
 
 
 def file_results(spark: SparkSession, paths: Mapping[str, str],
-                 expected: Mapping[str, int]) -> DataFrame:
-    """Column list against the declared schema, row count against the manifest, and the
-    file rules; one pass per file.  A file with a wrong header gets no further rule."""
-    fine = {t: files.header_matches(spark, p, t) for t, p in paths.items()}
+                 expected: Mapping[str, int], severity: str = ERROR,
+                 staged: Mapping[str, DataFrame] | None = None,
+                 rules: Iterable[Rule] = tuple(FILE_RULES)) -> DataFrame:
+    """Column list against the declared schema, records that do not fit it, row counts against
+    ``expected``, and the file rules, over the parsed tables.
+
+    Tables are parsed whole unless ``staged`` has them.  One with a wrong header gets no
+    further rule.
+    """
+    frames = files.stage(spark, paths) if staged is None else staged
     headers = spark.createDataFrame(
-        [(t, "columns(declared, in order)", ERROR, int(not ok), 1, ok)
-         for t, ok in fine.items()],
+        [(t, "columns(declared, in order)", ERROR, int(t not in frames), 1, t in frames)
+         for t in paths],
         "table_name string, rule string, severity string, failing bigint, checked bigint, "
         "passed boolean")
-    frames = {t: files.scan_table(spark, paths[t], t) for t, ok in fine.items() if ok}
     if not frames:
         return headers
-    counts = [Rule(t, "row_count", "*", values=(expected[t],)) for t in frames]
+    always = [Rule(t, "readable", files.BAD_RECORD) for t in frames] + [
+        Rule(t, "row_count", "*", values=(expected[t],), severity=severity)
+        for t in frames if t in expected]
     return headers.unionByName(
-        evaluate(counts + [r for r in FILE_RULES if r.table in frames], frames))
+        evaluate(always + [r for r in rules if r.table in frames], frames))
+
+
+def unchanged(listed: DataFrame, stored: DataFrame) -> DataFrame:
+    """Verdicts: each table's content against a manifest stored before."""
+    before = stored.select("table", F.col("content_digest").alias("_before"))
+    same = F.col("content_digest").eqNullSafe(F.col("_before"))
+    return listed.join(before, "table", "left").select(
+        F.col("table").alias("table_name"), F.lit("unchanged(content_digest)").alias("rule"),
+        F.lit(ERROR).alias("severity"), F.when(same, 0).otherwise(1).cast("bigint")
+        .alias("failing"), F.lit(1).cast("bigint").alias("checked"), same.alias("passed"))
 
 
 def check_models(frames: Mapping[str, DataFrame], params: Params,

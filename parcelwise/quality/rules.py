@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.frames import union_all
 
 ERROR, WARN = "error", "warn"
-ROW_KINDS = ("not_null", "accepted_values", "accepted_range", "length", "row_count")
+ROW_KINDS = ("not_null", "accepted_values", "accepted_range", "length", "row_count", "readable")
 
 
 @dataclass(frozen=True)
@@ -73,6 +73,8 @@ def violation(rule: Rule) -> str:
     c = f"`{rule.column}`"
     if rule.kind == "not_null":
         return f"{c} is null"
+    if rule.kind == "readable":  # the column holds the text of a record that could not be read
+        return f"{c} is not null"
     if rule.kind == "accepted_values":
         return f"{c} not in ({', '.join(map(_literal, rule.values))})"
     if rule.kind == "length":
@@ -118,7 +120,7 @@ def _row_rules(rules: list[Rule], df: DataFrame) -> DataFrame:
             counts.append(f"abs(count(*) - {r.values[0]}) as f{i}")
         else:
             counts.append(f"count_if({violation(r)}) as f{i}")
-        every = r.kind in ("not_null", "row_count")
+        every = r.kind in ("not_null", "row_count", "readable")
         counts.append(f"count({'*' if every else f'`{r.column}`'}) as c{i}")
         allowed = f"c{i} - c{i} * {r.mostly}D + 1e-9D" if r.mostly < 1 else "0"
         rows.append(_result(r, f"f{i}", f"c{i}", f"f{i} <= {allowed}"))

@@ -6,11 +6,17 @@ import re
 from collections.abc import Mapping
 from datetime import datetime
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from ..functions.frames import union_all
 from .layout import MULTILINE, columns_of, schema_of
+from .scratch import Scratch
+
+BAD_RECORD = "_bad_record"
+
 
 def scan_csv(spark: SparkSession, path: str, schema: StructType, multiline: bool = False,
              encoding: str = "UTF-8") -> DataFrame:
@@ -27,14 +33,45 @@ def scan_table(spark: SparkSession, path: str, table: str) -> DataFrame:
     return scan_csv(spark, path, schema_of(table), table in MULTILINE)
 
 
-def header_of(spark: SparkSession, path: str) -> list[str]:
-    first = spark.read.option("header", True).option("escape", '"').csv(path)
+def parse_table(spark: SparkSession, path: str, table: str,
+                encoding: str = "UTF-8") -> DataFrame:
+    """Every column as declared, where the row came from, and the text of a record that does
+    not fit the declaration.  Write it before use: a scan of some columns parses only those."""
+    return (
+        spark.read.schema(StructType([*schema_of(table).fields]).add(BAD_RECORD, StringType()))
+        .option("header", True).option("enforceSchema", False).option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", BAD_RECORD).option("escape", '"')
+        .option("multiLine", table in MULTILINE).option("encoding", encoding)
+        .csv(path).select("*", F.col("_metadata.file_path").alias("_source_uri"))
+    )
+
+
+def stage(spark: SparkSession, paths: Mapping[str, str],
+          encoding: str = "UTF-8") -> dict[str, DataFrame]:
+    """Each table parsed once into Parquet.  A table with a file whose header differs from the
+    declaration is left out."""
+    scratch, out = Scratch(spark, "staged"), {}
+    for table, path in paths.items():
+        if not header_matches(spark, path, table, encoding):
+            continue
+        try:
+            out[table] = scratch.save(parse_table(spark, path, table, encoding), table)
+        except (Py4JJavaError, PySparkException) as failed:  # a later file of the folder
+            if "CSV header" not in str(failed):
+                raise
+    return out
+
+
+def header_of(spark: SparkSession, path: str, encoding: str = "UTF-8") -> list[str]:
+    first = spark.read.option("header", True).option("escape", '"') \
+        .option("encoding", encoding).csv(path)
     return [c.lstrip("﻿") for c in first.columns]
 
 
-def header_matches(spark: SparkSession, path: str, table: str) -> bool:
+def header_matches(spark: SparkSession, path: str, table: str,
+                   encoding: str = "UTF-8") -> bool:
     """Names and their order against the declaration, not against the file itself."""
-    return header_of(spark, path) == columns_of(table)
+    return header_of(spark, path, encoding) == columns_of(table)
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
@@ -55,9 +92,11 @@ def _labelled(listing: DataFrame, files: Mapping[str, str]) -> DataFrame:
 
 
 def manifest(spark: SparkSession, files: Mapping[str, str],
-             expected: Mapping[str, int], byte_checksum: bool = False) -> DataFrame:
+             expected: Mapping[str, int], byte_checksum: bool = False,
+             staged: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """One row per table: size, content digest, true record count, expected count, match flag.
 
+    Counts and digest come from ``staged`` tables if given, else from a scan of the files.
     The digest comes from the records, so it exists for tables of any size and any number of
     files.  ``byte_checksum`` also hashes the bytes of every file, each in one task, and fails
     for a file that a task cannot hold; several files are hashed by their sorted checksums.
@@ -73,7 +112,8 @@ def manifest(spark: SparkSession, files: Mapping[str, str],
     else:
         digests = listing.select("table", F.lit(None).cast("string").alias("sha256")).distinct()
     counts = union_all(
-        fingerprint(scan_table(spark, path, table)).select(
+        fingerprint(staged[table].select(*columns_of(table)) if staged
+                    else scan_table(spark, path, table)).select(
             F.lit(path.rsplit("/", 1)[-1]).alias("file"), F.lit(table).alias("table"),
             "rows", F.lit(expected.get(table)).cast("bigint").alias("expected_rows"),
             "content_sum")
@@ -88,12 +128,14 @@ def manifest(spark: SparkSession, files: Mapping[str, str],
 
 def stamp(df: DataFrame, batch_id: str, loaded_at: datetime,
           digest: str | None = None) -> DataFrame:
-    """Lineage columns on every row; ``df`` must read files."""
+    """Lineage columns on every row; ``df`` reads the source files or is staged from them."""
+    data = [c for c in df.columns if c not in (BAD_RECORD, "_source_uri")]
+    uri = "_source_uri" if "_source_uri" in df.columns else "_metadata.file_path"
     return df.select(
-        "*",
+        *data,
         F.lit(batch_id).alias("_batch_id"),
         F.lit(loaded_at).alias("_loaded_at"),
-        F.col("_metadata.file_path").alias("_source_uri"),
+        F.col(uri).alias("_source_uri"),
         F.lit(digest).cast("string").alias("_source_digest"),
     )
 
@@ -116,6 +158,37 @@ def reconcile(manifest_rows: DataFrame, frames: Mapping[str, DataFrame]) -> Data
     )
 
 
+def acceptance(frames: Mapping[str, DataFrame], expected: Mapping[str, int]) -> DataFrame:
+    """Rows of the loaded tables against the published counts."""
+    wanted = F.create_map(*[F.lit(x) for t, k in expected.items() for x in (t, k)])
+    read = row_counts(frames).select(
+        "table", "rows", F.try_element_at(wanted, F.col("table")).cast("bigint")
+        .alias("expected_rows"))
+    return read.select("*", (F.col("rows") - F.col("expected_rows")).alias("delta"),
+                       F.col("rows").eqNullSafe(F.col("expected_rows")).alias("accepted"))
+
+
+def column_profile(table: str, df: DataFrame) -> DataFrame:
+    """(table, column, rows, present, checksum): one pass, one row per declared column.
+
+    The checksum adds up characters, seconds, cents, thousandths or whole numbers, so it does
+    not depend on the order of rows.
+    """
+    measure = {
+        "string": "length(`{c}`)", "bigint": "`{c}`", "double": "floor(`{c}` * 1000)",
+        "decimal(12,2)": "`{c}` * 100",
+        "timestamp_ntz": "datediff(`{c}`, date'1970-01-01') * 86400L + hour(`{c}`) * 3600"
+                         " + minute(`{c}`) * 60 + second(`{c}`)",
+    }
+    sums, rows = ["count(*) as n"], []
+    for i, f in enumerate(schema_of(table).fields):
+        each = measure[f.dataType.simpleString()].format(c=f.name)
+        sums += [f"count(`{f.name}`) as p{i}", f"sum(cast({each} as bigint)) as s{i}"]
+        rows.append(f"named_struct('table', '{table}', 'column', '{f.name}', 'rows', n, "
+                    f"'present', p{i}, 'checksum', s{i})")
+    return df.selectExpr(*sums).selectExpr(f"inline(array({', '.join(rows)}))")
+
+
 def compare_folders(spark: SparkSession, source: str, target: str,
                     min_share: float = 0.9) -> DataFrame:
     """Same file names on both sides, none empty, none much smaller than its source."""

@@ -40,6 +40,13 @@ def write_clustered(df: DataFrame, path: str, cluster: Sequence[str]) -> None:
     df.repartitionByRange(*cluster).sortWithinPartitions(*cluster).write.parquet(path)
 
 
+def write_csv(df: DataFrame, path: str) -> None:
+    """A folder of files that the CSV scan reads back unchanged."""
+    df.write.option("header", True).option("escape", '"') \
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False) \
+        .csv(path)
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

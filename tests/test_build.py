@@ -81,3 +81,54 @@ def test_marts_from_loaded_files(spark, folder, tmp_path):
 
 def test_only_requested_tables(tmp_path):
     assert runs.csv_paths("/x/", ["sellers"], {"sellers": "s.csv"}) == {"sellers": "/x/s.csv"}
+
+
+def test_a_bad_value_in_a_column_without_rules_is_a_verdict(spark, folder, tmp_path):
+    src, counts = folder
+    with open(src / "sellers.csv", "a", newline="") as fh:
+        csv.writer(fh).writerow(["s9", "abc", "x", "SP"])
+    root = str(tmp_path / "raw")
+    with pytest.raises(gate.GateRed) as red:
+        runs.load_raw(spark, runs.csv_paths(str(src), ["sellers"]), counts, root)
+    assert [r["rule"] for r in red.value.report.failures if r["severity"] == "error"] == [
+        "readable(_bad_record)"]
+    assert sinks.released(spark, root) is None
+
+
+def test_a_later_file_with_another_header_is_a_verdict(spark, tmp_path):
+    names = layout.columns_of("sellers")
+    (tmp_path / "sellers.csv").mkdir()
+    for k, cols in enumerate((names, names[::-1])):
+        (tmp_path / "sellers.csv" / f"{k}.csv").write_text(",".join(cols) + "\ns1,1,x,SP\n")
+    with pytest.raises(gate.GateRed, match="columns"):
+        runs.load_raw(spark, runs.csv_paths(str(tmp_path), ["sellers"]), {}, str(tmp_path / "r"))
+
+
+def test_subset_reload_and_stored_manifest(spark, folder, tmp_path):
+    src, counts = folder
+    root = str(tmp_path / "raw")
+    paths = runs.csv_paths(str(src), ["sellers", "products"])
+    runs.load_raw(spark, paths, counts, root, datetime(2020, 1, 1))
+    stored = sinks.read_released(spark, root, runs.MANIFEST)
+    assert {r["table"]: r["rows"] for r in stored.collect()} == {
+        t: counts[t] for t in paths}
+    one = {"sellers": paths["sellers"]}
+    runs.load_raw(spark, one, counts, root, datetime(2020, 1, 2), stored)
+    assert sinks.read_released(spark, root, "products").count() == counts["products"]
+
+    with open(src / "sellers.csv", "a", newline="") as fh:
+        csv.writer(fh).writerow(["s9", 1, "x", "SP"])
+    with pytest.raises(gate.GateRed, match="unchanged"):
+        runs.load_raw(spark, one, counts, root, datetime(2020, 1, 3), stored)
+    short = runs.load_raw(spark, one, counts, root, datetime(2020, 1, 4))
+    assert [(r["rule"], r["severity"]) for r in short.verdicts.failures] == [
+        ("row_count(*)", "warn")]
+
+
+def test_files_in_another_encoding(spark, tmp_path):
+    head = ",".join(layout.columns_of("sellers"))
+    (tmp_path / "sellers.csv").write_text(f"{head}\ns1,1,São Paulo,SP\n", encoding="latin-1")
+    root = str(tmp_path / "raw")
+    runs.load_raw(spark, runs.csv_paths(str(tmp_path), ["sellers"]), {"sellers": 1}, root,
+                  encoding="ISO-8859-1")
+    assert sinks.read_released(spark, root, "sellers").first().seller_city == "São Paulo"
