@@ -6,10 +6,16 @@ the lower-cased text and the lengths of runs of one repeated word.
 
 * `log_weight` is a document's mean log ratio times a reference length: how much likelier
   the trusted model finds it.
-* `evidence` adds up, over the document's distinct buckets, how far a ratio lies below
+* a document's evidence adds up, over its distinct buckets, how far a ratio lies below
   -TOLERANCE (features common in raw text that trusted text does not have), over
   1 + features / EASE, because long texts meet more rare features by chance.
-* a document is accepted up to the evidence that parts the labelled rows best.
+* byte 4-grams do not see a word made of common syllables.  Whole words and pairs of words
+  have models of their own, of how many rejected and how many trusted labelled documents hold
+  them, so a repetition neither adds nor dilutes.  Their evidence is over the root of
+  1 + distinct words / WORD_EASE; a labelled document is judged without its own counts.
+* a document is accepted if no evidence is beyond its limit.  Limits are those that part the
+  labelled rows best, first for grams, then for words and pairs among what is still accepted.
+  The column `evidence` is the largest share of a limit.
 * Gumbel top-k draws a share of the accepted ones, without replacement and in proportion to
   their weights: log weight plus a Gumbel number from a hash of the id.
 
@@ -38,6 +44,16 @@ PART = 1 << 20  # bytes of a text handled at once
 REFERENCE = 512
 EASE = 10_000
 TOLERANCE = 2.0
+WORD_BITS = 20
+WORD_EASE = 100
+WORD_TOLERANCES = (2.5, 3.0)  # words, pairs
+
+
+def word_features(text: str | None) -> list[np.ndarray]:
+    """Distinct buckets of the words and of the pairs of neighbouring words."""
+    words = word_hashes(text)
+    pairs = mix(words[1:] * U(0xD6E8FEB86659FD93) + words[:-1])
+    return [np.unique((mix(x) >> U(64 - WORD_BITS)).astype(np.int64)) for x in (words, pairs)]
 
 
 def features(text: str | None) -> Iterator[np.ndarray]:
@@ -66,9 +82,10 @@ def features(text: str | None) -> Iterator[np.ndarray]:
 @dataclass
 class Model:
     ratios: np.ndarray  # float32, one per bucket
-    limit: float = float("inf")
+    words: tuple[np.ndarray, ...] = ()  # float32, what a word or a pair adds to its evidence
+    limits: tuple[float, ...] = ()  # of grams, words, pairs
 
-    def score(self, text: str | None) -> tuple[int, float, float]:
+    def grams(self, text: str | None) -> tuple[int, float, float]:
         """Number of features, log weight, evidence."""
         n, total, seen = 0, 0.0, []
         for part in features(text):
@@ -81,6 +98,32 @@ class Model:
         excess = -self.ratios[buckets].astype(np.float64) - TOLERANCE
         return n, REFERENCE * total / n, float(excess[excess > 0].sum() / (1 + n / EASE))
 
+    def score(self, text: str | None) -> tuple[int, float, float]:
+        """Number of features, log weight, largest share of a limit."""
+        n, weight, evidence = self.grams(text)
+        found = [evidence]
+        if n and any(limit < float("inf") for limit in self.limits[1:]):
+            found += [eased(table[b]) for table, b in zip(self.words, word_features(text))]
+        return n, weight, max((of_limit(e, limit) for e, limit in zip(found, self.limits)),
+                              default=0.0)
+
+
+def eased(excess: np.ndarray) -> float:
+    return float(excess.sum(dtype=np.float64) / (1 + len(excess) / WORD_EASE) ** 0.5)
+
+
+def of_limit(evidence: float, limit: float) -> float:
+    """At most 1 up to the limit."""
+    if evidence <= limit:
+        return evidence / limit if 0 < limit < float("inf") else 0.0
+    return evidence / limit if limit > 0 else 1 + evidence
+
+
+def word_excess(bad, trusted, n_bad: int, n_trusted: int, tolerance: float) -> np.ndarray:
+    """How far log shares of rejected and trusted documents differ beyond the tolerance."""
+    ratio = np.log((bad + 0.5) / (n_bad + 1)) - np.log((trusted + 0.5) / (n_trusted + 1))
+    return np.maximum(ratio - tolerance, 0)
+
 
 def label_sample(labels: DataFrame, max_labels: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted ids and whether each is trusted; rows without an id or quality are left out,
@@ -108,17 +151,23 @@ def fit(docs: DataFrame, labels: DataFrame, max_labels: int = 200_000, id_col: s
     size = 1 << BITS
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts = np.zeros((2, size), np.int64)
+        counts = [np.zeros(size, np.int64) for _ in range(2)]
+        held = [np.zeros(1 << WORD_BITS, np.int64) for _ in range(4)]
+        n = np.zeros(BLOCK, np.int64)  # rejected and trusted documents
         for batch in batches:
             at, known = find(ids, batch["i"])
             trusted = known & (good[at] if len(good) else False)
-            for text, yes in zip(batch["t"], trusted):
+            for text, labelled, yes in zip(batch["t"], known, trusted):
                 for part in features(text):
                     np.add.at(counts[0], part, 1)
                     if yes:
                         np.add.at(counts[1], part, 1)
-        rows = [(k, b, counts[k, b:b + BLOCK].tobytes()) for k in (0, 1)
-                for b in range(0, size, BLOCK) if counts[k, b:b + BLOCK].any()]
+                if labelled:
+                    n[int(yes)] += 1
+                    for k, part in enumerate(word_features(text)):
+                        held[2 * k + int(yes)][part] += 1
+        rows = [(k, b, c[b:b + BLOCK].tobytes()) for k, c in enumerate([*counts, *held, n])
+                for b in range(0, len(c), BLOCK) if c[b:b + BLOCK].any()]
         yield pd.DataFrame(rows, columns=["k", "b", "c"])
 
     def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -132,38 +181,61 @@ def fit(docs: DataFrame, labels: DataFrame, max_labels: int = 200_000, id_col: s
 
     schema = "k int, b int, c binary"
     total = np.zeros((2, size))
+    held = np.zeros((4, 1 << WORD_BITS), np.int32)
+    n = np.zeros(BLOCK, np.int64)
     for k, b, c in pairs.mapInPandas(count, schema).repartition("k", "b") \
-            .mapInPandas(add, schema).collect():  # at most 2**BITS / BLOCK rows a model
-        total[k, b:b + BLOCK] += np.frombuffer(c, np.int64)
+            .mapInPandas(add, schema).collect():  # at most 2**BITS / BLOCK rows a gram model
+        target = total[k] if k < 2 else held[k - 2] if k < 6 else n
+        target[b:b + BLOCK] += np.frombuffer(c, np.int64).astype(target.dtype)
     if not total[1].any():
         return Model(np.zeros(size, np.float32))
     share = np.log(total + 0.5) - np.log(total.sum(1, keepdims=True) + size / 2)
     model = Model((share[1] - share[0]).astype(np.float32))
+    n_bad, n_good = int(n[0]), int(n[1])
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             at, known = find(ids, batch["i"])
-            where = np.flatnonzero(known)
-            yield pd.DataFrame({
-                "e": [model.score(batch["t"].iat[i])[2] for i in where], "g": good[at[where]]})
-
-    judged = pairs.mapInPandas(judge, "e double, g boolean").toPandas()  # the sample only
-    model.limit = best_limit(judged["e"].to_numpy(float), judged["g"].to_numpy(bool))
-    return model
-
-
-def best_limit(evidence: np.ndarray, good: np.ndarray) -> float:
+            rows = []
+            for i in np.flatnonzero(known):
+                text, yes = batch["t"].iat[i], bool(good[at[i]])
+                found = [eased(word_excess(held[2 * k][w] - (not yes), held[2 * k + 1][w] - yes,
+                                           n_bad - (not yes), n_good - yes, tolerance))
+                         for k, (w, tolerance) in enumerate(zip(word_features(text),
+                                                                WORD_TOLERANCES))]
+                rows.append((model.grams(text)[2], *found, yes))
+            yield pd.DataFrame(rows, columns=["grams", "words", "pairs", "g"])
+
+    judged = pairs.mapInPandas(judge, "grams double, words double, pairs double, g boolean") \
+        .toPandas()  # the sample only
+    g = judged["g"].to_numpy(bool)
+    kept, limits = np.ones(len(g), bool), []
+    for column in ("grams", "words", "pairs"):
+        e = judged[column].to_numpy(float)
+        limits.append(best_limit(e[kept], g[kept], int(g.sum()), int((~g).sum())))
+        kept &= e <= limits[-1]
+    words = tuple(word_excess(held[2 * k], held[2 * k + 1], n_bad, n_good, tolerance)
+                  .astype(np.float32) for k, tolerance in enumerate(WORD_TOLERANCES))
+    return Model(model.ratios, words, tuple(limits))
+
+
+def best_limit(evidence: np.ndarray, good: np.ndarray, n_good: int = 0,
+               n_bad: int = 0) -> float:
     """Middle of the widest gap among the limits with the best balanced accuracy; without
-    labelled bad rows nothing is rejected."""
+    labelled bad rows, or if no limit is better than none, nothing is rejected.  n_good and
+    n_bad count rows that are already rejected as well."""
     if good.all() or not good.any():
         return float("inf")
     order = np.argsort(evidence, kind="stable")
     e, g = evidence[order], good[order]
-    gain = np.cumsum(g) / g.sum() - np.cumsum(~g) / (~g).sum()  # limit at e[i], keeps 0..i
+    # limit at e[i], keeps 0..i
+    gain = np.cumsum(g) / (n_good or g.sum()) - np.cumsum(~g) / (n_bad or (~g).sum())
     last = np.r_[e[1:] != e[:-1], True]
     gain[~last] = -np.inf
     best = np.flatnonzero(gain >= gain.max() - 1e-12)
-    upper = np.where(best + 1 < len(e), e[np.minimum(best + 1, len(e) - 1)], e[best])
+    if best[-1] == len(e) - 1:
+        return float("inf")
+    upper = e[best + 1]
     pick = int(np.argmax(upper - e[best]))
     return float((e[best[pick]] + upper[pick]) / 2)
 
@@ -218,7 +290,7 @@ def classify(docs: DataFrame, model: Model, score_col: str, accepted_col: str,
     Null, empty and blank texts have no feature: weight 0, evidence 0, accepted.
     """
     return docs.withColumn(score_col, scores(F.col(text_col), model)) \
-        .withColumn(accepted_col, F.col(score_col).getField("evidence") <= model.limit)
+        .withColumn(accepted_col, F.col(score_col).getField("evidence") <= 1)
 
 
 def accepted(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:

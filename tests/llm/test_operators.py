@@ -427,6 +427,27 @@ def test_importance(spark, save):
     assert importance.accepted(df.limit(0), lab).count() == 0
 
 
+def test_importance_sees_words_of_common_syllables(spark):
+    dice = random.Random(11)
+    syllables = ["an", "er", "ti", "on", "es", "re", "la", "mo"]
+    marks = ["anertionla", "moresanti", "estilaonre"]
+    rows, bad = [], {i for i in range(600) if i % 6 == 0}
+    for i in range(600):
+        words = ["".join(dice.choice(syllables) for _ in range(dice.choice([1, 2, 3, 4, 5])))
+                 for _ in range(150)]
+        if i in bad:
+            for at in dice.sample(range(150), 3):
+                words[at] = dice.choice(marks)
+        rows.append((i, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    lab = spark.createDataFrame([(i, 1, int(i in bad)) for i in range(600) if i % 4 < 2],
+                                "doc_id long, quality int, toxic int")
+    ids = {r["doc_id"] for r in importance.accepted(df, lab).collect()}
+    held_out = {i for i in range(600) if i % 4 >= 2}
+    assert len(held_out & bad & ids) <= 2
+    assert len(held_out - bad - ids) <= 0.05 * len(held_out)
+
+
 def test_kth_largest(spark):
     values = [rng.choice([rng.random() * 1000, 5.0]) for _ in range(3000)]
     df = spark.createDataFrame([(v,) for v in values], "x double")
