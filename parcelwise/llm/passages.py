@@ -141,26 +141,32 @@ def sorted_anchors(batch: pd.DataFrame):
     return key, whole, ids, place, new_key, new_key | np.r_[True, whole[1:] != whole[:-1]][:len(key)]
 
 
-def first_pass(docs: DataFrame) -> DataFrame:
-    """kind 0: (id, place) whose fragment has come before in its batch; kind 1: anchors with
-    many different fragments in a batch and how many."""
+def scan(docs: DataFrame) -> DataFrame:
+    """kind 0: (i, place) whose fragment has come before in its batch; kind 1: firsts of
+    fragments in each batch; kind 2: anchors with many different fragments in a batch and, in
+    `whole`, how many.  Store it: what is first depends on the borders of batches, which a
+    second scan need not repeat."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            key, _, ids, place, new_key, first = sorted_anchors(batch)
+            key, whole, ids, place, new_key, first = sorted_anchors(batch)
             again = ~first
             # an equal row (same id, same place) is a repeated row, not an earlier string
             same = np.r_[False, (ids[1:] == ids[:-1]) & (place[1:] == place[:-1])][:len(ids)]
             again &= ~same | ~first_run(first, same)
             many = np.add.reduceat(first.astype(np.int64), np.flatnonzero(new_key)) \
                 if len(key) else np.zeros(0, np.int64)
-            heavy = key[new_key][many >= HEAVY]
+            heavy, many = key[new_key][many >= HEAVY], many[many >= HEAVY]
+            n = [int(again.sum()), int(first.sum()), len(heavy)]
+            no_key, no_place = np.zeros(n[0], np.int64), np.zeros(n[2], np.int64)
             yield pd.DataFrame({
-                "kind": np.repeat([0, 1], [int(again.sum()), len(heavy)]).astype(np.int32),
-                "a": np.concatenate([ids[again], heavy]),
-                "b": np.concatenate([place[again], many[many >= HEAVY]])})
+                "kind": np.repeat([0, 1, 2], n).astype(np.int32),
+                "key": np.concatenate([no_key, key[first], heavy]),
+                "whole": np.concatenate([no_key, whole[first], many]),
+                "i": np.concatenate([ids[again], ids[first], no_place]),
+                "place": np.concatenate([place[again], place[first], no_place])})
 
-    return docs.mapInPandas(run, "kind int, a long, b long")
+    return docs.mapInPandas(run, "kind int, key long, whole long, i long, place long")
 
 
 def first_run(first: np.ndarray, same: np.ndarray) -> np.ndarray:
@@ -171,19 +177,15 @@ def first_run(first: np.ndarray, same: np.ndarray) -> np.ndarray:
     return seen - np.r_[0, seen[np.flatnonzero(first)]][group] == 0
 
 
-def second_pass(docs: DataFrame, heavy: np.ndarray) -> DataFrame:
-    """Firsts of fragments in each batch."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            key, whole, ids, place, _, first = sorted_anchors(batch)
-            key, whole, ids, place = key[first], whole[first], ids[first], place[first]
-            hot = np.isin(key, heavy)
-            salt = np.where(hot, whole % SALTS, -1).astype(np.int32)
-            yield pd.DataFrame({"key": key, "whole": whole, "i": ids, "place": place,
-                                "salt": salt})
-
-    return docs.mapInPandas(run, "key long, whole long, i long, place long, salt int")
+def salted(scanned: DataFrame) -> DataFrame:
+    """The firsts of a stored scan, with a salt at heavy anchors and -1 at others."""
+    heavy = scanned.where("kind = 2").groupBy("key").agg(F.sum("whole").alias("n")) \
+        .orderBy(F.desc("n"), "key").limit(MOST_HEAVY).collect()
+    hot = scanned.sparkSession.createDataFrame([(r["key"], True) for r in heavy],
+                                               "key long, hot boolean")
+    return scanned.where("kind = 1").join(F.broadcast(hot), "key", "left").select(
+        "key", "whole", "i", "place",
+        F.when(F.col("hot"), F.pmod("whole", F.lit(SALTS))).otherwise(-1).cast("int").alias("salt"))
 
 
 def reduce_fragments(rows: DataFrame) -> DataFrame:
@@ -355,14 +357,12 @@ def covered(docs: DataFrame, save: Save, id_col: str = "doc_id",
     """(i, h, spans): covered stretches of each document that has any, not merged.  i is the
     id (or a number for null), h tells texts of one id apart."""
     texts = keyed(docs, id_col, text_col)
-    early = save(first_pass(texts), "early")
-    heavy = early.where("kind = 1").groupBy("a").agg(F.sum("b").alias("n")) \
-        .orderBy(F.desc("n"), "a").limit(MOST_HEAVY).toPandas()["a"].to_numpy(np.int64)
-    reduced = save(reduce_fragments(second_pass(texts, heavy)), "reduced")
+    scanned = save(scan(texts), "anchors")
+    reduced = save(reduce_fragments(salted(scanned)), "reduced")
     strings = compare_fragments(save(
         cut_fragments(texts, reduced.where("kind = 1").select("key", "i", "place")), "fragments"),
         save)
-    whole = early.where("kind = 0").select(F.col("a").alias("i"), F.col("b").alias("place")) \
+    whole = scanned.where("kind = 0").select("i", "place") \
         .unionByName(reduced.where("kind = 0").select("i", "place"))
     at = F.col("place").bitwiseAND((1 << TIE) - 1)
     whole = whole.select("i", (F.col("place") - F.least(at, F.lit(REACH))).alias("from"),

@@ -294,6 +294,25 @@ def test_passages(docs, save, monkeypatch):
                 assert r["n_removed"] == 0
 
 
+def test_passages_do_not_depend_on_equal_batches(spark):
+    rows = [(k, BASE) for k in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    scratch, conf = Scratch(spark, "test"), "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(conf)
+
+    def save(frame, name):
+        stored = scratch.save(frame, name)
+        spark.conf.set(conf, 10_000)  # later scans cut other batches
+        return stored
+
+    try:
+        spark.conf.set(conf, 1)
+        got = {r["doc_id"]: r["n_removed"] for r in passages.remove_repeats(df, save).collect()}
+    finally:
+        spark.conf.set(conf, before)
+    assert got == {k: len(BASE.encode()) if k else 0 for k in range(6)}
+
+
 def test_passages_leave_whole_characters(docs, save):
     left = passages.without_repeats(docs, save)
     assert left.columns == docs.columns
