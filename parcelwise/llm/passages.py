@@ -224,16 +224,21 @@ def reduce_fragments(rows: DataFrame) -> DataFrame:
 
 
 def cut_fragments(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(key, i, place, left, bytes): the fragments at the wanted places."""
+    """(key, i, place, left, bytes): the fragments at the wanted places, from one of the equal
+    rows that a task meets."""
     per_doc = wanted.withColumn("h", F.shiftright("place", TIE)).groupBy("i", "h").agg(
         F.collect_list(F.struct("key", F.col("place").bitwiseAND((1 << TIE) - 1).alias("at")))
         .alias("wanted"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen = set()
         for batch in batches:
             rows = []
             for i, h, text, places in batch[["i", "h", "t", "wanted"]].itertuples(index=False):
                 raw = (text or "").encode("utf-8", "surrogatepass")
+                if (i, len(raw), hash(raw)) in seen:
+                    continue
+                seen.add((i, len(raw), hash(raw)))
                 for w in places:
                     at = w["at"]
                     low = max(0, at - REACH)
@@ -274,7 +279,9 @@ def sort_columns(matrix: np.ndarray) -> np.ndarray:
 
 
 def repeated_strings(rows: pd.DataFrame) -> pd.DataFrame:
-    """Covered stretches of the fragments of whole anchors (or of two tiles of one)."""
+    """Covered stretches of the fragments of whole anchors (or of two tiles of one), in order
+    of key, id and place.  Equal rows of a document give one fragment."""
+    rows = rows[~rows.duplicated(["key", "i", "place", "bytes"])]
     raw = rows["bytes"].to_numpy()
     left = rows["left"].to_numpy(np.int64)
     size = np.fromiter(map(len, raw), np.int64, len(raw))

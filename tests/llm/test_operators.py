@@ -294,6 +294,17 @@ def test_passages(docs, save, monkeypatch):
                 assert r["n_removed"] == 0
 
 
+@pytest.mark.parametrize("parts", [1, 3])
+def test_passages_keep_a_repeated_row_that_comes_first(spark, save, parts):
+    dice = random.Random(3)
+    words = [" ".join(str(dice.randrange(10 ** 6)) for _ in range(40)) for _ in range(5)]
+    first, later = words[0] + words[1] + words[2], words[3] + words[1] + words[4]
+    df = spark.createDataFrame([(16, first), (20, later), (16, first)], "doc_id long, text string")
+    got = passages.remove_repeats(df.repartition(parts), save).collect()
+    assert sorted((r["doc_id"], r["n_removed"]) for r in got) == [
+        (16, 0), (16, 0), (20, len(words[1]))]
+
+
 def test_passages_do_not_depend_on_equal_batches(spark):
     rows = [(k, BASE) for k in range(6)]
     df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
