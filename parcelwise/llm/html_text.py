@@ -4,9 +4,10 @@ A page is cut into blocks; each block has the path of block-level tags (with cla
 the root.  Per path, the text length, the punctuation and the length of link text are added
 up and give two ratios per node, length and punctuation.  Both are smoothed over the blocks
 in page order, so a heading between long paragraphs is not alone, and fused into one value.
-The fused mass picks the container: the `article` or `main` with most of it, or else the
-deepest path that holds nearly all of it.  Inside an explicit container every path stays
-that is not a list of links; without one, paths below a share of the container's mean go.
+Every outermost `article` or `main` is a container; without one it is the deepest path of
+sectioning tags that holds nearly all of the fused mass.  Inside a container every path stays
+that is not a list of links; without an explicit one, so do the paths of all other sections
+whose mean is not below a share of the container's.
 Paths through tags or class names that mark page furniture have no mass at all.
 """
 
@@ -42,6 +43,9 @@ CLASS_WORDS = frozenset(
     "menu modal nav navbar navigation newsletter notice notices pagination popup promo promos "
     "related reply replies respond share sharing sidebar skip social sponsor sponsored subscribe "
     "subscription toolbar widget".split())
+#: Before or after a class word these tell of the layout, as in has-sidebar or no-sidebar.
+LAYOUT = frozenset("has is layout no not with without".split())
+SECTIONS = frozenset("html body center div section".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar alert "
                   "dialog".split())
 
@@ -56,6 +60,23 @@ PUNCTUATION = re.compile(r"[.,;:!?…。，、！？]")
 LINK_LIST, SHARE, HOLDS = 0.75, 0.15, 0.8
 
 
+def names_furniture(name: str) -> bool:
+    """Whether a class or id has a furniture word that does not describe the layout."""
+    words = ["", *re.split(r"[^a-z0-9]+", name), ""]
+    return any(
+        word in CLASS_WORDS and before not in LAYOUT and after != "layout"
+        and not (before == "content" and after in ("wrap", "wrapper", "container"))
+        for before, word, after in zip(words, words[1:], words[2:]))
+
+
+def section_of(path: tuple[str, ...]) -> tuple[str, ...]:
+    """The path up to its deepest sectioning tag."""
+    for n in range(len(path), 0, -1):
+        if path[n - 1].split(".")[0] in SECTIONS:
+            return path[:n]
+    return ()
+
+
 def is_furniture(tag: str, attrs: str) -> bool:
     if tag in FURNITURE:
         return True
@@ -63,10 +84,9 @@ def is_furniture(tag: str, attrs: str) -> bool:
         return tag == "article" and "comment" in attrs.lower()
     found = {k.lower(): unescape(a or b or c) for k, a, b, c in ATTR.findall(attrs)}
     names = f"{found.get('class', '')} {found.get('id', '')}"
-    spaced = re.sub(r"(?<=[a-z])(?=[A-Z])", " ", names).lower()
-    words = set(re.split(r"[^a-z0-9]+", spaced))
+    joined = re.sub(r"(?<=[a-z])(?=[A-Z])", "-", names).lower()
     lone = {w for w in names.lower().split()}
-    return (bool(words & CLASS_WORDS) or bool(lone & {"header", "site-header", "page-header"})
+    return (any(map(names_furniture, joined.split())) or bool(lone & {"header", "site-header", "page-header"})
             or found.get("role", "").lower() in ROLES
             or found.get("aria-hidden", "").lower() == "true"
             or bool(re.search(r"(?:^|\s)hidden(?:\s|=|/|$)", attrs))
@@ -183,15 +203,24 @@ def content_blocks(html: str | None) -> list[str]:
     for path, v in value.items():
         for depth in range(len(path) + 1):
             below[path[:depth]] += v
-    named = [p for p in below if p and p[-1].split(".")[0] in ("article", "main") and below[p] > 0]
-    if named:
-        home = max(named, key=lambda p: (below[p], -len(p)))
-    else:
-        home = max((p for p in below if below[p] >= HOLDS * below[()]), key=len)
-    inside = {p for p in value if p[:len(home)] == home}
-    mean = sum(value[p] for p in inside) / max(1, sum(nodes[p] for p in inside))
-    keep = {p for p in inside if linked[p] < LINK_LIST * size[p]
-            and (named or value[p] / nodes[p] >= SHARE * mean)}
+    named = {p for p in below if p and p[-1].split(".")[0] in ("article", "main") and below[p] > 0}
+    inside = {p for p in value if any(p[:d] in named for d in range(len(p) + 1))}
+    if not named:
+        home = max((p for p in below if below[p] >= HOLDS * below[()] and section_of(p) == p),
+                   key=len)
+        whole = bool(home) and home[-1].split(".")[0] not in ("html", "body")
+        inside = {p for p in value if section_of(p) == home or whole and p[:len(home)] == home}
+        held, count = defaultdict(float), defaultdict(int)
+        for p, v in value.items():
+            section = home if p in inside else section_of(p)
+            held[section] += v
+            count[section] += nodes[p]
+        mean = sum(value.values()) / sum(nodes.values())
+        if count[home]:
+            mean = min(mean, held[home] / count[home])
+        inside |= {p for p in value if held[section_of(p)] >= SHARE * mean * count[section_of(p)]
+                   and count[section_of(p)]}
+    keep = {p for p in inside if linked[p] < LINK_LIST * size[p]}
     return [b.text for b in blocks if b.path in keep]
 
 

@@ -348,6 +348,24 @@ def test_html():
     assert html_text.content_blocks("a < b and <b>c") == ["a < b and c"]
 
 
+def test_html_pages_without_article():
+    long, more = "Long text, it is. " * 20, "More of it, too. " * 20
+    want = ["A heading", long.strip(), "one", "two", "A quote.", "cell", more.strip()]
+    inner = (f"<h2>A heading</h2><p>{long}</p><ul><li>one</li><li>two</li></ul><blockquote>A quote."
+             f"</blockquote><table><tr><td>cell</td></tr></table><p>{more}</p>")
+    for page in (f"<body>{inner}</body>", f"<body><div id=x>{inner}</div></body>",
+                 f"<body><div class='content has-sidebar'>{inner}</div></body>",
+                 f"<body><div class='no-sidebar'><div class=x>{inner}</div></div></body>",
+                 f"<body><div class=hasSidebar>{inner}</div><div class=sidebar>s</div></body>"):
+        assert html_text.content_blocks(page) == want, page
+    beside = (f"<body><div class=a><p>{long * 3}</p><p>{long * 3}</p></div><div class=b><p>{more}</p>"
+              "</div><div class=sidebar-left><p>Not this, no.</p></div></body>")
+    assert more.strip() in html_text.content_blocks(beside)
+    assert len(html_text.content_blocks(beside)) == 3
+    articles = f"<article class=a><p>{long}</p></article><article class=b><p>{more}</p></article>"
+    assert html_text.content_blocks(articles) == [long.strip(), more.strip()]
+
+
 def test_html_table(spark):
     df = spark.createDataFrame([(1, "u", "<article><p>Hi é.</p></article>", 5), (None, None, None, 5),
                                 (1, "u", "<article><p>Hi é.</p></article>", 5)],
