@@ -1,6 +1,8 @@
 """Merkle fingerprints of texts: sentences, paragraphs, sections, root.
 
 Built from DataFrame functions only.  A paragraph is a line; its leaves are its sentences.
+Where no sentence has ended after SHORT characters, a leaf ends at the next space behind one
+of the letters of BORDER, so that borders move with the text, and after LONG at the latest.
 A node is the SHA-256 of its children's digests in order.  A section ends at a paragraph
 whose digest starts with 0-3, so an insertion moves no later section border.  The
 fingerprint is the root's digest, then the tree with shortened digests:
@@ -15,7 +17,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .neighbours import with_next
 
 CODE = 6  # hex digits of a shortened digest
-SENTENCE_END = r"(?<=[.!?]) "
+SHORT, LONG = 48, 192
+BORDER = "deknst0-4"
+SENTENCE_END = r"(?<=[.!?]) |(?<=[。！？])"
+LEAF = (rf"(?s).{{1,{SHORT}}}?(?:{SENTENCE_END}|$)"
+        rf"|.{{{SHORT},{LONG}}}?(?:{SENTENCE_END}|(?<=[{BORDER}]) |$)|.{{1,{LONG}}}")
 
 
 def _digest(joined: Column) -> Column:
@@ -28,7 +34,9 @@ def _short(digest: Column) -> Column:
 
 def _paragraph(line: Column) -> Column:
     """struct(digest, shown) of one line."""
-    leaves = F.transform(F.split(line, SENTENCE_END), lambda s: _digest(s))
+    parts = F.when(line == "", F.array(F.lit(""))) \
+        .otherwise(F.regexp_extract_all(line, F.lit(LEAF), 0))
+    leaves = F.transform(parts, lambda s: _digest(s))
     node = F.transform(F.array(leaves), lambda ds: F.struct(
         _digest(F.concat_ws("", ds)).alias("d"),
         F.concat_ws(".", F.transform(ds, _short)).alias("shown")))

@@ -403,6 +403,23 @@ def test_fingerprints_locate_edits(spark):
     assert 1 <= len(got["d"]) <= 2 < got["n"] and 0.95 < got["l"] < 1
 
 
+def test_fingerprints_cut_long_lines(spark):
+    dice = random.Random(4)
+    listed = " ".join("".join(dice.choice("abdehiklnorstu") for _ in range(6)) for _ in range(300))
+    for text in (listed, "word " * 400, "of " * 400, "漢字仮名交" * 300, "ab.cd;" * 300):
+        half = text[: len(text) // 2] + "!" * (len(text) // 2)
+        shifted = "new " + text
+        df = spark.createDataFrame([(text, half, shifted)], "a string, b string, c string")
+        a, b, c = (fingerprints.fingerprint(F.col(k)) for k in "abc")
+        got = df.select(F.size(fingerprints.leaves(a)), fingerprints.likeness(a, b),
+                        fingerprints.likeness(a, c)).first()
+        assert got[0] >= 5 and got[1] > 0.2, (text[:20], got)
+        assert text is not listed or got[2] > 0.8
+    pieces = spark.createDataFrame([(listed + ". x",)], "t string").select(
+        F.regexp_extract_all("t", F.lit(fingerprints.LEAF), 0)).first()[0]
+    assert "".join(pieces) == listed + ". x"  # no character is left out
+
+
 def test_neighbours_over_sparse_ids(spark):
     from parcelwise.llm.neighbours import with_next
     ids = sorted({rng.randrange(-(1 << 62), 1 << 62) for _ in range(3000)} | {1 << 62})
