@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers as vocab
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, fingerprints, html_text, importance, maxent, minhash, packing, passages, pseudonyms
-from . import vectors
+from . import alignment, bpe, fingerprints, html_text, importance, maxent, minhash, packing
+from . import passages, pseudonyms, vectors
 from ..sources.scratch import Scratch
 
 #: Callers pass a secret of their own; this one makes the registered query repeatable.
@@ -71,7 +71,17 @@ def op10_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxent.score(table(spark, sf_dir, "documents"), Scratch(spark, "maxent").save)
 
 
+def two_tokenizers() -> tuple[alignment.Side, alignment.Side]:
+    return (alignment.byte_level(vocab.path("byte_bpe_50k.json"), vocab.PATTERN),
+            alignment.pieces(vocab.path("piece_bpe_32k.model")))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.meetings(table(spark, sf_dir, "documents"),
+                              Scratch(spark, "alignment").save, two_tokenizers)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_minhash, op2_packing, op3_vectors, op4_pseudonyms, op5_importance, op6_passages,
-    op7_bpe, op8_html_text, op9_fingerprints, op10_maxent)}
+    op7_bpe, op8_html_text, op9_fingerprints, op10_maxent, op13_alignment)}
 ORACLE_SQL: dict[str, str] = {}
