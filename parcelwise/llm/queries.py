@@ -6,7 +6,7 @@ import public_tokenizers as vocab
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import alignment, bpe, fingerprints, html_text, importance, maxent, minhash, packing
-from . import passages, pseudonyms, vectors
+from . import passages, pseudonyms, ranked, vectors
 from ..sources.scratch import Scratch
 
 #: Callers pass a secret of their own; this one makes the registered query repeatable.
@@ -71,6 +71,11 @@ def op10_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxent.score(table(spark, sf_dir, "documents"), Scratch(spark, "maxent").save)
 
 
+def op11_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"),
+                         Scratch(spark, "ranked").save)
+
+
 def two_tokenizers() -> tuple[alignment.Side, alignment.Side]:
     return (alignment.byte_level(vocab.path("byte_bpe_50k.json"), vocab.PATTERN),
             alignment.pieces(vocab.path("piece_bpe_32k.model")))
@@ -83,5 +88,39 @@ def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_minhash, op2_packing, op3_vectors, op4_pseudonyms, op5_importance, op6_passages,
-    op7_bpe, op8_html_text, op9_fingerprints, op10_maxent, op13_alignment)}
-ORACLE_SQL: dict[str, str] = {}
+    op7_bpe, op8_html_text, op9_fingerprints, op10_maxent, op11_ranked,
+    op13_alignment)}
+ORACLE_SQL: dict[str, str] = {
+    "op11_ranked": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+            FROM documents),
+        total AS (
+            SELECT count(*) AS n_docs, sum(len(ts))::BIGINT AS n_terms FROM d WHERE len(ts) > 0),
+        asked AS (
+            SELECT item_id, term, count(*) AS repeats FROM (
+                SELECT item_id, unnest(regexp_extract_all(
+                    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+            GROUP BY ALL),
+        held AS (
+            SELECT r, doc_id, n, term, count(*) AS tf FROM (
+                SELECT r, doc_id, len(ts) AS n, unnest(ts) AS term FROM d)
+            WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+        weights AS (
+            SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT
+                AS w
+            FROM held, total GROUP BY term, n_docs),
+        scored AS (
+            SELECT item_id, r, doc_id, sum(repeats * w * ((1000000000 * tf)
+                // (1000 * tf + 12 * (100 - 25 + (25 * n * n_docs) // n_terms))))::BIGINT AS score
+            FROM asked JOIN weights USING (term) JOIN held USING (term), total
+            GROUP BY ALL)
+        SELECT item_id, rank, doc_id, score FROM (
+            SELECT *, row_number() OVER (
+                PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank
+            FROM scored WHERE score > 0)
+        WHERE rank <= 20""",
+}
