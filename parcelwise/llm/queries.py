@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers as vocab
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import alignment, bpe, fingerprints, html_text, importance, maxent, minhash, packing
-from . import passages, pseudonyms, ranked, vectors
+from . import alignment, bpe, fingerprints, html_text, importance, line_runs, maxent, minhash
+from . import packing, passages, pseudonyms, ranked, vectors
 from ..sources.scratch import Scratch
 
 #: Callers pass a secret of their own; this one makes the registered query repeatable.
@@ -76,6 +76,12 @@ def op11_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
                          Scratch(spark, "ranked").save)
 
 
+def op12_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = line_runs.without_frequent(table(spark, sf_dir, "documents"),
+                                      Scratch(spark, "lines").save)
+    return left.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def two_tokenizers() -> tuple[alignment.Side, alignment.Side]:
     return (alignment.byte_level(vocab.path("byte_bpe_50k.json"), vocab.PATTERN),
             alignment.pieces(vocab.path("piece_bpe_32k.model")))
@@ -89,7 +95,7 @@ def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_minhash, op2_packing, op3_vectors, op4_pseudonyms, op5_importance, op6_passages,
     op7_bpe, op8_html_text, op9_fingerprints, op10_maxent, op11_ranked,
-    op13_alignment)}
+    op12_line_runs, op13_alignment)}
 ORACLE_SQL: dict[str, str] = {
     "op11_ranked": r"""
         WITH d AS (
@@ -123,4 +129,22 @@ ORACLE_SQL: dict[str, str] = {
                 PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank
             FROM scored WHERE score > 0)
         WHERE rank <= 20""",
+    "op12_line_runs": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id,
+                string_split(coalesce(text, ''), chr(10)) AS lines
+            FROM documents),
+        l AS (
+            SELECT r, place, lines[place] AS line, translate(
+                regexp_replace(lines[place], '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+            FROM (SELECT r, lines, unnest(range(1, len(lines) + 1)) AS place FROM d)),
+        frequent AS (
+            SELECT k FROM l WHERE length(k) >= 1 GROUP BY k HAVING count(DISTINCT r) >= 10),
+        kept AS (
+            SELECT r, string_agg(line, chr(10) ORDER BY place) AS t, count(*) AS n
+            FROM l WHERE k NOT IN (SELECT k FROM frequent) GROUP BY r)
+        SELECT doc_id, len(lines)::BIGINT AS n_lines, (len(lines) - coalesce(n, 0))::BIGINT
+            AS n_dropped, sha256(coalesce(t, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (r)""",
 }
