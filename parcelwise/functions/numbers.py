@@ -44,14 +44,3 @@ def floored_ratio(num: Column | str, den: Column | str) -> Column:
     """Readout ratio whose denominator never falls below one."""
     return safe_ratio(num, F.greatest(_col(den).cast("double"), F.lit(1.0)))
 
-
-def quantile(measure: str, percent: int, places: int | None = None) -> Column:
-    """Exact discrete quantile of a SQL expression; NULLs are ignored.
-
-    The aggregate keeps a count per distinct value, combined on the map side.  Delivery
-    measures are hours or days, a few thousand distinct values at most, so the state of a
-    group stays small however many rows it has: a route with a third of all orders sends
-    no more than any other.  Continuous measures need ``percentile_approx`` instead.
-    """
-    value = F.expr(f"percentile_disc({percent / 100}) within group (order by {measure})")
-    return value if places is None else fixed(value, places)

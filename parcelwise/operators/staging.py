@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.text import composite_key, has_text, lower_code, title_name, upper_code
 from ..params import UNKNOWN_REGION, Params
+from .quantiles import Quantile, with_quantiles
 
 LINEAGE = ("_batch_id", "_loaded_at")
 MONEY = "decimal(12,2)"
@@ -149,20 +150,18 @@ def products(raw: DataFrame, translation: DataFrame) -> DataFrame:
     )
 
 
-def geolocation(raw: DataFrame, params: Params) -> DataFrame:
+def geolocation(raw: DataFrame) -> DataFrame:
     """One row per zip prefix: median coordinates, modal place.
 
-    Both halves combine on the map side.  The median keeps a bounded digest instead of
-    every coordinate, so a prefix holding a third of all points is still one small state.
+    The medians are exact and no prefix is gathered in one task; the modal place combines
+    on the map side.
     """
     points = raw.where("geolocation_zip_code_prefix is not null").withColumnRenamed(
         "geolocation_zip_code_prefix", "zip_code_prefix")
-    accuracy = F.lit(params.median_accuracy)
-    coordinates = points.groupBy("zip_code_prefix").agg(
-        F.percentile_approx("geolocation_lat", 0.5, accuracy).alias("latitude"),
-        F.percentile_approx("geolocation_lng", 0.5, accuracy).alias("longitude"),
-        F.count("*").alias("geolocation_point_count"),
-    )
+    coordinates = with_quantiles(
+        points.groupBy("zip_code_prefix").agg(F.count("*").alias("geolocation_point_count")),
+        points, ["zip_code_prefix"], {"latitude": Quantile("geolocation_lat", 50),
+                                      "longitude": Quantile("geolocation_lng", 50)})
     place = modal_row(
         points.select("zip_code_prefix",
                       title_name("geolocation_city").alias("geolocation_city"),

@@ -64,7 +64,6 @@ class Params:
     top_categories: int = 10
     tiles: int = 5
     region_of_state: Mapping[str, str] = field(default_factory=_region_of_state, hash=False)
-    median_accuracy: int = 10_000
 
     def __post_init__(self) -> None:
         if not self.calendar_start < self.calendar_end:

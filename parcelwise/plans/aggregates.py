@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.bands import rfm_segment
 from ..functions.dates import month_of
-from ..functions.numbers import fixed, mean, mean_if, quantile, safe_ratio, tally
+from ..functions.numbers import fixed, mean, mean_if, safe_ratio, tally
+from ..operators.quantiles import Quantile, with_quantiles
 from ..operators.tiles import tile_boundaries, tile_of
 from ..params import Params
 from ..sources.scratch import Scratch
@@ -49,10 +50,24 @@ def _penalty(places: int = 3):
     return fixed(gap, places).alias("review_score_penalty_when_late")
 
 
+def _stage_quantiles(measured: str = "{}") -> dict[str, Quantile]:
+    """Quantiles of the stages, over the rows that `measured` lets through; a promise is known
+    for every order."""
+    total = measured.format("total_delivery_days")
+    return {
+        "median_delivery_days": Quantile(total, 50, 2),
+        "p90_delivery_days": Quantile(total, 90, 2),
+        "median_approval_days": Quantile(measured.format("approval_days"), 50, 2),
+        "median_handover_days": Quantile(measured.format("seller_handover_days"), 50, 2),
+        "median_transit_days": Quantile(measured.format("carrier_transit_days"), 50, 2),
+        "median_promised_days": Quantile("promised_delivery_days", 50, 2)}
+
+
 def delivery_by_route(fct_orders: DataFrame, params: Params) -> DataFrame:
     """WHERE deliveries are late."""
     late_money, all_money = F.sum("late_order_revenue"), F.sum("order_revenue")
-    by_route = fct_orders.where(IN_SCOPE).groupBy(*ROUTE).agg(
+    scoped = fct_orders.where(IN_SCOPE)
+    by_route = scoped.groupBy(*ROUTE).agg(
         F.count("*").alias("delivered_orders"),
         all_money.cast(TOTAL).alias("delivered_revenue"),
         tally("is_late").alias("late_orders"),
@@ -62,14 +77,10 @@ def delivery_by_route(fct_orders: DataFrame, params: Params) -> DataFrame:
         mean("total_delivery_days", 2).alias("avg_delivery_days"),
         *_review_metrics(),
         mean("freight_share_of_order", 4, "decimal(18,4)").alias("avg_freight_share"),
-        quantile("total_delivery_days", 50, 2).alias("median_delivery_days"),
-        quantile("total_delivery_days", 90, 2).alias("p90_delivery_days"),
-        quantile("approval_days", 50, 2).alias("median_approval_days"),
-        quantile("seller_handover_days", 50, 2).alias("median_handover_days"),
-        quantile("carrier_transit_days", 50, 2).alias("median_transit_days"),
-        quantile("promised_delivery_days", 50, 2).alias("median_promised_days"),
-        quantile("delay_vs_promise_days", 50, 2).alias("median_delay_vs_promise_days"),
     )
+    by_route = with_quantiles(by_route, scoped, ROUTE, {
+        **_stage_quantiles(),
+        "median_delay_vs_promise_days": Quantile("delay_vs_promise_days", 50, 2)})
     return by_route.select(
         "*", _penalty(),
         (F.col("delivered_orders") >= params.min_orders).alias("is_reportable"))
@@ -82,7 +93,6 @@ def delivery_monthly(fct_orders: DataFrame, dim_date: DataFrame) -> DataFrame:
     """
     calendar = dim_date.select(F.col("date_key").alias("order_purchase_date"), *MONTH)
     dated = fct_orders.where(KEPT).join(calendar, "order_purchase_date", "left")
-    arrived = "case when is_delivered then {} end".format
     monthly = dated.groupBy(*MONTH).agg(
         F.count("*").alias("orders_placed"),
         tally("is_delivered").alias("orders_delivered"),
@@ -93,13 +103,9 @@ def delivery_monthly(fct_orders: DataFrame, dim_date: DataFrame) -> DataFrame:
         money("late_order_revenue").alias("late_revenue"),
         mean("promise_slack_days", 2).alias("avg_promise_slack_days"),
         *_review_metrics(),
-        quantile(arrived("total_delivery_days"), 50, 2).alias("median_delivery_days"),
-        quantile(arrived("total_delivery_days"), 90, 2).alias("p90_delivery_days"),
-        quantile(arrived("approval_days"), 50, 2).alias("median_approval_days"),
-        quantile(arrived("seller_handover_days"), 50, 2).alias("median_handover_days"),
-        quantile(arrived("carrier_transit_days"), 50, 2).alias("median_transit_days"),
-        quantile("promised_delivery_days", 50, 2).alias("median_promised_days"),
     )
+    monthly = with_quantiles(monthly, dated, MONTH, _stage_quantiles(
+        "case when is_delivered then {} end"))
     before = F.lag("late_rate").over(Window.orderBy("month_start_date"))
     return monthly.select(
         "*", _penalty(), fixed(F.col("late_rate") - before, 4).alias("late_rate_mom_change"))
@@ -145,6 +151,13 @@ def monthly_sales(fct_order_items: DataFrame, fct_orders: DataFrame,
     )
 
 
+def categories_bought(items: DataFrame, category_of: DataFrame) -> DataFrame:
+    """Distinct (order, category, customer); lines of one product meet the products once."""
+    pairs = items.select("order_id", "product_key", "customer_key").distinct()
+    return pairs.join(category_of, "product_key", "left").select(
+        "order_id", "product_category", "customer_key").distinct()
+
+
 def product_performance(fct_order_items: DataFrame, dim_product: DataFrame,
                         fct_orders: DataFrame, params: Params) -> DataFrame:
     """Sales per category from item lines; delivery from distinct (order, category) pairs,
@@ -172,8 +185,7 @@ def product_performance(fct_order_items: DataFrame, dim_product: DataFrame,
     sellers = items.select("product_key", "seller_key").distinct().join(
         category_of, "product_key", "left").groupBy("product_category").agg(
         F.count_distinct("seller_key").alias("distinct_sellers"))
-    bought = items.join(category_of, "product_key", "left").select(
-        "order_id", "product_category", "customer_key").distinct()
+    bought = categories_bought(items, category_of)
     buyers = bought.groupBy("product_category").agg(
         F.count("order_id").alias("order_count"),
         F.count_distinct("customer_key").alias("distinct_customers"))
@@ -183,15 +195,17 @@ def product_performance(fct_order_items: DataFrame, dim_product: DataFrame,
                            "left").drop("_category")
     scored = fct_orders.where("is_delivered and delay_vs_promise_days is not null").select(
         "order_id", "is_late", "total_delivery_days", "review_score")
-    shipped = bought.join(scored, "order_id")
+    shipped = Scratch(fct_orders.sparkSession, "shipped").save(
+        bought.join(scored, "order_id"), "shipped")
     service = shipped.groupBy("product_category").agg(
         F.count("*").alias("delivered_orders"),
         tally("is_late").alias("late_orders"),
         safe_ratio(tally("is_late"), F.count("*"), 4).alias("late_rate"),
         *_review_metrics(),
-        quantile("total_delivery_days", 50, 2).alias("median_delivery_days"),
-        quantile("total_delivery_days", 90, 2).alias("p90_delivery_days"),
     )
+    service = with_quantiles(service, shipped, ["product_category"], {
+        "median_delivery_days": Quantile("total_delivery_days", 50, 2),
+        "p90_delivery_days": Quantile("total_delivery_days", 90, 2)})
 
     # One row per category from here on.  The threshold is the plain average of their rates.
     everything = Window.partitionBy()

@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.dates import purchased_between
 from ..functions.numbers import (
-    fixed, floored_ratio, mean, mean_if, quantile, safe_ratio, tally,
+    fixed, floored_ratio, mean, mean_if, safe_ratio, tally,
 )
+from ..operators.quantiles import Quantile, with_quantiles
 from ..params import Params
 from .aggregates import IN_SCOPE, KEPT, TOTAL, money, on_time
 
@@ -53,7 +54,8 @@ def filter_options(agg_delivery_monthly: DataFrame, dim_customer: DataFrame) ->
 # --- headline ----------------------------------------------------------------
 def headline(fct_orders: DataFrame, where: Column | None = None) -> DataFrame:
     late, revenue = F.sum("late_order_revenue"), F.sum("order_revenue")
-    one = fct_orders.where(_or(where)).agg(
+    scoped = fct_orders.where(_or(where))
+    one = scoped.agg(
         F.count("*").alias("delivered_orders"),
         tally("is_late").alias("late_orders"),
         safe_ratio(tally("is_late"), F.count("*"), 4).alias("late_rate"),
@@ -63,9 +65,10 @@ def headline(fct_orders: DataFrame, where: Column | None = None) -> DataFrame:
         mean_if("is_late", "review_score", 2).alias("avg_review_when_late"),
         mean_if(on_time(), "review_score", 2).alias("avg_review_when_on_time"),
         mean("promise_slack_days", 2).alias("avg_promise_slack_days"),
-        quantile("total_delivery_days", 50, 1).alias("median_delivery_days"),
-        quantile("total_delivery_days", 90, 1).alias("p90_delivery_days"),
     )
+    one = with_quantiles(one, scoped, [], {
+        "median_delivery_days": Quantile("total_delivery_days", 50, 1),
+        "p90_delivery_days": Quantile("total_delivery_days", 90, 1)})
     gap = F.col("avg_review_when_on_time") - F.col("avg_review_when_late")
     return one.withColumn("satisfaction_penalty", fixed(gap, 2))
 
@@ -84,14 +87,16 @@ def late_by_state(routes: DataFrame, floor: int) -> DataFrame:
 def late_board(fct_orders: DataFrame, keys: Sequence[str], where: Column,
                floor: int) -> DataFrame:
     """Late rate, median days and money of any grouping of the orders in scope."""
-    return fct_orders.where(where).groupBy(*keys).agg(
+    scoped = fct_orders.where(where)
+    board = scoped.groupBy(*keys).agg(
         F.count("*").alias("delivered_orders"),
         tally("is_late").alias("late_orders"),
         safe_ratio(tally("is_late"), F.count("*"), 4).alias("late_rate"),
         money("order_revenue").alias("revenue"),
         money("late_order_revenue").alias("late_revenue"),
-        quantile("total_delivery_days", 50).alias("median_days"),
     ).where(F.col("delivered_orders") >= floor)
+    return with_quantiles(board, scoped, keys,
+                          {"median_days": Quantile("total_delivery_days", 50)})
 
 
 def ordered_board(board: DataFrame, key: str) -> DataFrame:
@@ -181,11 +186,13 @@ STAGES = {
 
 def stage_decomposition(fct_orders: DataFrame, where: Column | None = None) -> DataFrame:
     """Median of each stage and its share of the median total."""
-    medians = fct_orders.where(_or(where)).agg(
-        quantile("approval_days", 50, 2).alias("median_approval_days"),
-        quantile("seller_handover_days", 50, 2).alias("median_handover_days"),
-        quantile("carrier_transit_days", 50, 2).alias("median_transit_days"),
-        quantile("total_delivery_days", 50, 2).alias("total"))
+    scoped = fct_orders.where(_or(where))
+    one = scoped.agg(F.count("*").alias("_orders"))
+    medians = with_quantiles(one, scoped, [], {
+        "median_approval_days": Quantile("approval_days", 50, 2),
+        "median_handover_days": Quantile("seller_handover_days", 50, 2),
+        "median_transit_days": Quantile("carrier_transit_days", 50, 2),
+        "total": Quantile("total_delivery_days", 50, 2)})
     return _stages_long(medians, ["total"]).select(
         "stage", "days", safe_ratio("days", "total", 3).alias("share_of_total"))
 
@@ -244,13 +251,15 @@ def revenue_exposure(fct_orders: DataFrame, where: Column | None = None) -> Data
 
 def promise_accuracy(fct_orders: DataFrame, where: Column | None = None) -> DataFrame:
     slack = F.col("promise_slack_days")
-    one = fct_orders.where(_or(where, f"is_delivered and {KEPT}") & slack.isNotNull()).agg(
+    scoped = fct_orders.where(_or(where, f"is_delivered and {KEPT}") & slack.isNotNull())
+    one = scoped.agg(
         mean(slack, 2).alias("avg_slack_days"),
         tally(slack > 0).alias("delivered_early"),
         tally(slack < 0).alias("delivered_late"),
-        F.count("*").alias("orders"),
-        quantile("promised_delivery_days", 50, 1).alias("median_promised_days"),
-        quantile("total_delivery_days", 50, 1).alias("median_actual_days"))
+        F.count("*").alias("orders"))
+    one = with_quantiles(one, scoped, [], {
+        "median_promised_days": Quantile("promised_delivery_days", 50, 1),
+        "median_actual_days": Quantile("total_delivery_days", 50, 1)})
     return one.withColumns({
         "promise_is": F.when(F.col("avg_slack_days") > 0, "padded").otherwise("optimistic"),
         "early_share": safe_ratio("delivered_early", "orders", 4)})

@@ -88,7 +88,7 @@ _MODELS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "stg_sellers": lambda w: staging.sellers(w["raw.sellers"], _regions(w)),
     "stg_products": lambda w: staging.products(
         w["raw.products"], w["raw.product_category_translation"]),
-    "stg_geolocation": lambda w: staging.geolocation(w["raw.geolocation"], w.params),
+    "stg_geolocation": lambda w: staging.geolocation(w["raw.geolocation"]),
     "int_order_payments": lambda w: grain.payments_per_order(w["stg_order_payments"]),
     "int_order_reviews": lambda w: grain.latest_review(w["stg_order_reviews"]),
     "int_order_items_rollup": lambda w: grain.items_per_order(w["stg_order_items"]),
