@@ -1,11 +1,12 @@
 """Merkle fingerprints of texts: sentences, paragraphs, sections, root.
 
-Built from DataFrame functions only.  A paragraph is a line; its leaves are its sentences.
-Where no sentence has ended after SHORT characters, a leaf ends at the next space behind one
-of the letters of BORDER, so that borders move with the text, and after LONG at the latest.
-A node is the SHA-256 of its children's digests in order.  A section ends at a paragraph
-whose digest starts with 0-3, so an insertion moves no later section border.  The
-fingerprint is the root's digest, then the tree with shortened digests:
+Built from DataFrame functions only.  A paragraph is a line; its leaves are its sentences.  A
+sentence of more than LONG characters is cut further, at a space behind one of the letters of
+BORDER after SHORT characters, so that borders move with the text, and after LONG at the
+latest.  Leaves put together are the line, so equal roots mean equal texts.  A node is the
+SHA-256 of its children's digests in order.  A section ends at a paragraph whose digest starts
+with 0-3, so an insertion moves no later section border.  The fingerprint is the root's
+digest, then the tree with digests of CODE digits:
 
     root:section=paragraph-leaf.leaf,paragraph-leaf;section=paragraph-leaf
 """
@@ -16,12 +17,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .neighbours import with_next
 
-CODE = 6  # hex digits of a shortened digest
+CODE = 12  # hex digits of a shortened digest
 SHORT, LONG = 48, 192
 BORDER = "deknst0-4"
-SENTENCE_END = r"(?<=[.!?]) |(?<=[。！？])"
-LEAF = (rf"(?s).{{1,{SHORT}}}?(?:{SENTENCE_END}|$)"
-        rf"|.{{{SHORT},{LONG}}}?(?:{SENTENCE_END}|(?<=[{BORDER}]) |$)|.{{1,{LONG}}}")
+SENTENCE_END = r"(?<=[.!?] )|(?<=[。！？])"
+CUT = rf"(?s).{{{SHORT},{LONG}}}?(?:(?<=[{BORDER}]) |\z)|.{{1,{LONG}}}"
 
 
 def _digest(joined: Column) -> Column:
@@ -34,8 +34,10 @@ def _short(digest: Column) -> Column:
 
 def _paragraph(line: Column) -> Column:
     """struct(digest, shown) of one line."""
-    parts = F.when(line == "", F.array(F.lit(""))) \
-        .otherwise(F.regexp_extract_all(line, F.lit(LEAF), 0))
+    sentences = F.filter(F.split(line, SENTENCE_END), lambda s: s != "")
+    parts = F.when(line == "", F.array(F.lit(""))).otherwise(F.flatten(F.transform(
+        sentences, lambda s: F.when(F.char_length(s) > LONG, F.regexp_extract_all(
+            s, F.lit(CUT), 0)).otherwise(F.array(s)))))
     leaves = F.transform(parts, lambda s: _digest(s))
     node = F.transform(F.array(leaves), lambda ds: F.struct(
         _digest(F.concat_ws("", ds)).alias("d"),
@@ -43,21 +45,24 @@ def _paragraph(line: Column) -> Column:
     return F.element_at(node, 1)
 
 
+def _with(value: Column, use) -> Column:
+    """use(value) with the value computed once, however often lambdas read it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _sections(paragraphs: Column) -> Column:
-    """array<array<struct>>: paragraphs up to and with each border."""
-    empty = F.slice(paragraphs, 1, 0)
-    start = F.struct(F.slice(F.array(empty), 1, 0).alias("done"), empty.alias("open"))
+    """array<array<struct>>: paragraphs up to and with each border, cut out by position."""
+    def cut(ps: Column) -> Column:
+        last = F.size(ps)
+        ends = F.filter(F.transform(ps, lambda p, i: F.when(
+            (F.substring(p["d"], 1, 1) < "4") | (i + 1 == last), i + 1)), lambda e: e.isNotNull())
+        return _with(ends, lambda es: F.transform(es, lambda e, i: _after(ps, es, e, i)))
 
-    def step(acc: Column, p: Column) -> Column:
-        grown = F.concat(acc["open"], F.array(p))
-        border = F.substring(p["d"], 1, 1) < "4"
-        return F.when(border, F.struct(F.concat(acc["done"], F.array(grown)).alias("done"),
-                                       empty.alias("open"))) \
-            .otherwise(F.struct(acc["done"].alias("done"), grown.alias("open")))
+    def _after(ps: Column, es: Column, end: Column, i: Column) -> Column:
+        start = F.when(i == 0, 0).otherwise(F.get(es, i - 1))
+        return F.slice(ps, start + 1, end - start)
 
-    return F.aggregate(paragraphs, start, step, lambda acc: F.when(
-        F.size(acc["open"]) > 0, F.concat(acc["done"], F.array(acc["open"])))
-        .otherwise(acc["done"]))
+    return _with(paragraphs, cut)
 
 
 def _node(children: Column) -> Column:
@@ -92,7 +97,8 @@ def leaves(print_: Column) -> Column:
 
 
 def differing_sections(a: Column, b: Column) -> Column:
-    """Positions (from 0) of the sections of `a` that `b` does not hold."""
+    """Positions (from 0) of the sections of `a` that `b` does not hold; each is looked for
+    among those of `b`."""
     theirs = F.transform(sections(b), lambda s: F.substring_index(s, "=", 1))
     return F.filter(
         F.transform(sections(a), lambda s, i: F.when(

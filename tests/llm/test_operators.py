@@ -416,7 +416,7 @@ def test_fingerprints_cut_long_lines(spark):
         assert got[0] >= 5 and got[1] > 0.2, (text[:20], got)
         assert text is not listed or got[2] > 0.8
     pieces = spark.createDataFrame([(listed + ". x",)], "t string").select(
-        F.regexp_extract_all("t", F.lit(fingerprints.LEAF), 0)).first()[0]
+        F.regexp_extract_all("t", F.lit(fingerprints.CUT), 0)).first()[0]
     assert "".join(pieces) == listed + ". x"  # no character is left out
 
 
