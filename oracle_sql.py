@@ -562,7 +562,7 @@ def _each_file(select: str) -> str:
 def _profiles() -> str:
     measure = {
         "string": "length({c}::varchar)", "bigint": "{c}", "double": "floor({c} * 1000)",
-        "decimal(12,2)": "{c} * 100",
+        "decimal(18,9)": "{c} * 100",
         "timestamp_ntz": "date_diff('day', date '1970-01-01', {c}::date) * 86400"
                          " + hour({c}) * 3600 + minute({c}) * 60 + second({c})",
     }

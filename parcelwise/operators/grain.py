@@ -53,9 +53,9 @@ def items_per_order(items: DataFrame) -> DataFrame:
     totals = per_seller.groupBy("order_id").agg(
         F.sum("lines").alias("order_item_count"),
         F.count("seller_key").alias("order_seller_count"),
-        F.sum("revenue").cast("decimal(22,2)").alias("order_revenue"),
-        F.sum("freight").cast("decimal(22,2)").alias("order_freight"),
-        F.sum("gross").cast("decimal(22,2)").alias("order_gross_value"),
+        F.sum("revenue").cast("decimal(28,9)").alias("order_revenue"),
+        F.sum("freight").cast("decimal(28,9)").alias("order_freight"),
+        F.sum("gross").cast("decimal(28,9)").alias("order_gross_value"),
         F.max("ship_by").alias("order_shipping_limit_at"),
         F.min_by("seller_key", F.struct(*descending(per_seller, "revenue"),
                                         *ascending("seller_key")))

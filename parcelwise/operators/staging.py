@@ -13,7 +13,7 @@ from ..params import UNKNOWN_REGION, Params
 from .quantiles import Quantile, with_quantiles
 
 LINEAGE = ("_batch_id", "_loaded_at")
-MONEY = "decimal(12,2)"
+MONEY = "decimal(18,9)"
 
 
 def _lineage(df: DataFrame) -> list[Column]:

@@ -20,7 +20,7 @@ from ..sources.scratch import Scratch
 ROUTE = ["delivery_route", "seller_state", "seller_region", "customer_state",
          "customer_region", "is_intra_state_route"]
 MONTH = ["year_month", "month_label", "month_start_date", "is_in_analysis_window"]
-TOTAL = "decimal(28,2)"
+TOTAL = "decimal(28,9)"
 
 KEPT = "not is_excluded_from_kpis"
 # The headline scope: delivered, kept, and with a known delay.
@@ -236,7 +236,7 @@ def person_activity(fct_orders: DataFrame, params: Params) -> DataFrame:
         money("order_revenue").alias("monetary"),
         F.min("order_purchase_date").alias("first_order_date"),
         F.max("order_purchase_date").alias("latest_order_date"),
-        mean("order_revenue", 2).alias("avg_order_value"),
+        mean("order_revenue", 2, TOTAL).alias("avg_order_value"),
         F.sum("order_item_count").alias("total_items_purchased"),
         tally("is_delivered").alias("delivered_orders"),
         tally("is_late").alias("late_orders"),

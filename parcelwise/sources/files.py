@@ -9,41 +9,103 @@ from datetime import datetime
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import DecimalType, StringType, StructType
 
 from ..functions.frames import union_all
 from .layout import MULTILINE, columns_of, schema_of
+from .records import records
 from .scratch import Scratch
 
 BAD_RECORD = "_bad_record"
 
 
+def plain_number(kind: DecimalType) -> str:
+    """Texts that the type holds without rounding: trailing zeros are free."""
+    whole, places = kind.precision - kind.scale, kind.scale
+    return rf"^[+-]?(?=\.?[0-9])0*[0-9]{{0,{whole}}}(\.[0-9]{{0,{places}}}0*)?$"
+
+
+def _as_text(schema: StructType) -> StructType:
+    """Decimals as the text of the file, because a parser would round them."""
+    out = StructType()
+    for f in schema.fields:
+        out.add(f.name, StringType() if isinstance(f.dataType, DecimalType) else f.dataType)
+    return out
+
+
+def _numbers(schema: StructType, otherwise) -> list:
+    """The columns of `schema`, with decimals from their texts; `otherwise(field)` for a text
+    that does not fit."""
+    return [F.when(F.col(f.name).isNull() | F.col(f.name).rlike(plain_number(f.dataType)),
+                   F.col(f.name).try_cast(f.dataType)).otherwise(otherwise(f)).alias(f.name)
+            if isinstance(f.dataType, DecimalType) else F.col(f.name) for f in schema.fields]
+
+
+def _unfit(schema: StructType):
+    """Name and text of the first decimal that does not fit, or NULL."""
+    found = [F.when(~F.col(f.name).rlike(plain_number(f.dataType)),
+                    F.concat(F.lit(f"{f.name}="), F.col(f.name)))
+             for f in schema.fields if isinstance(f.dataType, DecimalType)]
+    return F.coalesce(*found, F.lit(None).cast("string"))
+
+
 def scan_csv(spark: SparkSession, path: str, schema: StructType, multiline: bool = False,
              encoding: str = "UTF-8") -> DataFrame:
-    """Declared schema, header required to match it, any bad record fails the read."""
-    return (
-        spark.read.schema(schema)
+    """Declared schema, header required to match it, any bad record fails the read, and so
+    does a number that its column would round."""
+    read = (
+        spark.read.schema(_as_text(schema))
         .option("header", True).option("enforceSchema", False).option("mode", "FAILFAST")
         .option("escape", '"').option("multiLine", multiline).option("encoding", encoding)
         .csv(path)
     )
+    return read.select(*_numbers(schema, lambda f: F.raise_error(F.concat(
+        F.lit(f"malformed {f.name}: "), F.col(f.name))).cast(f.dataType)))
 
 
-def scan_table(spark: SparkSession, path: str, table: str) -> DataFrame:
-    return scan_csv(spark, path, schema_of(table), table in MULTILINE)
+def scan_table(spark: SparkSession, path: str, table: str,
+               encoding: str = "UTF-8") -> DataFrame:
+    return scan_csv(spark, path, schema_of(table), table in MULTILINE, encoding)
 
 
-def parse_table(spark: SparkSession, path: str, table: str,
+def parse_table(spark: SparkSession, path: str | list[str], table: str,
                 encoding: str = "UTF-8") -> DataFrame:
     """Every column as declared, where the row came from, and the text of a record that does
-    not fit the declaration.  Write it before use: a scan of some columns parses only those."""
-    return (
-        spark.read.schema(StructType([*schema_of(table).fields]).add(BAD_RECORD, StringType()))
-        .option("header", True).option("enforceSchema", False).option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", BAD_RECORD).option("escape", '"')
-        .option("multiLine", table in MULTILINE).option("encoding", encoding)
-        .csv(path).select("*", F.col("_metadata.file_path").alias("_source_uri"))
-    )
+    not fit the declaration.  Write it before use: a scan of some columns parses only those.
+
+    Line breaks in fields keep no file together in one task if its encoding is UTF-8.
+    """
+    schema = schema_of(table)
+    wide = _as_text(schema).add(BAD_RECORD, StringType())
+    if table in MULTILINE and encoding.upper() in ("UTF-8", "UTF8", "US-ASCII"):
+        read = _split_scan(spark, path, table, wide)
+    else:
+        read = (
+            spark.read.schema(wide)
+            .option("header", True).option("enforceSchema", False).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", BAD_RECORD).option("escape", '"')
+            .option("multiLine", table in MULTILINE).option("encoding", encoding)
+            .csv(path).select("*", F.col("_metadata.file_path").alias("_source_uri")))
+    bad = F.coalesce(BAD_RECORD, _unfit(schema))
+    return read.select(*_numbers(schema, lambda f: F.lit(None).cast(f.dataType)),
+                       bad.alias(BAD_RECORD), "_source_uri")
+
+
+def _split_scan(spark: SparkSession, path: str | list[str], table: str,
+                wide: StructType) -> DataFrame:
+    """Records put together by many tasks, each parsed alone.  A file whose header differs
+    from the declaration shows it as a bad record."""
+    options = {"escape": '"', "multiLine": "true", "columnNameOfCorruptRecord": BAD_RECORD}
+    names = ",".join(columns_of(table))
+    every = records(spark, path, Scratch(spark, "records").save)
+    is_header = (F.col("block") == 0) & (F.col("record") == 1)
+    as_declared = F.regexp_replace(F.regexp_replace("text", "^\ufeff", ""), '"', "") == names
+    parsed = every.where(~(is_header & as_declared)).select(
+        F.from_csv("text", wide.simpleString()[7:-1].replace(":", " "), options).alias("r"),
+        is_header.alias("header"), "text", F.col("file").alias("_source_uri"))
+    bad = F.when(F.col("header"), F.col("text")).otherwise(F.col(f"r.{BAD_RECORD}"))
+    return parsed.select(*[F.col(f"r.{f.name}").alias(f.name) for f in wide.fields[:-1]],
+                         bad.alias(BAD_RECORD), "_source_uri")
 
 
 def stage(spark: SparkSession, paths: Mapping[str, str],
@@ -176,7 +238,7 @@ def column_profile(table: str, df: DataFrame) -> DataFrame:
     """
     measure = {
         "string": "length(`{c}`)", "bigint": "`{c}`", "double": "floor(`{c}` * 1000)",
-        "decimal(12,2)": "`{c}` * 100",
+        "decimal(18,9)": "`{c}` * 100",
         "timestamp_ntz": "datediff(`{c}`, date'1970-01-01') * 86400L + hour(`{c}`) * 3600"
                          " + minute(`{c}`) * 60 + second(`{c}`)",
     }

@@ -64,7 +64,7 @@ def raw_order_items(t: Mapping[str, DataFrame]) -> DataFrame:
         "l_partkey as product_id",
         "l_suppkey as seller_id",
         "l_shipdate as shipping_limit_date",
-        "cast(l_extendedprice as decimal(12,2)) as price",
+        "cast(l_extendedprice as decimal(18,9)) as price",
         "cast(cast(l_extendedprice as decimal(12,2)) * cast(l_tax as decimal(4,2))"
         " as decimal(12,2)) as freight_value",
     )

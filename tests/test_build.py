@@ -42,7 +42,7 @@ def test_load_is_idempotent_and_keeps_types(spark, folder, tmp_path):
     assert {r["table"]: r["rows"] for r in first.manifest} == counts
     assert all(r["rows_match_expected"] for r in first.manifest)
     items = sinks.read_released(spark, root, "order_items")
-    assert items.schema["price"].dataType.simpleString() == "decimal(12,2)"
+    assert items.schema["price"].dataType.simpleString() == "decimal(18,9)"
     note = sinks.read_released(spark, root, "order_reviews").where("review_id = 'r9'").first()
     assert note.review_comment_message == 'two\nlines, "quoted"'
     def content(table):
