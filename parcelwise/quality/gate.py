@@ -53,14 +53,14 @@ def report(results: DataFrame) -> Report:
 def file_results(spark: SparkSession, paths: Mapping[str, str],
                  expected: Mapping[str, int], severity: str = ERROR,
                  staged: Mapping[str, DataFrame] | None = None,
-                 rules: Iterable[Rule] = tuple(FILE_RULES)) -> DataFrame:
+                 rules: Iterable[Rule] = tuple(FILE_RULES), encoding: str = "UTF-8") -> DataFrame:
     """Column list against the declared schema, records that do not fit it, row counts against
     ``expected``, and the file rules, over the parsed tables.
 
     Tables are parsed whole unless ``staged`` has them.  One with a wrong header gets no
     further rule.
     """
-    frames = files.stage(spark, paths) if staged is None else staged
+    frames = files.stage(spark, paths, encoding) if staged is None else staged
     headers = spark.createDataFrame(
         [(t, "columns(declared, in order)", ERROR, int(t not in frames), 1, t in frames)
          for t in paths],
@@ -98,7 +98,7 @@ def release(spark: SparkSession, models: Warehouse, root: str, params: Params,
     history of product categories goes on from the last release that has one.
     """
     instant = run_at or datetime.now(timezone.utc)
-    name = instant.strftime("%Y%m%dT%H%M%S%f")
+    name, base = instant.strftime("%Y%m%dT%H%M%S%f"), sinks.released(spark, root)
     written = models.into(f"{root}/{name}")
     for table in MARTS:
         written[table]
@@ -111,7 +111,7 @@ def release(spark: SparkSession, models: Warehouse, root: str, params: Params,
         history.single_rows(written["stg_products"].select(*HISTORY_COLUMNS), "product_key"),
         before, "product_key", HISTORY_CHECK, instant.replace(tzinfo=None))
     versions.write.parquet(f"{root}/{name}/{HISTORY}")
-    sinks.mark_released(spark, root, name)
+    sinks.mark_released(spark, root, name, base)
     return outcome
 
 

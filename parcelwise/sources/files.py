@@ -108,13 +108,14 @@ def _split_scan(spark: SparkSession, path: str | list[str], table: str,
                          bad.alias(BAD_RECORD), "_source_uri")
 
 
-def stage(spark: SparkSession, paths: Mapping[str, str],
+def stage(spark: SparkSession, paths: Mapping[str, str | list[str]],
           encoding: str = "UTF-8") -> dict[str, DataFrame]:
-    """Each table parsed once into Parquet.  A table with a file whose header differs from the
-    declaration is left out."""
+    """Each table parsed once into Parquet, from a path or some files.  A table with a file
+    whose header differs from the declaration is left out."""
     scratch, out = Scratch(spark, "staged"), {}
     for table, path in paths.items():
-        if not header_matches(spark, path, table, encoding):
+        first = path if isinstance(path, str) else path[0]
+        if not header_matches(spark, first, table, encoding):
             continue
         try:
             out[table] = scratch.save(parse_table(spark, path, table, encoding), table)
@@ -142,6 +143,56 @@ def fingerprint(df: DataFrame) -> DataFrame:
                   F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")).alias("content_sum"))
 
 
+FILE = ["table", "uri", "file_bytes", "modified"]
+
+
+def listing(spark: SparkSession, files: Mapping[str, str]) -> DataFrame:
+    """(table, uri, file_bytes, modified) of every source file, without its content."""
+    found = spark.read.format("binaryFile").load(list(files.values())).select(
+        "path", F.col("_metadata.file_path").alias("uri"),
+        F.col("length").alias("file_bytes"), F.col("modificationTime").alias("modified"))
+    return _labelled(found, files).select(*FILE)
+
+
+def file_contents(staged: Mapping[str, DataFrame]) -> DataFrame:
+    """(table, uri, rows, content_sum) of every file that has records, one pass a table.
+    Sums of files add up to those of their table."""
+    return union_all(
+        df.groupBy(F.col("_source_uri").alias("uri")).agg(
+            F.count("*").alias("rows"), F.sum(F.xxhash64(*columns_of(table)).cast("decimal(38,0)"))
+            .alias("content_sum")).select(F.lit(table).alias("table"), "uri", "rows", "content_sum")
+        for table, df in staged.items())
+
+
+def digest_of(rows: str = "rows", content_sum: str = "content_sum"):
+    """Digest of a count and a content sum."""
+    return F.sha2(F.concat_ws(":", F.col(rows).cast("string"),
+                              F.coalesce(F.col(content_sum), F.lit(0).cast("decimal(38,0)"))
+                              .cast("string")), 256)
+
+
+def table_manifest(each: DataFrame, paths: Mapping[str, str],
+                   expected: Mapping[str, int]) -> DataFrame:
+    """The rows of `manifest`, added up from those of the files."""
+    names = spark_map({t: p.rsplit("/", 1)[-1] for t, p in paths.items()}, "string")
+    wanted = spark_map(expected, "bigint")
+    whole = each.groupBy("table").agg(
+        F.sum("file_bytes").alias("bytes"), F.sum("rows").alias("rows"),
+        F.sum("content_sum").cast("decimal(38,0)").alias("content_sum"))
+    return whole.select(
+        names.alias("file"), "table", "bytes", F.lit(None).cast("string").alias("sha256"),
+        digest_of().alias("content_digest"), "rows", wanted.alias("expected_rows"),
+        (F.col("rows") == wanted).alias("rows_match_expected"), "content_sum")
+
+
+def spark_map(values: Mapping, kind: str):
+    """The value of each row's table, or NULL."""
+    out = F.lit(None).cast(kind)
+    for table, value in values.items():
+        out = F.when(F.col("table") == table, F.lit(value).cast(kind)).otherwise(out)
+    return out
+
+
 def _labelled(listing: DataFrame, files: Mapping[str, str]) -> DataFrame:
     """Table name of each listed file: its path is the table's path or lies below it."""
     label = F.lit(None).cast("string")
@@ -155,7 +206,8 @@ def _labelled(listing: DataFrame, files: Mapping[str, str]) -> DataFrame:
 
 def manifest(spark: SparkSession, files: Mapping[str, str],
              expected: Mapping[str, int], byte_checksum: bool = False,
-             staged: Mapping[str, DataFrame] | None = None) -> DataFrame:
+             staged: Mapping[str, DataFrame] | None = None,
+             encoding: str = "UTF-8") -> DataFrame:
     """One row per table: size, content digest, true record count, expected count, match flag.
 
     Counts and digest come from ``staged`` tables if given, else from a scan of the files.
@@ -175,30 +227,29 @@ def manifest(spark: SparkSession, files: Mapping[str, str],
         digests = listing.select("table", F.lit(None).cast("string").alias("sha256")).distinct()
     counts = union_all(
         fingerprint(staged[table].select(*columns_of(table)) if staged
-                    else scan_table(spark, path, table)).select(
+                    else scan_table(spark, path, table, encoding)).select(
             F.lit(path.rsplit("/", 1)[-1]).alias("file"), F.lit(table).alias("table"),
             "rows", F.lit(expected.get(table)).cast("bigint").alias("expected_rows"),
             "content_sum")
         for table, path in files.items())
-    digest = F.sha2(F.concat_ws(":", F.col("rows").cast("string"),
-                                F.col("content_sum").cast("string")), 256)
     return counts.join(sizes, "table", "left").join(digests, "table", "left").select(
-        "file", "table", "bytes", "sha256", digest.alias("content_digest"), "rows",
+        "file", "table", "bytes", "sha256", digest_of().alias("content_digest"), "rows",
         "expected_rows", (F.col("rows") == F.col("expected_rows")).alias("rows_match_expected"),
         "content_sum")
 
 
-def stamp(df: DataFrame, batch_id: str, loaded_at: datetime,
-          digest: str | None = None) -> DataFrame:
-    """Lineage columns on every row; ``df`` reads the source files or is staged from them."""
-    data = [c for c in df.columns if c not in (BAD_RECORD, "_source_uri")]
+def stamp(df: DataFrame, batch_id: str, loaded_at: datetime, digest=None) -> DataFrame:
+    """Lineage columns on every row; ``df`` reads the source files or is staged from them.
+    ``digest`` is a text or a column of ``df``."""
+    data = [c for c in df.columns if c not in (BAD_RECORD, "_source_uri", "_digest")]
     uri = "_source_uri" if "_source_uri" in df.columns else "_metadata.file_path"
     return df.select(
         *data,
         F.lit(batch_id).alias("_batch_id"),
         F.lit(loaded_at).alias("_loaded_at"),
         F.col(uri).alias("_source_uri"),
-        F.lit(digest).cast("string").alias("_source_digest"),
+        (F.lit(digest) if digest is None or isinstance(digest, str) else digest)
+        .cast("string").alias("_source_digest"),
     )
 
 

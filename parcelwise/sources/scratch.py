@@ -9,11 +9,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import storage
+
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 _local_roots: dict[str, str] = {}
+_made: list[str] = []
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -35,8 +40,18 @@ class Scratch:
     def __init__(self, spark: SparkSession, label: str = "build"):
         self.spark = spark
         self.root = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+        _made.append(self.root)
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def cleared(spark: SparkSession) -> Iterator[None]:
+    """Delete the folders made inside, if all goes well; a failed run leaves them to look at."""
+    before = len(_made)
+    yield
+    while len(_made) > before:
+        storage.delete(spark, _made.pop())

@@ -2,7 +2,8 @@
 
 A release is a fresh folder per run.  Its tables become visible together when an empty
 marker file is created in it; readers take the newest marked folder.  Nothing is ever
-overwritten, so a rerun or a failed run leaves the published tables as they were.
+overwritten, so a rerun or a failed run leaves the published tables as they were.  A table
+may consist of folders of earlier releases.
 """
 
 from __future__ import annotations
@@ -12,8 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.dates import month_of
+from . import storage
 
-MARKER = "_RELEASED"
+MARKER, CLAIMS, PARTS = "_RELEASED", "_claims", "parts"
 ORDER_LAYOUT = ("customer_state", "seller_state", "order_status")
 ITEM_LAYOUT = ("product_key", "seller_key", "customer_key")
 PAYMENT_LAYOUT = ("payment_type", "order_id", "payment_key")
@@ -47,27 +49,34 @@ def write_csv(df: DataFrame, path: str) -> None:
         .csv(path)
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
+class ReleaseConflict(RuntimeError):
+    """Another run has released since this one began."""
 
 
-def mark_released(spark: SparkSession, root: str, release: str) -> None:
-    fs, path = _fs(spark, root)
-    fs.create(path(f"{root}/{release}/{MARKER}"), True).close()
+def mark_released(spark: SparkSession, root: str, release: str, base: str | None) -> None:
+    """Make a finished folder visible, if the newest release is still the one this run began
+    with.
+
+    The claim on the successor of `base` is a file that only one run can create, so of two
+    runs with the same base the later one to finish loses and its folder stays unmarked.
+    """
+    if released(spark, root) != base or not storage.create(
+            spark, f"{root}/{CLAIMS}/{base or 'first'}"):
+        raise ReleaseConflict(f"{root} has a release after {base or 'none'}; {release} is not "
+                              "released")
+    storage.create(spark, f"{root}/{release}/{MARKER}")
+
+
+def marked(spark: SparkSession, root: str) -> list[str]:
+    """Names of the released folders, oldest first; names sort by time."""
+    return [n for n in storage.folders(spark, root)
+            if storage.exists(spark, f"{root}/{n}/{MARKER}")]
 
 
 def released(spark: SparkSession, root: str, table: str | None = None) -> str | None:
-    """Name of the newest marked release (that holds the table, if one is named); names sort
-    by time."""
-    fs, path = _fs(spark, root)
-    if not fs.exists(path(root)):
-        return None
-    names = [s.getPath().getName() for s in fs.listStatus(path(root)) if s.isDirectory()]
-    marked = [n for n in names if fs.exists(path(f"{root}/{n}/{MARKER}"))
-              and (table is None or fs.exists(path(f"{root}/{n}/{table}")))]
-    return max(marked, default=None)
+    """Name of the newest marked release (that holds the table, if one is named)."""
+    return max((n for n in marked(spark, root)
+                if table is None or storage.exists(spark, f"{root}/{n}/{table}")), default=None)
 
 
 def read_released(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -75,4 +84,40 @@ def read_released(spark: SparkSession, root: str, table: str) -> DataFrame:
     release = released(spark, root, table)
     if release is None:
         raise LookupError(f"{table} is not released under {root}")
-    return spark.read.parquet(f"{root}/{release}/{table}")
+    folder = f"{root}/{release}/{table}"
+    parts = parts_of(spark, folder)
+    return spark.read.parquet(*(parts or [folder]))
+
+
+def write_parts(spark: SparkSession, folder: str, parts: Sequence[str]) -> None:
+    """A table that consists of other folders, of this release or of earlier ones."""
+    spark.createDataFrame([(p,) for p in parts], "value string").coalesce(1) \
+        .write.text(f"{folder}/{PARTS}")
+
+
+def parts_of(spark: SparkSession, folder: str) -> list[str]:
+    if not storage.exists(spark, f"{folder}/{PARTS}"):
+        return []
+    return [r["value"] for r in spark.read.text(f"{folder}/{PARTS}").collect()]
+
+
+def expire(spark: SparkSession, root: str, keep: int) -> list[str]:
+    """Delete releases before the newest `keep`, and unmarked folders older than those.
+
+    A folder that a kept release refers to stays, and so does the newest release of any
+    table.  Names of the deleted folders are returned."""
+    names = marked(spark, root)
+    if len(names) <= keep:
+        return []
+    stay = set(names[-keep:])
+    tables = {t for n in names for t in storage.folders(spark, f"{root}/{n}")}
+    stay |= {released(spark, root, t) for t in tables}
+    for n in list(stay):
+        for t in storage.folders(spark, f"{root}/{n}"):
+            stay |= {p[len(root) + 1:].split("/")[0]
+                     for p in parts_of(spark, f"{root}/{n}/{t}") if p.startswith(root + "/")}
+    old = [n for n in storage.folders(spark, root)
+           if n != CLAIMS and n not in stay and n < min(names[-keep:])]
+    for n in old:
+        storage.delete(spark, f"{root}/{n}")
+    return old

@@ -198,6 +198,6 @@ def test_a_later_release_of_one_table_leaves_the_others(spark, tmp_path):
     for release, tables in (("1", "ab"), ("2", "b")):
         for t in tables:
             spark.createDataFrame([(release,)], "x string").write.parquet(f"{root}/{release}/{t}")
-        sinks.mark_released(spark, root, release)
+        sinks.mark_released(spark, root, release, sinks.released(spark, root))
     assert sinks.read_released(spark, root, "a").first().x == "1"
     assert sinks.read_released(spark, root, "b").first().x == "2"
