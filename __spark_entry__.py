@@ -27,9 +27,7 @@ from parcelwise.sources.scratch import Scratch  # noqa: E402
 try:  # the text operators can be taken out as a whole
     import corpus_pipeline as _corpus
     from parcelwise.llm import queries as _text
-except ModuleNotFoundError as missing:
-    if missing.name not in ("corpus_pipeline", "parcelwise.llm"):
-        raise
+except ImportError:  # or a library that only they need is not there
     _corpus = _text = None
 
 _warehouses: dict[tuple[str, str], Warehouse] = {}
@@ -238,6 +236,7 @@ _QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "month_pruned_state_days": lambda w: an.state_days(
         w["fct_orders"], w.params.window_start, w.params.window_end),
     # sales, products, people
+    "customers_by_period": lambda w: an.customers_by_period(w["fct_orders"]),
     "sales_totals": lambda w: an.sales_totals(_sales(w)),
     "strongest_months": lambda w: an.sales_extremes(_sales(w)),
     "weakest_months": lambda w: an.sales_extremes(_sales(w), strongest=False),

@@ -777,6 +777,17 @@ def _statements() -> dict[str, str]:
           from (select order_id, count(*) as i from r_order_items group by 1)
           join (select order_id, count(*) as p from r_order_payments group by 1)
             using (order_id)""",
+        "customers_by_period": """
+          with kept as (
+            select date_trunc('month', order_purchase_date)::date as m, customer_key
+            from f_orders where not is_excluded_from_kpis and customer_key is not null)
+          select 'month' as kind, m as period, count(distinct customer_key) as customers
+          from kept group by m
+          union all
+          select 'quarter', date_trunc('quarter', m)::date, count(distinct customer_key)
+          from kept group by 2
+          union all
+          select 'ever', null, count(distinct customer_key) from kept having count(*) > 0""",
         "review_duplication": """
           select count(*) as review_rows, count(distinct review_id) as distinct_review_ids,
             count(distinct order_id) as distinct_orders,

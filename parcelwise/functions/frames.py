@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 
 def union_all(frames: Iterable[DataFrame]) -> DataFrame:
@@ -20,3 +20,10 @@ def union_all(frames: Iterable[DataFrame]) -> DataFrame:
         level = [level[i].unionByName(level[i + 1]) if i + 1 < len(level) else level[i]
                  for i in range(0, len(level), 2)]
     return level[0]
+
+
+def distinct_count(df: DataFrame, column: str, name: str) -> DataFrame:
+    """One row: distinct values that are not NULL.  Several such counts in one aggregate
+    would copy every row once for each."""
+    return df.where(F.col(column).isNotNull()).select(column).distinct().agg(
+        F.count("*").alias(name))

@@ -12,11 +12,14 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.dates import purchased_between
+from ..functions.frames import union_all
 from ..functions.numbers import (
     fixed, floored_ratio, mean, mean_if, safe_ratio, tally,
 )
+from ..operators import bitmaps
 from ..operators.quantiles import Quantile, with_quantiles
 from ..params import Params
+from ..sources.scratch import Scratch
 from .aggregates import IN_SCOPE, KEPT, TOTAL, money, on_time
 
 
@@ -306,6 +309,21 @@ def sales_extremes(months: DataFrame, k: int = 5, strongest: bool = True) -> Dat
         "year_month", "revenue", "order_count", "avg_order_value", "late_rate")
 
 
+def customers_by_period(fct_orders: DataFrame) -> DataFrame:
+    """Distinct customers with a kept order by month, by quarter and ever, all from the
+    bitmaps of the months."""
+    month = F.trunc("order_purchase_date", "month").alias("period")
+    months = bitmaps.bitmaps(fct_orders.where(KEPT).select(month, "customer_key"), ["period"],
+                             "customer_key", Scratch(fct_orders.sparkSession, "customers"))
+    quarters = months.withColumn("period", F.trunc("period", "quarter"))
+    kinds = {"month": months, "quarter": quarters,
+             "ever": months.withColumn("period", F.lit(None).cast("date"))}
+    return union_all(
+        bitmaps.cardinality(bits, ["period"], "customers").select(
+            F.lit(kind).alias("kind"), "period", "customers")
+        for kind, bits in kinds.items())
+
+
 def correlations(months: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pairwise Pearson correlation in long form."""
     pairs = [(a, b) for a in columns for b in columns]

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.dates import days_between
-from ..functions.frames import union_all
+from ..functions.frames import distinct_count, union_all
 from ..functions.numbers import mean, safe_ratio, tally
 
 
@@ -62,12 +62,11 @@ def payment_fanout(raw_items: DataFrame, raw_payments: DataFrame) -> DataFrame:
 
 
 def review_duplication(raw_reviews: DataFrame) -> DataFrame:
-    orders = F.count_distinct("order_id")
-    return raw_reviews.agg(
-        F.count("*").alias("review_rows"),
-        F.count_distinct("review_id").alias("distinct_review_ids"),
-        orders.alias("distinct_orders"),
-        (F.count("*") - orders).alias("excess_rows_per_order"))
+    counts = raw_reviews.agg(F.count("*").alias("review_rows"))
+    for column, name in (("review_id", "distinct_review_ids"), ("order_id", "distinct_orders")):
+        counts = counts.crossJoin(distinct_count(raw_reviews, column, name))  # one row each
+    return counts.withColumn("excess_rows_per_order",
+                             F.col("review_rows") - F.col("distinct_orders"))
 
 
 def identity(raw_customers: DataFrame) -> DataFrame:

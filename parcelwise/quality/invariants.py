@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.dates import months_shift
-from ..functions.frames import union_all
+from ..functions.frames import distinct_count, union_all
 from ..params import Params
 from ..plans.aggregates import TOTAL, money
 from .rules import ERROR, WARN
@@ -117,9 +117,9 @@ def dates_in_window(f: Frames, p: Params) -> DataFrame:
 
 
 def rfm_at_person_grain(f: Frames, _: Params) -> DataFrame:
-    kept = f["fct_orders"].where("not is_excluded_from_kpis").agg(
-        F.count_distinct("customer_key").alias("people_with_kept_orders"),
-        F.count_distinct("source_customer_id").alias("distinct_customer_ids"))
+    orders = f["fct_orders"].where("not is_excluded_from_kpis")
+    kept = distinct_count(orders, "customer_key", "people_with_kept_orders").crossJoin(
+        distinct_count(orders, "source_customer_id", "distinct_customer_ids"))  # one row each
     scored = f["agg_customer_rfm"]
     rows = F.col("customer_rows")
     label = _first_of(

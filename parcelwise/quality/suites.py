@@ -9,6 +9,7 @@ from ..params import (
     LATENESS_BUCKETS, NOT_DELIVERED, ORDER_STATUSES, PAYMENT_TYPES, REGIONS, SEGMENTS,
     UNKNOWN_REGION, UNKNOWN_WEIGHT, WEIGHT_BANDS,
 )
+from ..sources.layout import KEYS
 from .rules import WARN, Rule, accepted, in_range, key, not_null, refers, unique
 
 SCORES = (1, 2, 3, 4, 5)
@@ -26,19 +27,18 @@ def _length(table: str, column: str, n: int) -> list[Rule]:
     return [Rule(table, "length", column, values=(n,))]
 
 
-# Key columns that must be present in a file before it is loaded.
-FILE_KEYS = {
-    "orders": ("order_id", "customer_id", "order_status", "order_purchase_timestamp"),
-    "order_items": ("order_id", "order_item_id", "product_id", "seller_id"),
-    "order_payments": ("order_id", "payment_sequential", "payment_type"),
-    "order_reviews": ("review_id", "order_id", "review_score"),
-    "customers": ("customer_id", "customer_unique_id", "customer_state"),
-    "products": ("product_id",),
-    "sellers": ("seller_id", "seller_state"),
-    "geolocation": ("geolocation_zip_code_prefix", "geolocation_lat", "geolocation_lng"),
-    "product_category_translation": ("product_category_name",
-                                     "product_category_name_english"),
+# Columns that must be present in a file before it is loaded, beside its declared key.
+REQUIRED = {
+    "orders": ("customer_id", "order_status", "order_purchase_timestamp"),
+    "order_items": ("product_id", "seller_id"),
+    "order_payments": ("payment_type",),
+    "order_reviews": ("order_id", "review_score"),
+    "customers": ("customer_unique_id", "customer_state"),
+    "sellers": ("seller_state",),
+    "geolocation": ("geolocation_lat", "geolocation_lng"),
+    "product_category_translation": ("product_category_name_english",),
 }
+FILE_KEYS = {table: (*keys, *REQUIRED.get(table, ())) for table, keys in KEYS.items()}
 FILE_RULES: list[Rule] = [
     *[r for table, cols in FILE_KEYS.items() for r in not_null(table, *cols)],
     *accepted("orders", "order_status", ORDER_STATUSES),
@@ -53,7 +53,7 @@ FILE_RULES: list[Rule] = [
     *_length("sellers", "seller_state", 2),
     *in_range("geolocation", "geolocation_lat", -35.0, 6.0, mostly=0.999),
     *in_range("geolocation", "geolocation_lng", -75.0, -32.0, mostly=0.999),
-    *unique("products", "product_id"),
+    *unique("products", *KEYS["products"]),
 ]
 
 # The coordinate thresholds, and two looser ones that the star-schema points can meet.
@@ -63,8 +63,11 @@ THRESHOLD_RULES: list[Rule] = [
     *in_range("geolocation", "geolocation_lat", 0, 1, inclusive=False, mostly=0.5),
 ]
 
+# Entities whose declared key is one column that the source promises to be unique.
+SINGLE_KEYS = ("orders", "customers", "products", "sellers", "product_category_translation")
+
 RAW_RULES: list[Rule] = [
-    *key("raw.orders", "order_id"),
+    *[r for table in SINGLE_KEYS for r in key(f"raw.{table}", *KEYS[table])],
     *not_null("raw.orders", "customer_id", "order_purchase_timestamp"),
     *accepted("raw.orders", "order_status", ORDER_STATUSES),
     *not_null("raw.order_items", "order_id", "order_item_id", "product_id", "seller_id",
@@ -72,13 +75,9 @@ RAW_RULES: list[Rule] = [
     *not_null("raw.order_payments", "order_id"),
     *accepted("raw.order_payments", "payment_type", PAYMENT_TYPES),
     *not_null("raw.order_reviews", "order_id"),
-    *key("raw.customers", "customer_id"),
     *not_null("raw.customers", "customer_unique_id", "customer_state"),
-    *key("raw.products", "product_id"),
-    *key("raw.sellers", "seller_id"),
     *not_null("raw.sellers", "seller_state"),
     *not_null("raw.geolocation", "geolocation_zip_code_prefix"),
-    *key("raw.product_category_translation", "product_category_name"),
     *not_null("raw.product_category_translation", "product_category_name_english"),
 ]
 
