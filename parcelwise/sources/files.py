@@ -8,8 +8,8 @@ from datetime import datetime
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DecimalType, StringType, StructType
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DecimalType, StringType, StructField, StructType
 
 from ..functions.frames import union_all
 from .layout import MULTILINE, columns_of, schema_of
@@ -17,6 +17,7 @@ from .records import records
 from .scratch import Scratch
 
 BAD_RECORD = "_bad_record"
+EXPONENT = r"^[+-]?(?=\.?[0-9])[0-9]*(\.[0-9]*)?[eE][+-]?[0-9]{1,3}$"
 
 
 def plain_number(kind: DecimalType) -> str:
@@ -25,6 +26,15 @@ def plain_number(kind: DecimalType) -> str:
     return rf"^[+-]?(?=\.?[0-9])0*[0-9]{{0,{whole}}}(\.[0-9]{{0,{places}}}0*)?$"
 
 
+def _fits(f: StructField) -> Column:
+    """Whether a decimal column holds its text without rounding; texts with an exponent are
+    compared with a wider decimal."""
+    text = F.col(f.name)
+    wide = text.try_cast("decimal(38,18)")
+    return text.rlike(plain_number(f.dataType)) | F.coalesce(
+        text.rlike(EXPONENT) & (wide == text.try_cast(f.dataType)), F.lit(False))
+
+
 def _as_text(schema: StructType) -> StructType:
     """Decimals as the text of the file, because a parser would round them."""
     out = StructType()
@@ -36,15 +46,14 @@ def _as_text(schema: StructType) -> StructType:
 def _numbers(schema: StructType, otherwise) -> list:
     """The columns of `schema`, with decimals from their texts; `otherwise(field)` for a text
     that does not fit."""
-    return [F.when(F.col(f.name).isNull() | F.col(f.name).rlike(plain_number(f.dataType)),
-                   F.col(f.name).try_cast(f.dataType)).otherwise(otherwise(f)).alias(f.name)
+    return [F.when(F.col(f.name).isNull() | _fits(f), F.col(f.name).try_cast(f.dataType))
+            .otherwise(otherwise(f)).alias(f.name)
             if isinstance(f.dataType, DecimalType) else F.col(f.name) for f in schema.fields]
 
 
 def _unfit(schema: StructType):
     """Name and text of the first decimal that does not fit, or NULL."""
-    found = [F.when(~F.col(f.name).rlike(plain_number(f.dataType)),
-                    F.concat(F.lit(f"{f.name}="), F.col(f.name)))
+    found = [F.when(~_fits(f), F.concat(F.lit(f"{f.name}="), F.col(f.name)))
              for f in schema.fields if isinstance(f.dataType, DecimalType)]
     return F.coalesce(*found, F.lit(None).cast("string"))
 

@@ -75,7 +75,7 @@ def test_bad_records_and_headers_are_shown(spark, tmp_path, small_splits):
 
 MONEY = [("12.345678", "12.345678"), ("1", "1"), ("-0.5", "-0.5"), (".25", "0.25"), ("", None),
          ("999999999.999999999", "999999999.999999999"), ("1.5000000000000", "1.5"),
-         ("0000000000001.5", "1.5")]
+         ("0000000000001.5", "1.5"), ("0E-9", "0"), ("1.5e2", "150")]
 
 
 @pytest.mark.parametrize("text,value", MONEY)
@@ -89,7 +89,7 @@ def test_money_is_not_rounded(spark, tmp_path, text, value):
         assert got == (None if value is None else Decimal(value))
 
 
-@pytest.mark.parametrize("text", ["1.2345678901", "1234567890", "x", "1,5", "-", ".", "1 "])
+@pytest.mark.parametrize("text", ["1.2345678901", "1234567890", "x", "1,5", "-", ".", "1 ", "1E-10", "1E9", "E1"])
 def test_money_that_would_be_rounded_is_a_verdict(spark, tmp_path, text):
     path = tmp_path / "order_payments.csv"
     path.write_text(",".join(layout.columns_of("order_payments"))
