@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.numbers import safe_ratio
 from ..functions.text import route_label, same_place
+from .heavy import join_unique
 
 
 def fct_orders(delivery: DataFrame, customers: DataFrame, persons: DataFrame,
@@ -61,12 +62,13 @@ def fct_orders(delivery: DataFrame, customers: DataFrame, persons: DataFrame,
 def fct_order_items(items: DataFrame, orders: DataFrame, customers: DataFrame) -> DataFrame:
     """One row per item line, without delivery measures.
 
-    Person and order context meet at order grain, so the item lines shuffle once.
+    Person and order context meet at order grain, so the item lines shuffle once; an order
+    with very many lines is spread over tasks.
     """
     context = orders.select("order_id", "customer_id", "order_status", "order_purchase_date",
                             "is_delivered", "is_excluded_from_kpis").join(
         customers.select("customer_id", "customer_key"), "customer_id", "left")
-    return items.join(context, "order_id", "left").select(
+    return join_unique(items, context, "order_id").select(
         "order_item_key", F.col("order_id").alias("order_key"), "order_id", "order_item_id",
         "product_key", "seller_key", "customer_key",
         F.col("order_purchase_date").alias("order_date_key"),
@@ -77,7 +79,7 @@ def fct_order_items(items: DataFrame, orders: DataFrame, customers: DataFrame) -
 def fct_payments(payments: DataFrame, orders: DataFrame) -> DataFrame:
     context = orders.select("order_id", "order_status",
                             F.col("order_purchase_date").alias("order_date_key"))
-    return payments.join(context, "order_id", "left").select(
+    return join_unique(payments, context, "order_id").select(
         "payment_key", F.col("order_id").alias("order_key"), "order_id",
         "payment_sequential", "order_date_key", "order_status", "payment_type",
         "payment_installments", "payment_value")

@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from parcelwise.operators import facts, grain
+from parcelwise.operators import facts, grain, heavy
 from parcelwise.plans import aggregates as agg, analysis as an
 from parcelwise.sources import sinks
 
@@ -90,15 +90,19 @@ def test_order_facts_share_the_order_partitioning(spark, shop):
     assert len(by_order) == 5
 
 
-def test_hot_order_is_split_by_adaptive_execution(spark, tmp_path):
-    """A third of all lines belong to one order; the join splits that partition."""
+def rows_per_task(df):
+    return sorted(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+
+
+def test_hot_order_is_spread_without_adaptive_execution(spark):
+    """A third of all lines belong to one order, and a sixth to none."""
     lines = spark.range(0, 60_000, 1, 8).select(
-        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("order_id"),
+        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 6 == 1, None)
+        .otherwise(F.col("id")).alias("order_id"),
         F.concat(F.col("id").cast("string"), F.lit("-1")).alias("order_item_key"),
         F.lit(1).alias("order_item_id"), F.col("id").alias("product_key"),
         (F.col("id") % 50).alias("seller_key"),
         F.lit(None).cast("timestamp_ntz").alias("shipping_limit_at"),
-        F.sha2(F.col("id").cast("string"), 512).alias("pad"),
         F.lit(2).cast("decimal(12,2)").alias("item_price"),
         F.lit(1).cast("decimal(12,2)").alias("freight_value"),
         F.lit(3).cast("decimal(12,2)").alias("item_gross_value"))
@@ -108,17 +112,18 @@ def test_hot_order_is_split_by_adaptive_execution(spark, tmp_path):
         F.lit(date(2018, 1, 1)).alias("order_purchase_date"),
         F.lit(True).alias("is_delivered"), F.lit(False).alias("is_excluded_from_kpis"))
     customers = orders.select("customer_id", F.col("customer_id").alias("customer_key"))
-    with settings(spark, **NO_BROADCAST,
-                  spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="100KB",
-                  spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.2",
-                  spark__sql__adaptive__advisoryPartitionSizeInBytes="50KB"):
+    with settings(spark, **NO_BROADCAST, spark__sql__adaptive__enabled="false",
+                  spark__sql__shuffle__partitions="16"):
         fact = facts.fct_order_items(lines, orders, customers)
-        fact.write.parquet(str(tmp_path / "hot"))
-        fact.collect()
-        text = plan(fact)
-    assert "skew=true" in text
-    stored = spark.read.parquet(str(tmp_path / "hot"))
-    assert stored.count() == 60_000 and stored.where("customer_key is null").count() == 0
+        sizes = rows_per_task(fact)
+        assert sum(sizes) == 60_000 and len(sizes) == 16 and sizes[-1] < 2 * sizes[8]
+        assert heavy.heavy_keys(lines, "order_id").keys() == {7, None}
+        assert fact.where("customer_key is null").count() == 10_000
+        assert fact.where("order_id = 7 and customer_key = 7").count() == 20_000
+        assert fact.select("order_item_key").distinct().count() == 60_000
+        even = lines.where("order_id <> 7")
+        assert "_salt" not in plan(facts.fct_order_items(even, orders, customers))
+        assert heavy.heavy_keys(lines.limit(0), "order_id") == {}
 
 
 def test_hot_keys_reach_the_shuffle_reduced(spark, shop):
@@ -155,8 +160,9 @@ def test_source_rules():
     for banned in ("localCheckpoint", "toPandas", "F.udf", "pandas_udf", ".rdd", "foreach("):
         assert banned not in whole
     collecting = {n for n, t in text.items() if ".collect()" in t}
-    # Tile boundaries, rule verdicts, and the manifest with one row per source file.
-    assert collecting == {"tiles.py", "gate.py", "build.py"}
+    # Tile boundaries, rule verdicts, the manifest with one row per source file, and the
+    # folders of a table.
+    assert collecting == {"tiles.py", "gate.py", "build.py", "sinks.py"}
 
 
 def joins(plan):
