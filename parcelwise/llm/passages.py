@@ -40,7 +40,8 @@ LENGTH, GRAM = 100, 32
 REACH = LENGTH - GRAM  # bytes before an anchor that its strings can reach
 WIDTH = REACH + LENGTH
 CHUNK = 1 << 20
-TIE = 41  # bits of a place below those of the text's hash
+TIE = 31  # bits of a place below those of the text's hash; no text has more bytes
+FEW = 1 << 40  # numbers below all ids, for texts without one
 TILE = 4096
 SALTS = 64
 HEAVY = 16  # different fragments of an anchor in a batch that make it a candidate for salts
@@ -350,8 +351,14 @@ def compare_fragments(fragments: DataFrame, save: Save) -> DataFrame:
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.col(f"`{text_col}`")
-    return docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)).alias("i"),
-                       text_tie(text).alias("h"), text.alias("t"))
+    return docs.select(number(F.col(f"`{id_col}`"), text).alias("i"), text_tie(text).alias("h"),
+                       text.alias("t"))
+
+
+def number(id_: Column, text: Column) -> Column:
+    """The id; for null a number below all ids (but for the lowest FEW) from the text."""
+    own = F.xxhash64(F.lit(1), F.coalesce(text, F.lit(""))).bitwiseAND(FEW - 1)
+    return F.coalesce(id_.cast("long"), own + F.lit(NO_ID))
 
 
 def text_tie(text: Column) -> Column:
@@ -362,7 +369,7 @@ def text_tie(text: Column) -> Column:
 def covered(docs: DataFrame, save: Save, id_col: str = "doc_id",
             text_col: str = "text") -> DataFrame:
     """(i, h, spans): covered stretches of each document that has any, not merged.  i is the
-    id (or a number for null), h tells texts of one id apart."""
+    id (or a number for null), h (32 bits of a hash) tells texts of one id apart."""
     texts = keyed(docs, id_col, text_col)
     scanned = save(scan(texts), "anchors")
     reduced = save(reduce_fragments(salted(scanned)), "reduced")
@@ -414,7 +421,7 @@ def remove_repeats(docs: DataFrame, save: Save, id_col: str = "doc_id",
                 raw = (text or "").encode("utf-8", "surrogatepass")
                 starts, ends = merged(spans, len(raw))
                 kept = kept_bytes(raw, starts, ends)
-                rows.append((None if i == NO_ID else i, len(raw), len(raw) - len(kept),
+                rows.append((None if i < NO_ID + FEW else i, len(raw), len(raw) - len(kept),
                              len(starts), hashlib.sha256(kept).hexdigest()))
             out = pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_removed", "n_spans",
                                               "kept_sha256"])
@@ -437,8 +444,7 @@ def without_repeats(docs: DataFrame, save: Save, id_col: str = "doc_id",
     found = save(covered(docs, save, id_col, text_col), "spans")
     text = F.col(f"`{text_col}`")
     i, h, spans = free(docs, "_i", "_h", "_spans")
-    rows = docs.select("*", F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)).alias(i),
-                       text_tie(text).alias(h))
+    rows = docs.select("*", number(F.col(f"`{id_col}`"), text).alias(i), text_tie(text).alias(h))
     new = rows.join(found.select(F.col("i").alias(i), F.col("h").alias(h),
                                  F.col("spans").alias(spans)), [i, h], "left")
     touched = F.col(spans).isNotNull()

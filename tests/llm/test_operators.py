@@ -305,6 +305,26 @@ def test_passages_keep_a_repeated_row_that_comes_first(spark, save, parts):
         (16, 0), (16, 0), (20, len(words[1]))]
 
 
+@pytest.mark.parametrize("own_id", [None, 5])
+def test_passages_of_many_rows_without_an_id_of_their_own(spark, save, own_id):
+    """8,000 texts share a passage, at different places; each row loses only its own."""
+    dice = random.Random(9)
+    shared = " ".join(str(dice.randrange(10 ** 9)) for _ in range(20))
+
+    def noise(n):
+        return " ".join(f"{dice.randrange(1 << 60):x}" for _ in range(n))
+
+    rows = [(own_id, noise(dice.randrange(1, 9)) + "|" + shared + "|" + noise(3))
+            for _ in range(8000)] + [(7, noise(20)), (8, "x" + shared + "y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = passages.remove_repeats(df, save).collect()
+    lost = sorted(r["n_removed"] for r in got if r["doc_id"] == own_id)
+    assert lost[0] == 0 and lost[1] >= len(shared) + 2 and lost[-1] <= len(shared) + 2 + 16
+    assert {r["n_spans"] for r in got if r["n_removed"]} == {1}
+    rest = {r["doc_id"]: r["n_removed"] for r in got if r["doc_id"] in (7, 8)}
+    assert rest == {7: 0, 8: len(shared)}
+
+
 def test_passages_do_not_depend_on_equal_batches(spark):
     rows = [(k, BASE) for k in range(6)]
     df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
