@@ -2,13 +2,19 @@
 
 Quality classifier, near-duplicates, repeated passages, personal data, packing.  Every stage
 takes the documents its predecessor kept; all but the last return the columns of documents.
+
+Defined cases, for every stage: a null text counts as empty and stays null, empty texts stay;
+rows without an id stay unless they are near copies of one that has an id; a long text is
+processed whole; repeated rows are treated alike; an empty table gives an empty table; further
+columns, whatever their names, pass unchanged.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from parcelwise.llm import importance, minhash, packing, passages, pseudonyms, queries
+from parcelwise.llm import (importance, minhash, names, packing, passages, pseudonyms,
+                            queries)
 from parcelwise.sources.scratch import Scratch
 
 
@@ -30,7 +36,8 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data becomes pseudonyms of the same format."""
-    found = pseudonyms.pseudonymise(docs, queries.PII_KEY)
+    (counts,) = names.free(docs, "pii_counts")
+    found = pseudonyms.pseudonymise(docs, queries.PII_KEY, counts=counts)
     kind = dict(docs.dtypes).get("n_chars")
     if kind:
         found = found.withColumn("n_chars", F.coalesce(

@@ -42,3 +42,30 @@ def test_stages(spark, tmp_path):
     assert "jo.do@mail.org" not in seen["personal_data"][405]["text"]
     assert set(seen["packing"]) == set(seen["personal_data"])
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == len(docs.collect())
+
+
+CLASH = "pii_counts component_id kept i h t key spans _i _h _spans _found sequence_id score".split()
+
+
+def test_empty_table_and_clashing_columns(spark, tmp_path):
+    rows = [(1, "mail jo.do@mail.org " + prose(40)), (2, prose(9_000)), (3, None), (4, ""),
+            (None, prose(20)), (5, prose(30)), (5, prose(30))]
+    rows += rows[:1]
+    names = ["doc_id", "text", "lang", "source", "n_chars", *CLASH]
+    docs = spark.createDataFrame(
+        [(i, t, "en", "s", len(t or ""), *[f"c{k}" for k in range(len(CLASH))]) for i, t in rows],
+        "doc_id long, text string, lang string, source string, n_chars long, "
+        + ", ".join(f"{c} string" for c in CLASH))
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int") \
+        .write.parquet(f"{tmp_path}/labels.parquet")
+    for given, n in ((docs, 7), (docs.limit(0), 0)):
+        at = given
+        for k, (name, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+            at.write.parquet(f"{tmp_path}/{n}-{k}")
+            at = stage(spark, spark.read.parquet(f"{tmp_path}/{n}-{k}"), str(tmp_path))
+            assert at.columns == names and at.dtypes == docs.dtypes
+        left = at.collect()
+        assert len(left) == n  # the repeated row goes
+        assert all(r[c] == f"c{k}" for r in left for k, c in enumerate(CLASH))
+        packed = corpus_pipeline.STAGES[-1][1](spark, at, str(tmp_path)).collect()
+        assert len(packed) >= n and bool(packed) == bool(n)
