@@ -21,7 +21,7 @@ from parcelwise.plans.warehouse import Warehouse  # noqa: E402
 from parcelwise.quality import gate, invariants, suites  # noqa: E402
 from parcelwise.quality.rules import WARN, Rule, evaluate, failing_rows  # noqa: E402
 from parcelwise.session import star_warehouse  # noqa: E402
-from parcelwise.sources import files, layout, sinks  # noqa: E402
+from parcelwise.sources import files, layout, sinks, versions  # noqa: E402
 from parcelwise.sources.scratch import Scratch  # noqa: E402
 
 try:  # the text operators can be taken out as a whole
@@ -51,9 +51,12 @@ def plain(df: DataFrame) -> DataFrame:
 
 
 # --- definitions that need more than one call -------------------------------
-def _scd2(w: Warehouse) -> DataFrame:
-    """Two runs: the second recategorises every tenth product, drops every 97th and adds
-    a brand new one per hundredth."""
+HISTORY_CHECK = ["product_category", "product_category_pt"]
+
+
+def _two_states(w: Warehouse) -> tuple[DataFrame, DataFrame]:
+    """The products, and a later state: every tenth has another category, every 97th is gone
+    and a hundredth as many are brand new."""
     cols = ["product_key", "product_category", "product_category_pt", "product_weight_g",
             "product_volume_cm3"]
     before = w["dim_product"].select(*cols)
@@ -62,10 +65,29 @@ def _scd2(w: Warehouse) -> DataFrame:
     kept = before.withColumn("product_category", moved).where("product_key % 97 <> 0")
     added = before.where("product_key % 100 = 0").withColumn(
         "product_key", F.col("product_key") + 1_000_000_000)
-    check = ["product_category", "product_category_pt"]
-    first = history.snapshot(before, None, "product_key", check, datetime(2001, 1, 1))
-    return history.snapshot(kept.unionByName(added), first, "product_key", check,
-                            datetime(2001, 2, 1))
+    return before, kept.unionByName(added)
+
+
+def _scd2(w: Warehouse) -> DataFrame:
+    before, after = _two_states(w)
+    first = history.snapshot(before, None, "product_key", HISTORY_CHECK, datetime(2001, 1, 1))
+    return history.snapshot(after, first, "product_key", HISTORY_CHECK, datetime(2001, 2, 1))
+
+
+def _stored_history(w: Warehouse) -> DataFrame:
+    """The same history as four releases of it, the last of which changes nothing, and the
+    third only the buckets of products whose key ends in 000."""
+    before, after = _two_states(w)
+    late = F.col("product_key") % 1000 == 0
+    third = after.withColumn("product_category", F.when(late, F.lit("late")).otherwise(
+        F.col("product_category")))
+    root = f"{Scratch(w.spark, 'history').root}/releases"
+    for day, state in enumerate((before, after, third, third), 1):
+        name, base = f"2001-0{day}", sinks.released(w.spark, root)
+        versions.write_versions(state, root, name, "products", "product_key", HISTORY_CHECK,
+                                datetime(2001, day, 1))
+        sinks.mark_released(w.spark, root, name, base)
+    return sinks.read_released(w.spark, root, "products")
 
 
 def _rules(kind: str) -> Callable[[Warehouse], DataFrame]:
@@ -175,6 +197,7 @@ _QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "product_performance": lambda w: w["agg_product_performance"],
     "customer_rfm": lambda w: w["agg_customer_rfm"],
     "scd2_snapshot": _scd2,
+    "history_by_bucket": _stored_history,
     # profiling
     "table_row_counts": lambda w: files.row_counts(_raw(w)),
     "coverage_by_month": lambda w: pr.coverage_by_month(

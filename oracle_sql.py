@@ -749,6 +749,42 @@ def _statements() -> dict[str, str]:
           select n.*, timestamp '2001-02-01', null from new_run n
           left join fate f using (product_key)
           where f.product_key is null or f.ended is not null""",
+        "history_by_bucket": """
+          with days as (select * from (values (1, timestamp '2001-01-01'),
+              (2, timestamp '2001-02-01'), (3, timestamp '2001-03-01')) d(day, began)),
+          base as (select product_key, product_category, product_category_pt,
+              product_weight_g, product_volume_cm3 from s_products),
+          second as (
+            select * replace (case when product_key % 10 = 0 then 'moved'
+              else product_category end as product_category)
+            from base where product_key % 97 <> 0
+            union all
+            select * replace (product_key + 1000000000 as product_key) from base
+            where product_key % 100 = 0),
+          states as (
+            select 1 as day, * from base
+            union all select 2, * from second
+            union all select 3, * replace (case when product_key % 1000 = 0 then 'late'
+              else product_category end as product_category) from second),
+          marked as (
+            select *, coalesce(lag(day) over w = day - 1
+                and lag(product_category) over w is not distinct from product_category, false)
+              as same
+            from states window w as (partition by product_key order by day)),
+          -- rows of one version share the number of versions begun so far
+          numbered as (
+            select *, sum(case when same then 0 else 1 end) over (
+              partition by product_key order by day) as version from marked),
+          spans as (
+            select product_key, arg_min(product_category, day) as product_category,
+              arg_min(product_category_pt, day) as product_category_pt,
+              arg_min(product_weight_g, day) as product_weight_g,
+              arg_min(product_volume_cm3, day) as product_volume_cm3,
+              min(day) as first_day, max(day) as last_day
+            from numbered group by product_key, version)
+          select s.* exclude (first_day, last_day), b.began as valid_from, e.began as valid_to
+          from spans s join days b on b.day = s.first_day
+          left join days e on e.day = s.last_day + 1""",
         "table_row_counts": " union all ".join(
             f"select '{t}' as \"table\", count(*) as rows from r_{t}" for t in TABLES),
         "coverage_by_month": f"""

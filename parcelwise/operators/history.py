@@ -38,8 +38,8 @@ def snapshot(current: DataFrame, history: DataFrame | None, key: str,
 
     live = history.where("valid_to is null").select(
         F.col(key).alias("_k"), F.struct(*payload, "valid_from").alias("old"))
-    fresh = current.select(F.col(key).alias("_k"), F.struct(*payload).alias("new"))
-    both = live.join(fresh, "_k", "full_outer")
+    fresh = current.select(F.col(key).alias("_f"), F.struct(*payload).alias("new"))
+    both = live.join(fresh, F.col("_k").eqNullSafe(F.col("_f")), "full_outer")
 
     old, new = F.col("old"), F.col("new")
     changed = F.lit(False)

@@ -8,10 +8,9 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
-from ..operators import history
 from ..params import Params
 from ..plans.warehouse import MARTS, Warehouse
-from ..sources import files, sinks
+from ..sources import files, sinks, versions
 from .invariants import evaluate_invariants
 from .rules import ERROR, Rule, evaluate
 from .suites import FILE_RULES, MODEL_RULES
@@ -95,7 +94,8 @@ def release(spark: SparkSession, models: Warehouse, root: str, params: Params,
     """Write every mart once, into a new folder, check what was written, then mark the folder.
 
     A red gate leaves the folder unmarked, so readers keep the release before it.  The
-    history of product categories goes on from the last release that has one.
+    history of product categories goes on from the last release that has one, and refers to
+    its buckets that did not change.
     """
     instant = run_at or datetime.now(timezone.utc)
     name, base = instant.strftime("%Y%m%dT%H%M%S%f"), sinks.released(spark, root)
@@ -105,12 +105,8 @@ def release(spark: SparkSession, models: Warehouse, root: str, params: Params,
     outcome = check_models(written, params, rules)
     if outcome.blocked:
         raise GateRed(outcome)
-    before = sinks.read_released(spark, root, HISTORY) \
-        if sinks.released(spark, root, HISTORY) else None
-    versions = history.snapshot(
-        history.single_rows(written["stg_products"].select(*HISTORY_COLUMNS), "product_key"),
-        before, "product_key", HISTORY_CHECK, instant.replace(tzinfo=None))
-    versions.write.parquet(f"{root}/{name}/{HISTORY}")
+    versions.write_versions(written["stg_products"].select(*HISTORY_COLUMNS), root, name, HISTORY,
+                            "product_key", HISTORY_CHECK, instant.replace(tzinfo=None))
     sinks.mark_released(spark, root, name, base)
     return outcome
 

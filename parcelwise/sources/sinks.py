@@ -104,20 +104,25 @@ def parts_of(spark: SparkSession, folder: str) -> list[str]:
 def expire(spark: SparkSession, root: str, keep: int) -> list[str]:
     """Delete releases before the newest `keep`, and unmarked folders older than those.
 
-    A folder that a kept release refers to stays, and so does the newest release of any
-    table.  Names of the deleted folders are returned."""
+    The newest release of any table stays for that table, and so does what a table that stays
+    refers to; the other tables of such a release go.  Names of the folders that are deleted
+    whole are returned."""
     names = marked(spark, root)
     if len(names) <= keep:
         return []
-    stay = set(names[-keep:])
-    tables = {t for n in names for t in storage.folders(spark, f"{root}/{n}")}
-    stay |= {released(spark, root, t) for t in tables}
-    for n in list(stay):
-        for t in storage.folders(spark, f"{root}/{n}"):
-            stay |= {p[len(root) + 1:].split("/")[0]
-                     for p in parts_of(spark, f"{root}/{n}/{t}") if p.startswith(root + "/")}
-    old = [n for n in storage.folders(spark, root)
-           if n != CLAIMS and n not in stay and n < min(names[-keep:])]
+    tables = {n: storage.folders(spark, f"{root}/{n}") for n in names}
+    newest = {t: n for n in names for t in tables[n]}
+    stay = {(n, t) for n in names[-keep:] for t in tables[n]} | {(n, t) for t, n in newest.items()}
+    for n, t in list(stay):
+        stay |= {tuple(p[len(root) + 1:].split("/")[:2])
+                 for p in parts_of(spark, f"{root}/{n}/{t}") if p.startswith(root + "/")}
+    held = {n for n, _ in stay}
+    old = [n for n in storage.folders(spark, root) if n != CLAIMS and n < min(names[-keep:])]
     for n in old:
-        storage.delete(spark, f"{root}/{n}")
-    return old
+        if n not in held:
+            storage.delete(spark, f"{root}/{n}")
+        else:
+            for t in storage.folders(spark, f"{root}/{n}"):
+                if (n, t) not in stay:
+                    storage.delete(spark, f"{root}/{n}/{t}")
+    return [n for n in old if n not in held]

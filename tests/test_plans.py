@@ -160,9 +160,9 @@ def test_source_rules():
     for banned in ("localCheckpoint", "toPandas", "F.udf", "pandas_udf", ".rdd", "foreach("):
         assert banned not in whole
     collecting = {n for n, t in text.items() if ".collect()" in t}
-    # Tile boundaries, rule verdicts, the manifest with one row per source file, and the
-    # folders of a table.
-    assert collecting == {"tiles.py", "gate.py", "build.py", "sinks.py"}
+    # Tile boundaries, rule verdicts, the manifest with one row per source file, the folders of
+    # a table, and the numbers of changed buckets.
+    assert collecting == {"tiles.py", "gate.py", "build.py", "sinks.py", "versions.py"}
 
 
 def joins(plan):
