@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -386,6 +387,44 @@ def test_html_pages_without_article():
     assert html_text.content_blocks(articles) == [long.strip(), more.strip()]
 
 
+def test_html_names_that_are_also_content():
+    long, more = ("Long text, it is. " * 20).strip(), ("More of it, too. " * 20).strip()
+    page = f"<body><div class='social-science-article'><h1>T</h1><p>{long}</p></div></body>"
+    assert html_text.content_blocks(page) == ["T", long]
+    page = (f"<article><h2><a href=x>Linked</a></h2><p>{long}</p><section class='related-work'>"
+            f"<h2>Before</h2><p>{more}</p></section><div class='related-widget'>w</div>"
+            "<div class='social-links'><p>Follow</p></div><div class='share-this'><p>Share</p>"
+            "<p>Send</p></div><ul><li><a href=1>one</a><li><a href=2>two</a></ul></article>")
+    assert html_text.content_blocks(page) == ["Linked", long, "Before", more]
+    for name, told in (("related-work", 1), ("related-posts", 2), ("comment-list", 2), ("ad", 2),
+                       ("ad-hoc", 1), ("top-banner", 2), ("no-sidebar", 0), ("article", 0),
+                       ("ad-300x250", 2), ("science", 0), ("", 0)):
+        assert html_text.names_furniture(name) == told, name
+
+
+def test_html_attributes_and_open_quotes():
+    assert html_text.content_blocks("<p title='a > b'>x</p><p title=\"<p>\">y</p>") == ["x", "y"]
+    assert html_text.content_blocks("<p>a</p><p title=\"open>b</p><p>c</p>") == ["a", "b", "c"]
+    assert html_text.content_blocks("<p>1 < 2 <3 <!x> <?y> </ z>4</p><!-->5<!--6--!>7") == [
+        "1 < 2 <3 4", "57"]
+    assert html_text.content_blocks("a<SCRIPT x='>'>b</p></script >c<style>d") == ["ac"]
+
+
+@pytest.mark.parametrize("part", [
+    "<a \"", "<b ", "<div>", "<div>x", "<!", "<b \">\"", "<p>x", "<li>x<ul>", "<td>y<table>",
+    "</x", "<a href=x>", "\"<a '> ", "<script ", "<span class=ad>z", "<p>q<div>", "<!-- ",
+    "<p><table><div>"])
+def test_html_time_is_linear_in_broken_pages(part):
+    def spent(size):
+        page = "<p><table>" + part * (size // len(part))
+        start = time.process_time()
+        html_text.content_blocks(page)
+        return time.process_time() - start
+
+    assert spent(200_000) < 12 * spent(50_000) + 0.2  # sixteen times if quadratic
+    assert spent(200_000) < 4
+
+
 def test_html_table(spark):
     df = spark.createDataFrame([(1, "u", "<article><p>Hi é.</p></article>", 5), (None, None, None, 5),
                                 (1, "u", "<article><p>Hi é.</p></article>", 5)],
