@@ -90,8 +90,8 @@ def _stored_history(w: Warehouse) -> DataFrame:
     return sinks.read_released(w.spark, root, "products")
 
 
-def _rules(kind: str) -> Callable[[Warehouse], DataFrame]:
-    return lambda w: evaluate([r for r in suites.MODEL_RULES if r.kind == kind], w)
+def _rules(*kinds: str) -> Callable[[Warehouse], DataFrame]:
+    return lambda w: evaluate([r for r in suites.MODEL_RULES if r.kind in kinds], w)
 
 
 def _mostly(w: Warehouse) -> DataFrame:
@@ -287,6 +287,7 @@ _QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "rule_accepted_values": _rules("accepted_values"),
     "rule_accepted_range": _rules("accepted_range"),
     "rule_relationships": _rules("relationships"),
+    "rule_keys": _rules("unique", "relationships"),
     "rule_mostly_between": _mostly,
     "duplicate_item_keys": lambda w: failing_rows(
         Rule("stg_order_items", "unique", "order_id", also=("order_item_id",)), w),

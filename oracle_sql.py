@@ -1061,6 +1061,8 @@ def _statements() -> dict[str, str]:
         "rule_accepted_values": _rules("accepted_values"),
         "rule_accepted_range": _rules("accepted_range"),
         "rule_relationships": _rules("relationships"),
+        "rule_keys": f"select * from ({_rules('unique')}) union all "
+                     f"select * from ({_rules('relationships')})",
         "rule_mostly_between": _mostly(),
         "duplicate_item_keys": """
           select order_id, order_item_id, count(*) as n_records from s_order_items

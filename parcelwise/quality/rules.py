@@ -1,13 +1,15 @@
 """Generic rules and their evaluation.
 
-Row rules of a table are fused into one aggregate over one scan.  Uniqueness and
-relationships group by the key first, so a repeated key is reduced before it moves.
+Row rules of a table are fused into one aggregate over one scan.  All rules about one key,
+its uniqueness and the tables that refer to it, come from one frame of counts per key: one
+shuffle without a join, and a repeated key is reduced before it moves.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -127,33 +129,54 @@ def _row_rules(rules: list[Rule], df: DataFrame) -> DataFrame:
     return df.selectExpr(*counts).selectExpr(f"inline(array({', '.join(rows)}))")
 
 
-def _set_rule(rule: Rule, frames: Mapping[str, DataFrame]) -> DataFrame:
-    """Failing and checked counts from the same keys, so the table is read once."""
-    keys = [rule.column, *rule.also]
-    counted = frames[rule.table].dropna(subset=keys).groupBy(*keys).agg(
-        F.expr("count(*) as _n"))
+Key = tuple[str, tuple[str, ...]]  # a table and its key columns
+
+
+def _key_of(rule: Rule) -> Key:
+    """The key that a rule is about; a reference is about the key of its parent."""
     if rule.kind == "unique":
-        failing = "count_if(_n > 1)"
-    elif rule.kind == "relationships":
-        known = frames[rule.parent].selectExpr(
-            f"`{rule.parent_key}` as `{rule.column}`", "true as _known").distinct()
-        counted = counted.join(known, rule.column, "left")
-        failing = "coalesce(sum(if(_known is null, _n, 0)), 0)"
-    else:
-        raise ValueError(f"unknown rule kind {rule.kind}")
-    row = _result(rule, "failing", "checked", "failing = 0")
-    return counted.selectExpr(f"{failing} as failing", "coalesce(sum(_n), 0) as checked"
-                              ).selectExpr(f"inline(array({row}))")
+        return rule.table, (rule.column, *rule.also)
+    if rule.kind == "relationships":
+        return rule.parent, (rule.parent_key,)
+    raise ValueError(f"unknown rule kind {rule.kind}")
+
+
+def key_counts(sources: list[Key], frames: Mapping[str, DataFrame]) -> DataFrame:
+    """One row per key without nulls, with the number of rows that each source has of it."""
+    rows = []
+    for i, (table, columns) in enumerate(sources):
+        whole = F.col(columns[0]) if len(columns) == 1 else F.struct(*columns)
+        rows.append(frames[table].dropna(subset=list(columns)).select(
+            whole.alias("key"), F.lit(i).alias("source")))
+    return reduce(DataFrame.unionAll, rows).groupBy("key").agg(
+        *[F.expr(f"count_if(source = {i})").alias(f"n{i}") for i in range(len(sources))])
+
+
+def _key_rules(about: Key, rules: list[Rule], frames: Mapping[str, DataFrame]) -> DataFrame:
+    """All rules about one key, which is the first source of the counts."""
+    refers_to = [(r.table, (r.column,)) for r in rules if r.kind == "relationships"]
+    sources = list(dict.fromkeys([about, *refers_to]))
+    counts, rows = [], []
+    for i, r in enumerate(rules):
+        if r.kind == "unique":
+            n, failing = "n0", "count_if(n0 > 1)"
+        else:
+            n = f"n{sources.index((r.table, (r.column,)))}"
+            failing = f"coalesce(sum(if(n0 = 0, {n}, 0)), 0)"
+        counts += [f"{failing} as f{i}", f"coalesce(sum({n}), 0) as c{i}"]
+        rows.append(_result(r, f"f{i}", f"c{i}", f"f{i} = 0"))
+    return key_counts(sources, frames).selectExpr(*counts).selectExpr(
+        f"inline(array({', '.join(rows)}))")
 
 
 def evaluate(rules: Iterable[Rule], frames: Mapping[str, DataFrame]) -> DataFrame:
     """One row per rule: failing and checked counts and the verdict."""
     by_table: dict[str, list[Rule]] = {}
-    results: list[DataFrame] = []
+    by_key: dict[Key, list[Rule]] = {}
     for rule in rules:
         if rule.kind in ROW_KINDS:
             by_table.setdefault(rule.table, []).append(rule)
         else:
-            results.append(_set_rule(rule, frames))
-    results += [_row_rules(rs, frames[t]) for t, rs in by_table.items()]
-    return union_all(results)
+            by_key.setdefault(_key_of(rule), []).append(rule)
+    return union_all([_key_rules(k, rs, frames) for k, rs in by_key.items()]
+                     + [_row_rules(rs, frames[t]) for t, rs in by_table.items()])

@@ -10,7 +10,7 @@ from parcelwise.params import Params
 from parcelwise.plans import warehouse
 from parcelwise.plans.warehouse import MARTS, Warehouse
 from parcelwise.quality import gate, invariants
-from parcelwise.quality.rules import WARN, Rule, evaluate, failing_rows, unique
+from parcelwise.quality.rules import WARN, Rule, evaluate, failing_rows, refers, unique
 from parcelwise.quality.suites import FILE_RULES, MODEL_RULES
 from parcelwise.sources import sinks
 from parcelwise.sources.layout import TABLES, schema_of
@@ -52,6 +52,25 @@ def test_rule_counts(frames, rule, failing, checked):
     assert evidence.count() == failing
 
 
+def test_rules_about_one_key_share_one_shuffle(spark, frames):
+    more = {**frames, "u": spark.createDataFrame([(2, 1), (9, 1), (None, 3)], "a int, b int")}
+    rules = [*unique("p", "id"), *unique("t", "id"), *refers("t", "id", "p", "id"),
+             *refers("u", "a", "p", "id"), *refers("u", "b", "p", "id"),
+             *refers("p", "id", "p", "id"), *unique("u", "a", "b")]
+    about_p = [r for r in rules if r.parent == "p" or r.table == "p"]
+    got = {(r.table_name, r.rule): (r.failing, r.checked) for r in evaluate(rules, more).collect()}
+    assert got == {
+        ("p", "unique(id)"): (1, 3), ("t", "unique(id)"): (1, 4),
+        ("t", "relationships(id)"): (1, 4), ("u", "relationships(a)"): (1, 2),
+        ("u", "relationships(b)"): (1, 3), ("p", "relationships(id)"): (0, 3),
+        ("u", "unique(a, b)"): (0, 2)}
+    plan = evaluate(about_p, more)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    empty = {t: df.limit(0) for t, df in more.items()}
+    assert {(r.failing, r.checked, r.passed) for r in evaluate(rules, empty).collect()} == {
+        (0, 0, True)}
+
+
 def test_row_rules_share_one_scan(frames):
     rules = [Rule("t", "not_null", c) for c in ("id", "code", "n")]
     plan = evaluate(rules, frames)._jdf.queryExecution().optimizedPlan().toString()
