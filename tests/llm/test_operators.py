@@ -526,6 +526,49 @@ def test_maxent_beats_the_base_on_held_out_text(spark, save):
     assert one[0] / one[2] > one[1] / one[2] + 0.3  # log10 a token; the text has 1 bit a word
 
 
+def test_maxent_sees_words_of_one_ending(spark, save):
+    """Classes come from endings, so only features of words can tell what follows here."""
+    local = random.Random(5)
+    words = [f"{a}{b}on" for a in "bcdfglmn" for b in "aeiou"]
+    follows = {w: local.sample(words, 2) for w in words}
+    rows = []
+    for i in range(400):
+        word, text = local.choice(words), []
+        for _ in range(60):
+            text.append(word)
+            word = local.choice(follows[word])
+        rows.append((i, " ".join(text)))
+    rows += rows[:50]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = maxent.score(df, save)
+    one = got.where("held_out").agg(F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).first()
+    assert one[0] / one[2] > one[1] / one[2] + 0.8  # log10 a token; the text has 1 bit a word
+    assert got.groupBy("doc_id").agg(F.countDistinct("score").alias("k")).where("k > 1").count() == 0
+
+
+def test_maxent_probabilities_of_all_units_sum_to_one():
+    local = np.random.default_rng(1)
+    from parcelwise.llm import word_weights
+    units, n = maxent.CLASSES + 200, 6000
+    class_of = np.concatenate([np.arange(maxent.CLASSES), local.integers(2, 12, 200)])
+    share = local.random(units)
+    share /= np.bincount(class_of, share)[class_of]
+    table = maxent.log_softmax(local.normal(size=(maxent.BUCKETS, maxent.CLASSES)),
+                               np.arange(maxent.HISTORIES)).astype(np.float32)
+    tokens = (local.random((4, n)) ** 3 * units).astype(np.int64)
+    probes = [tokens[:3, k] for k in range(5)] + [np.array([0, 1, units - 1])]
+    asked = np.concatenate([np.concatenate([np.tile(p[:, None], units), np.arange(units)[None]])
+                            for p in probes], 1)
+    every = np.concatenate([tokens, asked], 1)
+    times = np.repeat([1, 0], [n, asked.shape[1]])
+    gain = word_weights.gains(*every, times, class_of, share, table)[n:]
+    u3, u2, u1, u0 = asked
+    code = (class_of[u3] * maxent.CLASSES + class_of[u2]) * maxent.CLASSES + class_of[u1]
+    p = np.exp(table[code, class_of[u0]] + gain) * share[u0]
+    assert np.allclose(p.reshape(len(probes), -1).sum(1), 1, atol=1e-4)
+    assert (gain > 1).any()
+
+
 def test_importance(spark, save):
     rows, labels = [], []
     for i in range(400):
