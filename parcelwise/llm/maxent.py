@@ -15,8 +15,10 @@ p(word | history) = p(class | history) * p(unit | class, history) * p(word | uni
   n-grams that were seen, on top of the unit's share in the class.
 * Weights of word features grow with the text.  They never meet on one machine: every such
   feature holds the word before, so tokens are dealt by that word into groups of about `GROUP`
-  tokens, each of which learns and applies its own weights.  A word before that many tokens
-  share is dealt into several groups by the text it stands in; each has weights of its own.
+  tokens, each of which learns and applies its own weights.  Where many tokens share the word
+  before, its features also hold some hash bits of the word before that, and where many share
+  those two words, of the third as well; the tokens are dealt by these.  So a group follows from
+  the history alone, and each weight is learned from every training token with its feature.
 * p(word | unit) and the shares are unigram, (c + 0.5) / (N_class + 0.5 (V_class + 1)), where
   the last half is for words not seen.  Counts are over all training documents; the commonest
   words are known to every task, counts of all others come by a join.
@@ -45,7 +47,7 @@ UPDATES = 12
 BLOCK = 4096
 AT_ONCE = 1 << 20  # words that a task counts before it hands them on
 GROUP = 1 << 19  # tokens that learn together
-STRETCH = 14  # bits of places in a text that are dealt as one
+FIRST = 1 << 10  # units whose pairs are counted: classes and the commonest words
 Save = Callable[[DataFrame, str], DataFrame]
 
 
@@ -265,8 +267,10 @@ class Units:
         rest = (n - rest[0]) + 0.5 * (v - rest[1]) + unseen
         self.class_of = np.concatenate([np.arange(CLASSES), classes])
         self.share = np.maximum(np.concatenate([rest, count + 0.5]), 1e-9) / mass[self.class_of]
-        # A group's share of the words after one unit; units of many words are always spread.
-        self.parts = 1 + np.concatenate([np.full(CLASSES, groups // 8), 4 * count // GROUP])
+        # Hash values of the word before a unit that its features hold, by its tokens.
+        others = np.maximum(n - np.bincount(classes, count, CLASSES), 0).astype(np.int64)
+        self.parts = 1 + 4 * np.concatenate([others, count]) // GROUP
+        self.pair_parts = np.ones((FIRST, FIRST), np.int64)
         keys = known["key"].to_numpy(np.int64)
         order = np.argsort(keys)
         self.keys = np.append(keys[order], np.iinfo(np.int64).max)
@@ -296,6 +300,53 @@ def before(units: np.ndarray, place: np.ndarray, back: int) -> np.ndarray:
     return np.where(place >= back, shifted, START)
 
 
+def units_of(bounds: np.ndarray, hashes: np.ndarray, endings: np.ndarray, know: Units):
+    """Of the tokens of some texts: hash, unit, class, place of the count and whether there is
+    one; and the bounds of the texts."""
+    classes, ends = with_ends(know.bin_class[bins_of(endings)], bounds, END)
+    token, _ = with_ends(hashes.view(np.int64), bounds, END_WORD)
+    at = np.searchsorted(know.keys, token)
+    found = know.keys[at] == token
+    return token, np.where(found, know.unit[at], classes), classes, at, found, ends
+
+
+def pair_counts(train: DataFrame, shared) -> np.ndarray:
+    """How many training tokens follow each pair of the first units, (u2, u1)."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        know, pairs = shared.value, np.zeros(FIRST * FIRST, np.int64)
+        for batch in batches:
+            for _, bounds, hashes, endings in word_batches(batch["t"]):
+                _, units, *_, limits = units_of(bounds, hashes, endings, know)
+                u2, u1 = histories_of(units, limits)[1:]
+                both = (u2 < FIRST) & (u1 < FIRST)
+                pairs += np.bincount(u2[both] * FIRST + u1[both], minlength=FIRST * FIRST)
+        yield as_blocks(pairs)
+
+    return gather(train.select("t").mapInPandas(count, "b int, c binary"), (FIRST, FIRST))
+
+
+def histories_of(units: np.ndarray, limits: np.ndarray) -> list[np.ndarray]:
+    """The units three, two and one before each token."""
+    place = np.arange(len(units)) - np.repeat(limits[:-1], np.diff(limits))
+    return [before(units, place, back) for back in (3, 2, 1)]
+
+
+def group_of(u3: np.ndarray, u2: np.ndarray, u1: np.ndarray, know: Units) -> np.ndarray:
+    """The group that owns the weights of a history."""
+    second = mix(u2.astype(U)) % know.parts[u1].astype(U)
+    third = np.zeros(len(u1), U)
+    both = np.flatnonzero((u2 < FIRST) & (u1 < FIRST))
+    many = know.pair_parts[u2[both], u1[both]]
+    both, many = both[many > 1], many[many > 1]
+    third[both] = 1 + mix(u3[both].astype(U)) % many.astype(U)
+    # A pair that is spread by the third word stands apart from the others of its word.
+    second[both] = know.parts[u1[both]].astype(U) + u2[both].astype(U)
+    with np.errstate(over="ignore"):
+        return (mix(u1.astype(U) + (second << U(20)) + (third << U(44)))
+                % U(know.groups)).astype(np.int64)
+
+
 def deal(units: np.ndarray, tokens: np.ndarray, limits: np.ndarray, train: np.ndarray, know: Units):
     """Tokens of some texts by group: (group, number, packed columns), and for each text the
     number of the first that equals it.  Equal texts are dealt once, with their number."""
@@ -308,11 +359,9 @@ def deal(units: np.ndarray, tokens: np.ndarray, limits: np.ndarray, train: np.nd
     same = same.reshape(-1)
     times = np.bincount(same, train, len(one)).astype(np.uint32)
     keep = np.repeat(np.isin(np.arange(len(size)), one), size)
-    doc, mark = np.repeat(same, size)[keep], np.repeat(mark, size)[keep]
-    u = [before(units, place, back)[keep] for back in (3, 2, 1)] + [units[keep]]
-    with np.errstate(over="ignore"):
-        part = mix(mark + (place[keep] >> STRETCH).astype(U)) % know.parts[u[2]].astype(U)
-        group = (mix(u[2].astype(U) + (part << U(32))) % U(know.groups)).astype(np.int64)
+    doc = np.repeat(same, size)[keep]
+    u = [x[keep] for x in (*histories_of(units, limits), units)]
+    group = group_of(*u[:3], know)
     order = np.argsort((group << 20) | u[2], kind="stable")
     starts = np.flatnonzero(np.diff(group[order], prepend=-1))
     columns = [x[order].astype(np.uint32) for x in (doc, *u, times[doc])]
@@ -343,8 +392,12 @@ def score(docs: DataFrame, save: Save, id_col: str = "doc_id", text_col: str = "
     total, distinct = int(n.sum()), int(v.sum())
     volume = rows.agg(F.sum(F.octet_length("t") + 1)).first()[0] or 0
     groups = 1 + volume // (4 * GROUP)
-    shared = docs.sparkSession.sparkContext.broadcast(
-        Units(commonest(words, head), n, v, bin_class, weights, groups))
+    units = Units(commonest(words, head), n, v, bin_class, weights, groups)
+    context = docs.sparkSession.sparkContext
+    if units.parts.max() > 1:
+        pairs = pair_counts(train, context.broadcast(units))
+        units.pair_parts = 1 + 4 * pairs.astype(np.int64) // GROUP
+    shared = context.broadcast(units)
 
     def first_part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         know, task = shared.value, TaskContext.get().partitionId() << 32
@@ -364,10 +417,7 @@ def score(docs: DataFrame, save: Save, id_col: str = "doc_id", text_col: str = "
         """The documents' own row (a negative group) and their tokens by group."""
         docs, tokens, units, limits = [], [], [], [np.zeros(1, np.int64)]
         for i, out, bounds, hashes, endings in held:
-            classes, ends = with_ends(know.bin_class[bins_of(endings)], bounds, END)
-            token, _ = with_ends(hashes.view(np.int64), bounds, END_WORD)
-            at = np.searchsorted(know.keys, token)
-            found = know.keys[at] == token
+            token, unit, classes, at, found, ends = units_of(bounds, hashes, endings, know)
             per = lambda x: np.add.reduceat(x, ends[:-1])  # noqa: E731  no text is empty
             code = histories(classes, ends)
             rare = [np.unique(token[a:b][~found[a:b]], return_counts=True)
@@ -380,7 +430,7 @@ def score(docs: DataFrame, save: Save, id_col: str = "doc_id", text_col: str = "
                 "word_part": per(np.where(found, know.value[at], 0.0)),
                 "rare": [w for w, _ in rare], "times": [k for _, k in rare]}))
             tokens.append(token)
-            units.append(np.where(found, know.unit[at], classes))
+            units.append(unit)
             limits.append(ends[1:] + limits[-1][-1])
         docs = pd.concat(docs, ignore_index=True)
         dealt, docs["same"] = deal(np.concatenate(units), np.concatenate(tokens),

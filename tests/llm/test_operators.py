@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -569,6 +570,52 @@ def test_maxent_probabilities_of_all_units_sum_to_one():
     assert (gain > 1).any()
 
 
+def test_maxent_deals_equal_histories_to_one_group():
+    """However many tokens share a word or a pair, those that share all three words before meet,
+    whatever text they stand in; the tokens of the word are spread all the same."""
+    local = np.random.default_rng(2)
+    words = 40
+    known = pd.DataFrame({"key": np.arange(words) + 1, "class": np.full(words, 2),
+                          "n": np.where(np.arange(words) == 0, 8 * maxent.GROUP, 1000)})
+    n, v = np.zeros((2, maxent.CLASSES))
+    n[2], v[2] = known["n"].sum(), words
+    know = maxent.Units(known, n, v, np.full(maxent.BINS, 2),
+                        np.zeros((maxent.BUCKETS, maxent.CLASSES)), 64)
+    know.pair_parts = np.ones((maxent.FIRST, maxent.FIRST), int)
+    know.pair_parts[maxent.CLASSES + 1, maxent.CLASSES] = 5
+    units = maxent.CLASSES + np.where(local.random(20_000) < 0.4, 0, local.integers(0, words, 20_000))
+    limits = np.arange(0, 20_001, 50)
+    found, same = maxent.deal(units, units, limits, np.ones(400, bool), know)
+    owners, tokens = {}, 0
+    for group, size, blob in found:
+        _, *u, _ = maxent.unpacked(blob, size, [np.uint32] * 6)
+        tokens += size
+        for history in set(zip(*map(np.ndarray.tolist, u[:3]))):
+            owners.setdefault(history, set()).add(group)
+    assert tokens == len(units) and len(set(same)) == 400
+    assert all(len(groups) == 1 for groups in owners.values())
+    of = lambda *end: {g for h, gs in owners.items() if h[-len(end):] == end for g in gs}
+    assert len(of(maxent.CLASSES)) > 15  # the common word
+    assert 1 < len(of(maxent.CLASSES + 1, maxent.CLASSES)) <= 5  # the common pair
+    assert len(of(maxent.CLASSES + 2, maxent.CLASSES)) == 1
+    assert len(of(maxent.CLASSES + 3)) == 1
+
+
+def test_maxent_counts_pairs_of_all_training_texts(spark, save, monkeypatch):
+    """With groups this small every word is common; the model is still that of all texts."""
+    monkeypatch.setattr(maxent, "GROUP", 64)
+    seen = []
+    plain = maxent.pair_counts
+    monkeypatch.setattr(maxent, "pair_counts", lambda *a: seen.append(plain(*a)) or seen[-1])
+    rows = [(i, "a b a b c") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    train = sum(zlib.crc32(str(i).encode()) % 5 != 1 for i, _ in rows)
+    got = maxent.score(df, save).select(F.round("score", 6)).distinct().collect()
+    assert len(got) == 1  # one text, one score, whatever block it was in
+    assert seen[0].sum() == 6 * train  # five words and the end
+    assert sorted(x for x in seen[0].reshape(-1).tolist() if x) == [train] * 4 + [2 * train]
+
+
 def test_importance(spark, save):
     rows, labels = [], []
     for i in range(400):
