@@ -395,8 +395,9 @@ def score(docs: DataFrame, save: Save, id_col: str = "doc_id", text_col: str = "
     units = Units(commonest(words, head), n, v, bin_class, weights, groups)
     context = docs.sparkSession.sparkContext
     if units.parts.max() > 1:
-        pairs = pair_counts(train, context.broadcast(units))
-        units.pair_parts = 1 + 4 * pairs.astype(np.int64) // GROUP
+        first = context.broadcast(units)
+        units.pair_parts = 1 + 4 * pair_counts(train, first).astype(np.int64) // GROUP
+        first.unpersist()
     shared = context.broadcast(units)
 
     def first_part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -7,6 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from parcelwise import session
 from parcelwise.operators import facts, grain, heavy
 from parcelwise.plans import aggregates as agg, analysis as an
 from parcelwise.sources import sinks
@@ -79,6 +80,31 @@ def test_item_collapse_joins_without_further_shuffle(spark, shop):
     assert len(re.findall(r"partial_sum\(item_price", text)) >= 1
 
 
+def test_item_collapse_sends_rows_per_seller_as_they_are(spark, shop):
+    """States of the aggregate by order are wider than the rows that they are made of."""
+    with settings(spark, **NO_BROADCAST):
+        text = plan(grain.items_per_order(shop["stg_order_items"]))
+    moved = text.split("REPARTITION_BY_COL")
+    assert len(moved) > 1 and "partial_min_by" not in moved[1].split("+- HashAggregate")[1]
+
+
+def test_tasks_stay_small_as_the_tables_grow(spark, tmp_path, monkeypatch):
+    """A bigger table means more tasks, for scans and shuffles, not bigger ones."""
+    folder = tmp_path / "many"
+    spark.range(40_000).repartition(4).write.parquet(str(folder))
+    monkeypatch.setattr(session, "TASK_BYTES", 8 << 10)
+    first = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    keys = ("spark.sql.files.maxPartitionBytes", first,
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    with settings(spark, **{k.replace(".", "__"): "1" for k in keys}):
+        session.sized(spark, [str(folder)])
+        stored = sum(f.stat().st_size for f in folder.glob("*.parquet"))
+        assert int(spark.conf.get(first)) >= stored * session.SHUFFLED // (8 << 10) > 8
+        assert spark.read.parquet(str(folder)).rdd.getNumPartitions() >= stored // (8 << 10)
+        session.sized(spark, [])
+        assert spark.conf.get(first) == spark.conf.get("spark.sql.shuffle.partitions")
+
+
 def test_order_facts_share_the_order_partitioning(spark, shop):
     with settings(spark, **NO_BROADCAST):
         text = plan(facts.fct_orders(
