@@ -49,28 +49,35 @@ WORD_EASE = 100
 WORD_TOLERANCES = (2.5, 3.0)  # words, pairs
 
 
-def word_features(text: str | None) -> list[np.ndarray]:
-    """Distinct buckets of the words and of the pairs of neighbouring words."""
-    words = word_hashes(text)
+def distinct(buckets: np.ndarray) -> np.ndarray:
+    """Sorted, each once; a sort of 32-bit numbers is quicker than a hash table."""
+    buckets = np.sort(buckets.astype(np.int32))
+    first = np.ones(len(buckets), bool)
+    np.not_equal(buckets[1:], buckets[:-1], out=first[1:])
+    return buckets[first]
+
+
+def word_features(text: str | None, words: np.ndarray | None = None) -> list[np.ndarray]:
+    """Distinct buckets of the words and of the pairs of neighbouring words; `words` are the
+    text's hashes if they are known."""
+    words = word_hashes(text) if words is None else words
     pairs = mix(words[1:] * U(0xD6E8FEB86659FD93) + words[:-1])
-    return [np.unique((mix(x) >> U(64 - WORD_BITS)).astype(np.int64)) for x in (words, pairs)]
+    return [distinct(mix(x) >> U(64 - WORD_BITS)) for x in (words, pairs)]
 
 
-def features(text: str | None) -> Iterator[np.ndarray]:
+def features(text: str | None, words: np.ndarray | None = None) -> Iterator[np.ndarray]:
     """Bucket numbers, in parts of bounded size."""
     raw = (text or "").encode("utf-8", "surrogatepass")
     if not raw.strip():
         return
     raw = b" " + raw + b" "
     for at in range(0, len(raw), PART):
-        data = LOWER[np.frombuffer(raw[at:at + PART + GRAM - 1], np.uint8)].astype(U)
+        data = LOWER[np.frombuffer(raw[at:at + PART + GRAM - 1], np.uint8)]
         n = len(data) - GRAM + 1
         if n > 0:
-            code = data[:n].copy()
-            for i in range(1, GRAM):
-                code = code << U(8) | data[i:i + n]
+            code = np.ndarray((n,), ">u4", data, strides=(1,)).astype(U)  # each GRAM bytes
             yield (mix(code) >> U(64 - BITS)).astype(np.int64)
-    words = word_hashes(text)
+    words = word_hashes(text) if words is None else words
     same = words[1:] == words[:-1]
     if same.any():
         index = np.arange(len(same))
@@ -85,25 +92,26 @@ class Model:
     words: tuple[np.ndarray, ...] = ()  # float32, what a word or a pair adds to its evidence
     limits: tuple[float, ...] = ()  # of grams, words, pairs
 
-    def grams(self, text: str | None) -> tuple[int, float, float]:
+    def grams(self, text: str | None, words: np.ndarray | None = None) -> tuple[int, float, float]:
         """Number of features, log weight, evidence."""
-        n, total, seen = 0, 0.0, []
-        for part in features(text):
+        n, total, low = 0, 0.0, []
+        for part in features(text, words):
             n += len(part)
-            total += float(self.ratios[part].sum(dtype=np.float64))
-            seen.append(np.unique(part))
+            ratios = self.ratios[part]
+            total += float(ratios.sum(dtype=np.float64))
+            low.append(part[ratios < -TOLERANCE])
         if not n:
             return 0, 0.0, 0.0
-        buckets = seen[0] if len(seen) == 1 else np.unique(np.concatenate(seen))
-        excess = -self.ratios[buckets].astype(np.float64) - TOLERANCE
-        return n, REFERENCE * total / n, float(excess[excess > 0].sum() / (1 + n / EASE))
+        excess = -self.ratios[distinct(np.concatenate(low))].astype(np.float64) - TOLERANCE
+        return n, REFERENCE * total / n, float(excess.sum() / (1 + n / EASE))
 
     def score(self, text: str | None) -> tuple[int, float, float]:
         """Number of features, log weight, largest share of a limit."""
-        n, weight, evidence = self.grams(text)
+        words = word_hashes(text)
+        n, weight, evidence = self.grams(text, words)
         found = [evidence]
         if n and any(limit < float("inf") for limit in self.limits[1:]):
-            found += [eased(table[b]) for table, b in zip(self.words, word_features(text))]
+            found += [eased(table[b]) for table, b in zip(self.words, word_features(text, words))]
         return n, weight, max((of_limit(e, limit) for e, limit in zip(found, self.limits)),
                               default=0.0)
 
@@ -158,13 +166,14 @@ def fit(docs: DataFrame, labels: DataFrame, max_labels: int = 200_000, id_col: s
             at, known = find(ids, batch["i"])
             trusted = known & (good[at] if len(good) else False)
             for text, labelled, yes in zip(batch["t"], known, trusted):
-                for part in features(text):
+                words = word_hashes(text)
+                for part in features(text, words):
                     np.add.at(counts[0], part, 1)
                     if yes:
                         np.add.at(counts[1], part, 1)
                 if labelled:
                     n[int(yes)] += 1
-                    for k, part in enumerate(word_features(text)):
+                    for k, part in enumerate(word_features(text, words)):
                         held[2 * k + int(yes)][part] += 1
         rows = [(k, b, c[b:b + BLOCK].tobytes()) for k, c in enumerate([*counts, *held, n])
                 for b in range(0, len(c), BLOCK) if c[b:b + BLOCK].any()]
@@ -199,11 +208,12 @@ def fit(docs: DataFrame, labels: DataFrame, max_labels: int = 200_000, id_col: s
             rows = []
             for i in np.flatnonzero(known):
                 text, yes = batch["t"].iat[i], bool(good[at[i]])
+                hashes = word_hashes(text)
                 found = [eased(word_excess(held[2 * k][w] - (not yes), held[2 * k + 1][w] - yes,
                                            n_bad - (not yes), n_good - yes, tolerance))
-                         for k, (w, tolerance) in enumerate(zip(word_features(text),
+                         for k, (w, tolerance) in enumerate(zip(word_features(text, hashes),
                                                                 WORD_TOLERANCES))]
-                rows.append((model.grams(text)[2], *found, yes))
+                rows.append((model.grams(text, hashes)[2], *found, yes))
             yield pd.DataFrame(rows, columns=["grams", "words", "pairs", "g"])
 
     judged = pairs.mapInPandas(judge, "grams double, words double, pairs double, g boolean") \

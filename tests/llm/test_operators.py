@@ -641,6 +641,34 @@ def test_importance(spark, save):
     assert importance.accepted(df.limit(0), lab).count() == 0
 
 
+def test_importance_hashes_the_words_of_a_text_once(monkeypatch):
+    rng = np.random.default_rng(5)
+    model = importance.Model(
+        rng.normal(0, 2, 1 << importance.BITS).astype(np.float32),
+        tuple(rng.random(1 << importance.WORD_BITS).astype(np.float32) for _ in range(2)),
+        (9.0, 2.0, 3.0))
+    calls, hashed = [], importance.word_hashes
+    monkeypatch.setattr(importance, "word_hashes", lambda t: calls.append(t) or hashed(t))
+    for text in (prose(300), "A a a a b", "one", "", None, " \n", "\ud800 x x"):
+        calls.clear()
+        n, weight, share = model.score(text)
+        assert len(calls) == 1
+        parts = [*importance.features(text)]
+        buckets = np.concatenate([np.zeros(0, np.int64), *parts])
+        assert n == len(buckets)
+        if n:
+            assert weight == pytest.approx(512 * model.ratios[buckets].astype(float).mean())
+            low = sum(max(0.0, -float(model.ratios[b]) - 2) for b in set(buckets.tolist()))
+            shares = [low / (1 + n / 10_000) / 9]
+            for table, found, limit in zip(model.words, importance.word_features(text), (2, 3)):
+                found = set(found.tolist())
+                total = sum(float(table[b]) for b in found)
+                shares.append(total / (1 + len(found) / 100) ** 0.5 / limit)
+            assert share == pytest.approx(max(shares))
+        else:
+            assert (weight, share) == (0.0, 0.0)
+
+
 def test_importance_sees_words_of_common_syllables(spark):
     dice = random.Random(11)
     syllables = ["an", "er", "ti", "on", "es", "re", "la", "mo"]
