@@ -27,12 +27,13 @@ p(word | history) = p(class | history) * p(unit | class, history) * p(word | uni
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .word_weights import gains
 from .words import U, mix, word_batches
@@ -47,6 +48,7 @@ UPDATES = 12
 BLOCK = 4096
 AT_ONCE = 1 << 20  # words that a task counts before it hands them on
 GROUP = 1 << 19  # tokens that learn together
+BATCH = 4 << 20  # bytes of rows that a task is handed at once
 FIRST = 1 << 10  # units whose pairs are counted: classes and the commonest words
 Save = Callable[[DataFrame, str], DataFrame]
 
@@ -270,7 +272,7 @@ class Units:
         # Hash values of the word before a unit that its features hold, by its tokens.
         others = np.maximum(n - np.bincount(classes, count, CLASSES), 0).astype(np.int64)
         self.parts = 1 + 4 * np.concatenate([others, count]) // GROUP
-        self.pair_parts = np.ones((FIRST, FIRST), np.int64)
+        self.pair_parts = np.ones((FIRST, FIRST), np.int32)
         keys = known["key"].to_numpy(np.int64)
         order = np.argsort(keys)
         self.keys = np.append(keys[order], np.iinfo(np.int64).max)
@@ -370,6 +372,19 @@ def deal(units: np.ndarray, tokens: np.ndarray, limits: np.ndarray, train: np.nd
     return found, same
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Rows reach Python in batches of BATCH bytes.  With Spark's usual number of rows, a batch
+    of long texts is held several times over, by the JVM as well as by the worker."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    usual = spark.conf.get(key)
+    spark.conf.set(key, str(BATCH))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, usual)
+
+
 def score(docs: DataFrame, save: Save, id_col: str = "doc_id", text_col: str = "text",
           head: int = 1 << 18) -> DataFrame:
     """Train on the documents that are not held out and score all of them.
@@ -378,6 +393,11 @@ def score(docs: DataFrame, save: Save, id_col: str = "doc_id", text_col: str = "
     each time and give equal rows; without training documents every count is 0; an empty
     table gives no rows.  Other columns are ignored.
     """
+    with small_batches(docs.sparkSession):
+        return _score(docs, save, id_col, text_col, head)
+
+
+def _score(docs: DataFrame, save: Save, id_col: str, text_col: str, head: int) -> DataFrame:
     rows = docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t"),
                        held_out(id_col).alias("out"))
     train = rows.where("not out")
@@ -396,7 +416,8 @@ def score(docs: DataFrame, save: Save, id_col: str = "doc_id", text_col: str = "
     context = docs.sparkSession.sparkContext
     if units.parts.max() > 1:
         first = context.broadcast(units)
-        units.pair_parts = 1 + 4 * pair_counts(train, first).astype(np.int64) // GROUP
+        units.pair_parts = (1 + 4 * pair_counts(train, first).astype(np.int64) // GROUP) \
+            .astype(np.int32)
         first.unpersist()
     shared = context.broadcast(units)
 
@@ -417,7 +438,8 @@ def score(docs: DataFrame, save: Save, id_col: str = "doc_id", text_col: str = "
     def block(held: list, know: Units, number: int) -> pd.DataFrame:
         """The documents' own row (a negative group) and their tokens by group."""
         docs, tokens, units, limits = [], [], [], [np.zeros(1, np.int64)]
-        for i, out, bounds, hashes, endings in held:
+        while held:  # what is done with is let go
+            i, out, bounds, hashes, endings = held.pop(0)
             token, unit, classes, at, found, ends = units_of(bounds, hashes, endings, know)
             per = lambda x: np.add.reduceat(x, ends[:-1])  # noqa: E731  no text is empty
             code = histories(classes, ends)
@@ -431,7 +453,7 @@ def score(docs: DataFrame, save: Save, id_col: str = "doc_id", text_col: str = "
                 "word_part": per(np.where(found, know.value[at], 0.0)),
                 "rare": [w for w, _ in rare], "times": [k for _, k in rare]}))
             tokens.append(token)
-            units.append(unit)
+            units.append(unit.astype(np.int32))
             limits.append(ends[1:] + limits[-1][-1])
         docs = pd.concat(docs, ignore_index=True)
         dealt, docs["same"] = deal(np.concatenate(units), np.concatenate(tokens),
@@ -451,7 +473,9 @@ def score(docs: DataFrame, save: Save, id_col: str = "doc_id", text_col: str = "
             return group[["g", "block", "n", "blob"]]
         know, group = shared.value, group.sort_values("block")
         parts = [unpacked(b, n, [np.uint32] * 6) for b, n in zip(group["blob"], group["n"])]
-        doc, *u, times = [np.concatenate(c).astype(np.int64) for c in zip(*parts)]
+        doc, *u = [np.concatenate(c) for c in zip(*parts)]
+        del parts
+        *u, times = [x.astype(np.int64) for x in u]
         gain = gains(*u, times, know.class_of, know.share, know.table) / np.log(10)
         out, at = [], 0
         for number, n in zip(group["block"], group["n"]):

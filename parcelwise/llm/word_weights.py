@@ -27,7 +27,7 @@ CLASS_UPDATES, UNIT_UPDATES = 2, 2
 SHARED = 4  # training tokens that a feature of the class softmax must have
 DAMPING, PULL = 4.0, 0.5  # keeps rows that few tokens share near zero
 UNIT_BITS, CLASS_BITS = 20, 5
-AT_A_TIME = 1 << 16
+AT_A_TIME = 1 << 15
 
 
 def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -86,7 +86,8 @@ def hashed_rows(key: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, int]:
     bits = len(key).bit_length() + 1
     bucket = (mix(key.astype(U)) >> U(64 - bits)).astype(np.int64)
     shared = np.bincount(bucket, times, 1 << bits) >= SHARED
-    return np.where(shared, np.cumsum(shared), 0)[bucket], int(shared.sum()) + 1
+    number = np.where(shared, np.cumsum(shared, dtype=np.int32), np.int32(0))
+    return number[bucket], int(shared.sum()) + 1
 
 
 def class_rows(u3, u2, u1, u0, times, class_of, table, updates: int = CLASS_UPDATES) -> np.ndarray:
@@ -95,7 +96,7 @@ def class_rows(u3, u2, u1, u0, times, class_of, table, updates: int = CLASS_UPDA
     found = [hashed_rows((a << 2 * UNIT_BITS) | (b << UNIT_BITS) | u1, times)
              for a, b in ((none, none), (none, u2), (u3, none))]
     code = (class_of[u3] * classes + class_of[u2]) * classes + class_of[u1]
-    _, pair = distinct(found[1][0] * found[2][1] + found[2][0])
+    _, pair = distinct(found[1][0].astype(np.int64) * found[2][1] + found[2][0])
     # Tokens whose histories have the same rows and classes are one past.
     _, first, past = np.unique((pair * found[0][1] + found[0][0]) * len(table) + code,
                                return_index=True, return_inverse=True)
@@ -104,9 +105,11 @@ def class_rows(u3, u2, u1, u0, times, class_of, table, updates: int = CLASS_UPDA
     # One line a class: sums over tokens run along the lines.
     base = np.ascontiguousarray(table.T)
     weights = [np.zeros((classes, n), np.float32) for _, n in found]
-    held = np.bincount(class_of[u0] * many + past, times, classes * many) \
-        .astype(np.float32).reshape(classes, many)
-    n = held.sum(0)
+    # Training counts by class and past: most classes of a past have none.
+    some = times > 0
+    spot, of_spot = distinct(class_of[u0[some]] * many + past[some])
+    held = np.bincount(of_spot, times[some], len(spot)).astype(np.float32)
+    n = np.bincount(past, times, many).astype(np.float32)
     blocks = [slice(a, min(a + AT_A_TIME, many)) for a in range(0, many, AT_A_TIME)]
 
     def model(part: slice) -> np.ndarray:
@@ -117,24 +120,27 @@ def class_rows(u3, u2, u1, u0, times, class_of, table, updates: int = CLASS_UPDA
         x -= np.log(np.exp(x).sum(0))
         return x
 
-    def sums(values: np.ndarray, order: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        return np.stack([np.add.reduceat(line[order], starts) for line in values])
-
     members = []
     for row, w in zip(rows, weights):
         order = np.flatnonzero((n > 0) & (row > 0))
         if len(order):
             order = order[np.argsort(row[order], kind="stable")]
             starts = np.flatnonzero(np.diff(row[order], prepend=-1))
-            members.append((w, row[order][starts], order, starts, sums(held, order, starts)))
-    missing = np.empty_like(held)
+            at, of_past = row[order][starts], row[spot % many]
+            own = of_past > 0
+            cell = spot[own] // many * len(at) + np.searchsorted(at, of_past[own])
+            seen = np.bincount(cell, held[own], classes * len(at)).astype(np.float32)
+            members.append((w, at, order, starts, seen.reshape(classes, -1)))
+    missing = np.empty((classes, many), np.float32)
     for _ in range(updates):
         for part in blocks:
-            missing[:, part] = held[:, part] - n[part] * np.exp(model(part))
+            missing[:, part] = -n[part] * np.exp(model(part))
+        missing.reshape(-1)[spot] += held
         for w, at, order, starts, seen in members:
-            slope = sums(missing, order, starts)
-            curve = len(rows) * np.maximum(seen, seen - slope) + DAMPING
-            w[:, at] += (slope - PULL * w[:, at]) / curve
+            for line, had, weight in zip(missing, seen, w):  # one class at a time
+                slope = np.add.reduceat(line[order], starts)
+                curve = len(rows) * np.maximum(had, had - slope) + DAMPING
+                weight[at] += (slope - PULL * weight[at]) / curve
     logs = missing
     for part in blocks:
         logs[:, part] = model(part) - base.take(code[part], 1)

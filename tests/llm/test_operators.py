@@ -5,6 +5,7 @@ import math
 import random
 import re
 import time
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -16,7 +17,7 @@ public_tokenizers = pytest.importorskip("public_tokenizers")
 from pyspark.sql import functions as F  # noqa: E402
 
 from parcelwise.llm import (bpe, fingerprints, groups, html_text, importance, maxent,  # noqa: E402
-                            minhash, packing, passages, pseudonyms, queries, vectors)
+                            minhash, packing, passages, pseudonyms, queries, vectors, word_weights)
 from parcelwise.llm.words import mix
 from parcelwise.sources.scratch import Scratch  # noqa: E402
 
@@ -616,6 +617,45 @@ def test_maxent_counts_pairs_of_all_training_texts(spark, save, monkeypatch):
     assert sorted(x for x in seen[0].reshape(-1).tolist() if x) == [train] * 4 + [2 * train]
 
 
+def test_class_rows_take_little_memory():
+    """Every token has a past of its own: one line of weights a past is held, not several."""
+    n, words = 1 << 17, 5000
+    rng = np.random.default_rng(3)
+    u3, u2, u1, u0 = (rng.integers(maxent.CLASSES, words, n) for _ in range(4))
+    class_of = np.concatenate([np.arange(maxent.CLASSES),
+                               rng.integers(2, maxent.CLASSES, words - maxent.CLASSES)])
+    table = np.full((maxent.HISTORIES, maxent.CLASSES), -np.log(maxent.CLASSES), np.float32)
+    tracemalloc.start()
+    try:
+        gain = word_weights.class_rows(u3, u2, u1, u0, np.ones(n, np.int64), class_of, table)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(gain) == n and np.isfinite(gain).all()
+    assert peak < 400 * n
+
+
+def test_maxent_hands_texts_over_in_small_batches(spark, save):
+    def sizes(batches):
+        for batch in batches:
+            yield pd.DataFrame({"n": [len(batch)], "size": [batch["text"].str.len().sum()]})
+
+    key, seen = "spark.sql.execution.arrow.maxBytesPerBatch", []
+    usual = spark.conf.get(key)
+    wide = spark.range(0, 3000, 1, 1).selectExpr("id as doc_id", "repeat('some text ', 500) as text")
+    with maxent.small_batches(spark):
+        got = wide.mapInPandas(sizes, "n long, size long").collect()
+    assert sum(r["n"] for r in got) == 3000
+    assert max(r["size"] for r in got) <= maxent.BATCH + 5000
+
+    def store(df, name):
+        seen.append(int(spark.conf.get(key)))
+        return save(df, name)
+
+    assert maxent.score(wide.limit(20), store).count() == 20
+    assert seen and set(seen) == {maxent.BATCH} and spark.conf.get(key) == usual
+
+
 def test_importance(spark, save):
     rows, labels = [], []
     for i in range(400):
