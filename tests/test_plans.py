@@ -175,6 +175,22 @@ def test_hot_month_is_written_by_more_than_one_task(spark, shop, tmp_path):
     assert spark.read.parquet(str(tmp_path / "m")).count() == 60_000
 
 
+def test_months_are_shuffled_without_columns_that_others_determine(spark, shop):
+    """Rows and types stay; what the shuffles carry is narrower."""
+    for name, layout, again in (("fct_orders", sinks.ORDER_LAYOUT, facts.order_measures()),
+                                ("fct_order_items", sinks.ITEM_LAYOUT, facts.item_measures())):
+        whole = shop.build(name)
+        spread = sinks.by_month(whole, layout, again=again)
+        assert spread.drop("purchase_month").dtypes == whole.dtypes
+        node = spread._jdf.queryExecution().optimizedPlan()
+        while node.nodeName() != "RebalancePartitions":
+            node = node.children().apply(0)
+        carried = {node.output().apply(i).name() for i in range(node.output().size())}
+        assert not carried & {c for step in again for c in step}
+        back = spread.drop("purchase_month")
+        assert whole.exceptAll(back).count() == back.exceptAll(whole).count() == 0
+
+
 def test_source_rules():
     """No row-at-a-time Python, no local checkpoints, no collecting beyond verdicts.
 
