@@ -191,6 +191,18 @@ def test_months_are_shuffled_without_columns_that_others_determine(spark, shop):
         assert whole.exceptAll(back).count() == back.exceptAll(whole).count() == 0
 
 
+def test_categories_bought_are_made_once(spark, shop):
+    """Buyers and deliveries of a category read the same stored pairs."""
+    with settings(spark, **NO_BROADCAST):
+        text = plan(agg.product_performance(shop["fct_order_items"], shop["dim_product"],
+                                            shop["fct_orders"], shop.params))
+    assert not re.search(r"Exchange hashpartitioning\(order_id#", text)
+
+
+def test_state_of_payments_holds_a_type_once(shop):
+    assert "min_by" not in plan(grain.payments_per_order(shop["stg_order_payments"]))
+
+
 def test_source_rules():
     """No row-at-a-time Python, no local checkpoints, no collecting beyond verdicts.
 
