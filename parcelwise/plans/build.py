@@ -21,6 +21,7 @@ from ..quality.rules import WARN, Rule
 from ..quality.suites import FILE_RULES
 from ..sources import files, layout, sinks
 from ..sources.scratch import Scratch, cleared
+from ..sources.storage import PACKED
 from .warehouse import Warehouse
 
 
@@ -162,7 +163,8 @@ def _write_files(spark: SparkSession, rows: DataFrame, contents: DataFrame, batc
     digests = contents.where("stored is not null").select(
         F.col("uri").alias("_source_uri"), files.digest_of().alias("_digest"), "stored")
     files.stamp(rows.join(digests.drop("stored"), "_source_uri"), batch, now, F.col("_digest")) \
-        .withColumn(KEY, F.sha2("_source_uri", 256)).write.partitionBy(KEY).parquet(target)
+        .withColumn(KEY, F.sha2("_source_uri", 256)) \
+        .write.options(**PACKED).partitionBy(KEY).parquet(target)
     return [r["stored"] for r in digests.select("stored").collect()]
 
 

@@ -15,6 +15,7 @@ from ..functions.frames import union_all
 from .layout import MULTILINE, columns_of, schema_of
 from .records import records
 from .scratch import Scratch
+from .storage import PACKED
 
 BAD_RECORD = "_bad_record"
 EXPONENT = r"^[+-]?(?=\.?[0-9])[0-9]*(\.[0-9]*)?[eE][+-]?[0-9]{1,3}$"
@@ -127,7 +128,7 @@ def stage(spark: SparkSession, paths: Mapping[str, str | list[str]],
         if not header_matches(spark, first, table, encoding):
             continue
         try:
-            out[table] = scratch.save(parse_table(spark, path, table, encoding), table)
+            out[table] = scratch.save(parse_table(spark, path, table, encoding), table, **PACKED)
         except (Py4JJavaError, PySparkException) as failed:  # a later file of the folder
             if "CSV header" not in str(failed):
                 raise
