@@ -46,4 +46,4 @@ def star_warehouse(spark: SparkSession, folder: str):
     sized(spark, [f"{folder}/{t}.parquet" for t in star.SOURCE_TABLES])
     raw = {name: (lambda b=build: b(tables)) for name, build in star.RAW_BUILDERS.items()}
     return Warehouse(spark, raw, star.STAR_PARAMS, Scratch(spark),
-                     stored=frozenset({"raw.orders", "raw.customers"}))
+                     stored=frozenset({"raw.orders", "raw.customers", "stg_geolocation"}))

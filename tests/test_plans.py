@@ -163,6 +163,63 @@ def test_hot_keys_reach_the_shuffle_reduced(spark, shop):
     assert "partial_count" in plan(one)
 
 
+def test_lines_of_an_order_move_once_and_as_they_are(spark, shop):
+    """One shuffle for each item branch and one for payments, of rows and not of states."""
+    with settings(spark, **NO_BROADCAST):
+        lines = plan(grain.order_items(shop["stg_order_items"]))
+        pays = plan(grain.order_payments(shop["stg_order_payments"]))
+    assert lines.count("Exchange hashpartitioning") == 2
+    assert pays.count("Exchange hashpartitioning") == 1
+    for text in (lines, pays):
+        assert all("partial" not in x for x in text.split("Exchange hashpartitioning")[-1:])
+        assert text.count("REPARTITION_BY_COL") == text.count("Exchange hashpartitioning")
+    assert "item_gross_value" not in lines.split("Exchange hashpartitioning")[-1]
+
+
+def test_hot_orders_are_reduced_before_they_move(spark):
+    """Half of the rows are of one order and a sixth of none; rollups stay what they were."""
+    key = F.when(F.col("id") % 2 == 0, 7).when(F.col("id") % 6 == 1, None).otherwise(F.col("id"))
+    lines = spark.range(0, 6_000, 1, 8).select(
+        key.alias("order_id"), (F.col("id") % 11).alias("product_key"),
+        F.when(F.col("id") % 5 > 0, F.col("id") % 50).alias("seller_key"),
+        F.lit(None).cast("timestamp_ntz").alias("shipping_limit_at"),
+        F.when(F.col("id") % 9 > 0, F.col("id")).cast("decimal(18,9)").alias("item_price"),
+        F.lit(1).cast("decimal(18,9)").alias("freight_value"))
+    lines = lines.withColumn("item_gross_value", F.col("item_price") + F.col("freight_value"))
+    pays = lines.select("order_id", F.concat(F.lit("t"), F.col("seller_key") % 3).alias(
+        "payment_type"), F.col("item_price").alias("payment_value"),
+        F.col("product_key").alias("payment_installments"))
+    with settings(spark, **NO_BROADCAST, spark__sql__shuffle__partitions="16"):
+        for got, want in ((grain.order_items(lines), grain.items_per_order(lines)),
+                          (grain.order_payments(pays), grain.payments_per_order(pays))):
+            assert got.dtypes == want.dtypes and "Union" in plan(got)
+            assert got.count() == want.count() == 2_002
+            assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+        light = lines.where("order_id <> 7")
+        assert "Union" not in plan(grain.order_items(light))
+        nobody = spark.range(64).select(F.lit(None).cast("long").alias("k"), "id").union(
+            spark.range(64).select("id", "id"))
+        found = heavy.reduced(nobody, "k", lambda d: d.select("k"),
+                              lambda d: d.select("k").distinct())
+        assert found.where("k is null").count() == 1 and found.count() == 65
+
+
+def test_distinct_counts_of_months_carry_keys_alone(shop):
+    """No sum travels once for each product or customer of a month."""
+    text = plan(agg.monthly_sales(shop["fct_order_items"], shop["fct_orders"],
+                                  shop["agg_delivery_monthly"], shop["dim_date"]))
+    for key in ("product_key", "seller_key", "customer_key"):
+        per_key = [x for x in text.splitlines()
+                   if re.search(rf"Aggregate\(keys=\[[^\]]*{key}#", x)]
+        assert per_key and not any("sum(" in x or "count(1)" in x for x in per_key)
+
+
+def test_candidates_of_a_key_hold_each_column_once(shop):
+    for df in (shop["int_order_reviews"], grain.persons(shop["stg_customers"],
+                                                        shop["stg_orders"])):
+        assert "min_by" not in plan(df)
+
+
 def test_hot_month_is_written_by_more_than_one_task(spark, shop, tmp_path):
     rows = spark.range(0, 60_000, 1, 8).select(
         F.lit(date(2018, 1, 5)).alias("order_purchase_date"),
