@@ -1,6 +1,7 @@
 """Physical plans: pruning, no single-task stage over raw rows, hot keys."""
 
 import re
+import time
 from contextlib import contextmanager
 from datetime import date
 from pathlib import Path
@@ -9,8 +10,11 @@ from pyspark.sql import functions as F
 
 from parcelwise import session
 from parcelwise.operators import facts, grain, heavy
+from parcelwise.params import Params
 from parcelwise.plans import aggregates as agg, analysis as an
+from parcelwise.plans.warehouse import Warehouse
 from parcelwise.sources import sinks
+from parcelwise.sources.scratch import FREE_KEY, Scratch
 
 PACKAGE = Path(__file__).resolve().parents[1] / "parcelwise"
 
@@ -295,3 +299,49 @@ def test_lines_are_reduced_before_they_meet_the_products(shop):
         "product_key", "product_category"))
     found = list(joins(bought._jdf.queryExecution().optimizedPlan()))
     assert [left for left, _ in found] == [["Aggregate"]]
+
+
+def test_shuffles_of_a_written_table_are_freed(spark, tmp_path):
+    """A table written from a shuffle leaves no shuffle file behind, and the setting of the
+    session stays what it was."""
+    made = Scratch(spark, "freed")
+    spread = spark.range(0, 10_000, 1, 4).repartition(3, "id")
+    tracker = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+
+    def shuffles():
+        blocks = tracker.getAllBlocks()
+        return {x for i in range(blocks.size()) if (x := blocks.apply(i).name()).startswith("shuffle")}
+
+    def left(write):
+        before = shuffles()
+        write()
+        for _ in range(100):  # files go in the background
+            if not shuffles() - before:
+                return 0
+            time.sleep(0.1)
+        return len(shuffles() - before)
+
+    for setting in (None, "false"):
+        with settings(spark, **({FREE_KEY.replace(".", "__"): setting} if setting else {})):
+            assert left(lambda: made.save(spread, "rows")) == 0
+            assert spark.conf.get(FREE_KEY) == (setting or "false")
+    models = Warehouse(spark, {"orders": lambda: spread}, Params(), made,
+                       stored=frozenset({"raw.orders"}))
+    assert left(lambda: models["raw.orders"]) == 0
+    assert models["raw.orders"].count() == 10_000
+    assert left(lambda: spread.write.parquet(str(tmp_path / "plain"))) > 0
+
+
+def test_sellers_meet_the_narrow_roll_up(spark, shop):
+    """Where sellers are shuffled, the wide rows of the order fact are not moved by seller."""
+    with settings(spark, **NO_BROADCAST):
+        whole = shop.build("fct_orders")
+        text = plan(facts.with_places(shop["int_order_items_rollup"], shop["dim_seller"]))
+        wide = facts.fct_orders(
+            shop["int_order_delivery"], shop["stg_customers"], shop["dim_customer"],
+            shop["dim_seller"], shop["int_order_items_rollup"], shop["int_order_payments"],
+            shop["int_order_reviews"])
+        assert text.count("Exchange hashpartitioning(seller_key#") == 2  # roll-up and sellers
+        assert "Exchange hashpartitioning(seller_key#" not in plan(whole)
+        assert whole.dtypes == wide.dtypes
+        assert whole.exceptAll(wide).count() == wide.exceptAll(whole).count() == 0
