@@ -8,7 +8,7 @@ from .sources import storage
 
 TASK_BYTES = 16 << 20  # stored bytes that a task reads, of a file or of a shuffle
 SHUFFLED = 4  # bytes of the widest shuffle for one of the source, at most
-
+SENT_BYTES = 1 << 20  # stored bytes of a table that is sent to every task whole, at most
 
 
 def configured(builder: SparkSession.Builder | None = None) -> SparkSession.Builder:
@@ -34,6 +34,19 @@ def sized(spark: SparkSession, paths: list[str]) -> None:
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": TASK_BYTES,
             "spark.sql.adaptive.coalescePartitions.initialPartitionNum": max(usual, wanted)}.items():
         spark.conf.set(key, str(value))
+    _sent_whole(spark)
+
+
+def _sent_whole(spark: SparkSession) -> None:
+    """Tables are sent to every task by what they take in memory, not by what they store.
+
+    A stored table may take a hundred times its size in memory, and the driver holds it several
+    times.  Shuffled rows are measured as they are in memory, so they keep the usual limit."""
+    stored, moved = (f"spark.sql.{x}autoBroadcastJoinThreshold" for x in ("", "adaptive."))
+    if spark.conf.get(moved, None) is None:
+        spark.conf.set(moved, spark.conf.get(stored))
+    usual = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    spark.conf.set(stored, str(min(usual, SENT_BYTES)))
 
 
 def star_warehouse(spark: SparkSession, folder: str):

@@ -332,6 +332,62 @@ def test_shuffles_of_a_written_table_are_freed(spark, tmp_path):
     assert left(lambda: spread.write.parquet(str(tmp_path / "plain"))) > 0
 
 
+def test_tables_that_store_little_are_not_sent_whole(spark, tmp_path, monkeypatch):
+    """A table of many rows that compress well is shuffled; small ones, and shuffled rows that
+    turn out to be small, are sent to every task as before."""
+    sizes = {}
+    for name, n in (("many", 200_000), ("few", 10)):
+        spark.range(n).select("id", F.lit("the same long text for every row").alias("text")) \
+            .repartition(1).sortWithinPartitions("id").write.option("compression", "zstd") \
+            .parquet(str(tmp_path / name))
+        sizes[name] = sum(f.stat().st_size for f in (tmp_path / name).glob("*.parquet"))
+    rows = spark.range(100_000).withColumn("id", F.col("id") * 3 % 1_000)
+    monkeypatch.setattr(session, "SENT_BYTES", sizes["many"] // 10)
+    stored, moved = (k for k in NO_BROADCAST)
+    held = {k: "1" for k in ("spark__sql__files__maxPartitionBytes",
+                             "spark__sql__adaptive__advisoryPartitionSizeInBytes",
+                             "spark__sql__adaptive__coalescePartitions__initialPartitionNum")}
+
+    def joined(name):
+        return plan(rows.join(spark.read.parquet(str(tmp_path / name)), "id", "left"))
+
+    with settings(spark, **held, **{stored: "10MB", moved: "10MB"}):
+        spark.conf.unset(moved.replace("__", "."))
+        assert sizes["many"] < 10 << 20 and "BroadcastHashJoin" in joined("many")
+        session.sized(spark, [])
+        assert "BroadcastHashJoin" not in joined("many")
+        assert "BroadcastHashJoin" in joined("few")
+        assert spark.conf.get(moved.replace("__", ".")) == "10MB"
+        session.sized(spark, [])  # a second warehouse of the session changes nothing
+        assert spark.conf.get(moved.replace("__", ".")) == "10MB"
+    with settings(spark, **held, **NO_BROADCAST):
+        session.sized(spark, [])
+        assert spark.conf.get(stored.replace("__", ".")) == "-1"
+
+
+def test_lines_meet_products_where_they_are_reduced(spark):
+    """Lines move once, by product; a product with half of the lines is spread, and rows are
+    those of a plain join.  Lines and products without a key, and products that come twice, too."""
+    key = F.when(F.col("id") % 2 == 0, 7).when(F.col("id") % 6 == 1, None).otherwise(
+        F.col("id") % 400)
+    lines = spark.range(0, 6_000, 1, 8).select(
+        key.alias("product_key"), (F.col("id") % 1_500).alias("order_id"),
+        F.when(F.col("id") % 5 > 0, F.col("id") % 50).alias("customer_key"))
+    products = spark.range(300).select(
+        F.col("id").alias("product_key"), F.concat(F.lit("c"), F.col("id") % 9).alias(
+            "product_category")).union(spark.createDataFrame(
+                [(3, "twice"), (7, "twice"), (None, "none")], "k long, c string"))
+    want = lines.distinct().join(products, "product_key", "left")
+    with settings(spark, **NO_BROADCAST, spark__sql__shuffle__partitions="16"):
+        got = agg.with_category(lines, products)
+        assert "_salt" in plan(got)
+        assert got.count() == want.count()
+        assert got.select(want.columns).exceptAll(want).count() == 0
+        even = lines.where("product_key <> 7")
+        text = plan(agg.with_category(even, products))
+        assert "_salt" not in text and text.count("Exchange hashpartitioning") == 2
+
+
 def test_sellers_meet_the_narrow_roll_up(spark, shop):
     """Where sellers are shuffled, the wide rows of the order fact are not moved by seller."""
     with settings(spark, **NO_BROADCAST):
