@@ -200,3 +200,17 @@ def test_report_counts_tables(spark):
     r = gate.report(evaluate([*unique("a", "k"), *unique("b", "k")], frames))
     assert r.blocked and r.summary().startswith("1/2 tables passed")
 
+
+
+def test_keys_are_counted_one_after_another(spark, frames):
+    """Several keys are not counted in one plan: what is left of it reads their verdicts."""
+    rules = [*unique("t", "id"), *unique("p", "id"), *refers("t", "id", "p", "id"),
+             Rule("t", "not_null", "id")]
+    got = evaluate(rules, frames)
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in text
+    assert got.dtypes == evaluate(rules[:1], frames).dtypes
+    assert {(r.table_name, r.rule, r.failing, r.checked, r.passed) for r in got.collect()} == {
+        ("t", "unique(id)", 1, 4, False), ("p", "unique(id)", 1, 3, False),
+        ("t", "relationships(id)", 1, 4, False), ("t", "not_null(id)", 1, 5, False)}
+    assert got.count() == 4
